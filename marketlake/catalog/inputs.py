@@ -6,12 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.areas import area_code
-from marketlake.schemas import DATA_SCRIPT_ID
+from marketlake.schemas import DATA_SCRIPT_ID, struct_of
+from marketlake.session import spread
+
+
+# Columns of the provided tables, so that no read has to infer them.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+              " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+                " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING,"
+                " l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(struct_of(TABLES[name])).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def postcode_of(number: Column) -> Column:
@@ -37,17 +53,17 @@ def price_of(value: Column) -> Column:
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one scrape of the listing ``user_id``."""
-    user = F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        user.alias("prop_id"),
-        F.concat(F.col("event_id").cast("string"), F.lit(" Test Street")).alias("address"),
-        latitude_of(user).alias("latitude"),
-        longitude_of(user).alias("longitude"),
-        F.col("ts").alias("scraped_at"),
-        postcode_of(user).alias("postcode"),
-        F.to_date("ts").alias("date"),
-        price_of(F.col("value")).alias("price"),
+        "user_id AS prop_id",
+        "concat(cast(event_id AS string), ' Test Street') AS address",
+        "51.4D + (user_id % 100) / 1000D AS latitude",
+        "-0.2D + (user_id % 77) / 1000D AS longitude",
+        "ts AS scraped_at",
+        """CASE WHEN user_id % 11 <> 0 THEN concat('SW', cast(user_id % 25 + 1 AS string),
+             if(user_id % 25 = 0, 'A', ''), ' ', cast(user_id % 9 AS string), 'AA') END AS postcode""",
+        "cast(ts AS date) AS date",
+        "cast(floor(value * 100) AS int) AS price",
     )
 
 
@@ -146,7 +162,8 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 23 == 0, F.lit("")).otherwise(script),
         F.lit("</body></html>"),
     )
-    return table(spark, sf_dir, "events").withColumn("_price", price_of(F.col("value"))).select(
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "value"))
+    return events.withColumn("_price", price_of(F.col("value"))).select(
         event.alias("page_id"), F.col("ts").alias("scraped_at"), html.alias("html")
     )
 
@@ -161,7 +178,7 @@ def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     script = F.concat(F.lit(f"<SCRIPT type='application/json' id='{DATA_SCRIPT_ID}'>"), data, F.lit("</SCRIPT>"))
     html = F.when(page % 3 != 0, F.concat("html", script)).otherwise(F.col("html"))
-    return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", html.alias("html"))
 
 
 def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +198,8 @@ def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<html><body><table class='x'>\n<tr><th>Date</th><th>Rate</th></tr>\n"), rows,
         F.lit("</table><table><tr><td>01 Jan 20</td><td>1</td></tr></table></body></html>"),
     )
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    return orders.select(
         "o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, F.lit("<p>none</p>")).otherwise(html).alias("html")
     )
 

@@ -7,8 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---- fixed values: formats tried in order for a date cell ----
-DATE_FORMATS = ("dd MMM yy", "dd MMM yyyy", "d MMM yy", "d MMM yyyy", "yyyy-MM-dd", "dd/MM/yyyy")
+# ---- fixed values: shapes of a date cell and how each is read ----
+DATE_FORMATS = (
+    (r"^\d{2} [A-Za-z]{3} \d{2}$", "dd MMM yy"),
+    (r"^\d{2} [A-Za-z]{3} \d{4}$", "dd MMM yyyy"),
+    (r"^\d [A-Za-z]{3} \d{2}$", "d MMM yy"),
+    (r"^\d [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
+)
 
 
 def month_name(date: Column) -> Column:
@@ -23,8 +30,11 @@ def iso_date(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM-dd")
 
 
-def flexible_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits; NULL if none does. Two-digit years from 69 on are of the 1900s."""
+def flexible_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """The date if the text has one of the shapes, else NULL. Two-digit years from 69 on are of the 1900s.
+
+    Only the format of the matching shape is tried: a failed attempt costs an exception.
+    """
 
     def parse(pattern: str) -> Column:
         day = F.try_to_date(text, pattern)
@@ -32,7 +42,10 @@ def flexible_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column
             return day
         return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
 
-    return F.coalesce(*[parse(f) for f in formats])
+    cases = F
+    for shape, pattern in formats:
+        cases = cases.when(text.rlike(shape), parse(pattern))
+    return cases
 
 
 def partition_path(date: Column) -> Column:

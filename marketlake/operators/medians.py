@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _BITS = 16
@@ -18,57 +18,56 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row count, mean, lower and interpolated median per group from :func:`value_counts`.
 
+    A value may come in several rows of a group; their counts add up.
+
     Output: keys, ``num_rows`` (NULL values included), ``mean``, ``median_low`` (the discrete
     median, smallest value with at least half of the rows at or below it) and ``median``.
 
     The middle is found in two steps, first the upper 16 bits of the value, then the lower
     16 bits inside the one or two bins that hold the middle. So no window ever sees more than
-    131,072 rows of a group, however many rows or distinct values the group has.
+    131,072 distinct values of a group, however many rows or distinct values the group has.
     """
     names = list(keys) or ["_g"]
     counts = counts if keys else counts.withColumn("_g", F.lit(0))
-    high = F.shiftright("value", _BITS)
+    group = ", ".join(names)
+    upward = f"(PARTITION BY {group} ORDER BY _hi ROWS UNBOUNDED PRECEDING)"
+    whole = f"(PARTITION BY {group})"
+    binned = counts.withColumn("_hi", F.shiftright("value", _BITS))
 
-    bins = counts.groupBy(*names, high.alias("_hi")).agg(
-        F.sum("n").alias("_n"),
-        F.sum(F.col("value").cast("double") * F.col("n")).alias("_sum"),
-    )
-    whole = Window.partitionBy(*names)
-    upward = whole.orderBy("_hi").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valued = F.when(F.col("_hi").isNotNull(), F.col("_n"))
-    placed = bins.select(
+    # Where each bin starts within its group. NULL values form a bin that takes no place.
+    bins = binned.groupBy(*names, "_hi").agg(
+        F.expr("sum(n) AS _rows"), F.expr("sum(cast(value AS double) * n) AS _sum")
+    ).selectExpr(*names, "_hi", "_rows", "_sum", "if(_hi IS NULL, NULL, _rows) AS _valued")
+    placed = bins.selectExpr(
         *names,
         "_hi",
-        F.coalesce(F.sum(valued).over(upward) - valued, F.lit(0)).alias("_before"),
-        F.sum("_n").over(whole).alias("num_rows"),
-        F.sum(valued).over(whole).alias("_total"),
-        F.sum("_sum").over(whole).alias("_all"),
-        valued.alias("_valued"),
+        "_valued",
+        f"coalesce(sum(_valued) OVER {upward} - _valued, 0) AS _before",
+        f"sum(_rows) OVER {whole} AS num_rows",
+        f"sum(_valued) OVER {whole} AS _total",
+        f"sum(_sum) OVER {whole} AS _all",
     )
-    low_rank = F.expr("(_total + 1) div 2")
-    high_rank = F.expr("_total div 2 + 1")
-    holds_middle = (F.col("_before") < high_rank) & (F.col("_before") + F.col("_valued") >= low_rank)
+    low_rank, high_rank = "(_total + 1) div 2", "_total div 2 + 1"
     # A group without any value keeps its NULL bin as its only row.
-    middle = placed.where(holds_middle | F.col("_total").isNull())
+    middle = placed.where(
+        f"_total IS NULL OR (_before < {high_rank} AND _before + _valued >= {low_rank})"
+    ).drop("_valued")
 
-    inner = counts.withColumn("_hi", high)
-    climbing = Window.partitionBy(*names).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same_bin = [F.expr(f"c.{k} <=> m.{k}") for k in [*names, "_hi"]]
+    climbing = f"(PARTITION BY {group} ORDER BY value ROWS UNBOUNDED PRECEDING)"
     # The selected bins are neighbours, so counting on from the lowest one's start is enough.
-    start = F.min("_before").over(Window.partitionBy(*names))
-    same_bin = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in names]
-    same_bin.append(F.col("c._hi").eqNullSafe(F.col("m._hi")))
     ranked = (
-        inner.alias("c")
+        binned.alias("c")
         .join(middle.alias("m"), same_bin)
-        .select(*[F.col(f"c.{k}").alias(k) for k in names], "c.value", "c.n",
-                "m._before", "m.num_rows", "m._total", "m._all")
-        .withColumn("_upto", start + F.sum("n").over(climbing))
+        .selectExpr(*[f"c.{k}" for k in names], "value", "n", "_before", "num_rows", "_total", "_all")
+        .withColumn("_upto", F.expr(f"min(_before) OVER {whole} + sum(n) OVER {climbing}"))
     )
     result = ranked.groupBy(*names).agg(
-        F.max("num_rows").alias("num_rows"),
-        (F.max("_all") / F.max("_total")).alias("mean"),
-        F.min(F.when(F.col("_upto") >= low_rank, F.col("value"))).alias("median_low"),
-        F.min(F.when(F.col("_upto") >= high_rank, F.col("value"))).alias("_median_high"),
+        F.expr("max(num_rows) AS num_rows"),
+        F.expr("max(_all) / max(_total) AS mean"),
+        F.expr(f"min(value) FILTER (WHERE _upto >= {low_rank}) AS median_low"),
+        F.expr(f"min(value) FILTER (WHERE _upto >= {high_rank}) AS _median_high"),
+    )
+    return result.selectExpr(
+        *keys, "num_rows", "mean", "median_low", "(cast(median_low AS double) + _median_high) / 2 AS median"
     )
-    median = (F.col("median_low").cast("double") + F.col("_median_high")) / 2
-    return result.select(*keys, "num_rows", "mean", "median_low", median.alias("median"))

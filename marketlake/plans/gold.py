@@ -25,21 +25,21 @@ def price_fact(
     """Mean, median and number of prices by date and listed area, plus a total row per date.
 
     The total counts every price, also those of unlisted, unknown or missing properties, so
-    it is no rollup of the area rows. Means are truncated to whole numbers.
+    it is no rollup of the area rows. Means are truncated to whole numbers. ``props`` holds
+    one row per property.
 
     The median is exact by default: rows are first counted per (date, area, price), which
-    shrinks them in the scanning tasks and spreads a hot date or area over its prices. With
-    ``accuracy`` it is ``percentile_approx`` of that accuracy instead.
+    shrinks them in the scanning tasks and spreads a hot date or area over its prices. Each
+    count then serves its area and the total, so prices are read and joined once. With
+    ``accuracy`` the median is ``percentile_approx`` of that accuracy instead.
     """
     facts = prices.select("prop_id", F.col(date_col).alias("date"), "price")
     located = props.where(F.col("area_code").isin(list(areas))).select("prop_id", "area_code")
-    by_area = facts.join(located, "prop_id")
     keys = ["date", "area_code"]
     if accuracy is None:
-        counts = value_counts(by_area, keys, "price").unionByName(
-            value_counts(facts, ["date"], "price").withColumn("area_code", F.lit(total_label))
-        )
-        stats = grouped_stats(counts, keys).select(
+        counts = value_counts(facts.join(located, "prop_id", "left"), keys, "price")
+        both = F.array_compact(F.array(F.col("area_code"), F.lit(total_label)))
+        stats = grouped_stats(counts.withColumn("area_code", F.explode(both)), keys).select(
             *keys, F.col("mean").cast("int").alias("avg_price"),
             F.col("median_low").alias("median_price"), F.col("num_rows").alias("num_properties"),
         )
@@ -49,7 +49,7 @@ def price_fact(
             F.percentile_approx("price", 0.5, accuracy).cast("int").alias("median_price"),
             F.count(F.lit(1)).alias("num_properties"),
         ]
-        stats = by_area.groupBy(*keys).agg(*measures).unionByName(
+        stats = facts.join(located, "prop_id").groupBy(*keys).agg(*measures).unionByName(
             facts.groupBy("date").agg(*measures).withColumn("area_code", F.lit(total_label))
         )
     return stats.withColumns({"month": month_name(F.col("date")), "year": year_text(F.col("date"))})

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---- fixed values: area codes with their district names ----
@@ -50,6 +49,7 @@ _TYPES = {
     "FLOAT": T.FloatType(),
     "STRING": T.StringType(),
     "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
 }
 
 
@@ -102,7 +102,7 @@ REFERENCE = {
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select exactly the schema's columns, in order and cast; extra columns are left out."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def reference_schema(df: DataFrame, table: str) -> DataFrame:

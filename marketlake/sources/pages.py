@@ -15,9 +15,8 @@ def script_body(html: Column, script_id: str = DATA_SCRIPT_ID) -> Column:
     """Text of the script element with this id; NULL if the page has none."""
     name = rf"\Q{script_id}\E"
     attribute = rf"""id\s*=\s*(?:"{name}"|'{name}'|{name}(?=[\s>]))"""
-    whole = rf"(?is)<script\b[^>]*?\b{attribute}[^>]*>(.*?)</script\s*>"
-    found = F.regexp_extract(html, whole, 1)
-    return F.when(F.rlike(html, F.lit(whole)), found)
+    body = F.regexp_extract_all(html, F.lit(rf"(?is)<script\b[^>]*?\b{attribute}[^>]*>(.*?)</script"), F.lit(1))
+    return F.get(body, F.lit(0))
 
 
 def extract_embedded_json(
@@ -121,20 +120,26 @@ def extract_html_table(
     table gives no rows.
     """
     table = F.regexp_extract(html_col, r"(?is)<table\b[^>]*>(.*?)</table\s*>", 1)
-    rows = pages.select(
-        *keys,
-        F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))).alias(
-            "position", "_row"
-        ),
-    )
-    cells = F.regexp_extract_all("_row", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
-    typed = rows.withColumn("_cells", cells).select(
-        *keys,
-        "position",
-        flexible_date(_cell_text(F.get("_cells", F.lit(0)))).alias("_date"),
-        _cell_text(F.get("_cells", F.lit(1))).try_cast("double").alias(value_name),
+    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+
+    def cells(row: Column) -> Column:
+        found = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
+        return F.transform(F.slice(found, 1, 2), _cell_text)
+
+    def typed(cell: Column, position: Column) -> Column:
+        return F.struct(
+            position.alias("position"),
+            flexible_date(F.get(cell, F.lit(0))).alias("day"),
+            F.get(cell, F.lit(1)).try_cast("double").alias(value_name),
+        )
+
+    # Rows are typed and filtered inside the array, which keeps Spark from working out each
+    # cell twice, once for a filter below and once for the output.
+    valid = F.filter(
+        F.transform(F.transform(rows, cells), typed),
+        lambda r: r["day"].isNotNull() & r[value_name].isNotNull(),
     )
-    return typed.where(F.col("_date").isNotNull() & F.col(value_name).isNotNull()).select(
-        *keys, "position", iso_date(F.col("_date")).alias("date"), value_name,
+    return pages.select(*keys, F.inline(valid)).select(
+        *keys, "position", iso_date(F.col("day")).alias("date"), value_name,
         iso_date(loaded_at).alias("loaded_at"),
     )
