@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from marketlake.schemas import DISTRICTS, TOTAL_AREA, TOTAL_DISTRICT
 
 _LISTED = ", ".join(f"'{a}'" for a in DISTRICTS)
@@ -114,6 +116,10 @@ _CTES = {
     SELECT q.prop_id, address, postcode, latitude, longitude, area_code, price, date
     FROM prices p JOIN props q ON p.prop_id = q.prop_id
     WHERE date = (SELECT max(date) FROM prices) AND area_code IN ({_LISTED})""",
+    "fact_1": _fact("prices_1", "props_1"),
+    "current_1": f"""
+    SELECT q.prop_id, area_code, price FROM prices_1 p JOIN props_1 q ON p.prop_id = q.prop_id
+    WHERE date = (SELECT max(date) FROM prices_1) AND area_code IN ({_LISTED})""",
     "dim": f"SELECT * FROM (VALUES {_DIM}) AS v(area_code, district)",
     "summary": """
     SELECT f.area_code, district, avg_price, median_price, num_properties
@@ -181,21 +187,21 @@ _CTES = {
 _FACT_COLUMNS = "date, area_code, avg_price, median_price, num_properties, month, year"
 
 
-def _rules(table: str, source: str, rules: list[tuple[str, str, str, float]]) -> str:
+# Name of the rule, query of its metric, comparison, threshold.
+_Rule = tuple[str, str, str, float]
+
+
+def _rules(table: str, rules: list[_Rule]) -> str:
     def one(name: str, metric: str, op: str, threshold: float) -> str:
+        value = f"CAST(({metric}) AS DOUBLE)"
         return (
-            f"SELECT '{table}' AS \"table\", '{name}' AS rule, CAST(({metric}) AS DOUBLE) AS metric,"
-            f" CAST({threshold} AS DOUBLE) AS threshold, op_{_OPS[op]} AS passed FROM (SELECT"
-            f" coalesce(CAST(({metric}) AS DOUBLE) {op} {threshold}, false) AS op_{_OPS[op]})"
+            f"SELECT '{table}' AS \"table\", '{name}' AS rule, {value} AS metric,"
+            f" CAST({threshold} AS DOUBLE) AS threshold, coalesce({value} {op} {threshold}, false) AS passed"
         )
 
-    del source
     return "\nUNION ALL\n".join(one(*r) for r in rules)
 
 
-_OPS = {">": "gt", ">=": "ge", "<": "lt", "<=": "le"}
-
-
 def _count(source: str, bad: str = "true") -> str:
     return f"SELECT count(*) FROM {source} WHERE {bad}"
 
@@ -223,37 +229,42 @@ def _not_above(source: str, column: str) -> tuple[str, str, str, float]:
     return (f"ColumnValues {column} > 0", _count(source, f"NOT coalesce({column} > 0, false)"), "<=", 0)
 
 
-_RULES = {
-    "silver_properties": ("props", [
-        ("RowCount > 500", _count("props"), ">", 500),
-        *_complete("props", "prop_id", "address", "latitude", "longitude"),
-        ("IsUnique prop_id", _duplicates("props", "prop_id"), "<=", 0),
-        ("Completeness postcode >= 0.9", _share("props", "postcode IS NOT NULL"), ">=", 0.9),
-        ("share outside SW < 0.1", _share("props", "area_code IS NULL OR area_code NOT LIKE 'SW%'"), "<", 0.1),
-    ]),
-    "silver_prices": ("prices", [
-        ("RowCount > 500", _count("prices"), ">", 500),
-        *_complete("prices", "prop_id", "price", "date"),
-        _outside("prices", "price", 100, 50000),
-    ]),
-    "silver_spy_prices": ("index_rows", [
-        ("RowCount > 0", _count("index_rows"), ">", 0),
-        *_complete("index_rows", "date", "close"),
-        _not_above("index_rows", "close"),
-        ("IsUnique date", _duplicates("index_rows", "date"), "<=", 0),
-    ]),
-    "gold_current_properties": ("current_rows", [
-        ("RowCount > 400", _count("current_rows"), ">", 400),
-        *_complete("current_rows", "prop_id", "price", "area_code"),
-        _outside("current_rows", "price", 100, 50000),
-    ]),
-    "gold_property_fact": ("fact", [
-        ("RowCount > 0", _count("fact"), ">", 0),
-        *_complete("fact", "area_code", "avg_price"),
-        _outside("fact", "avg_price", 500, 20000),
-        _not_above("fact", "num_properties"),
-    ]),
-}
+def _rulesets(props: str, prices: str, index: str, current: str, fact: str) -> dict[str, list[_Rule]]:
+    return {
+        "silver_properties": [
+            ("RowCount > 500", _count(props), ">", 500),
+            *_complete(props, "prop_id", "address", "latitude", "longitude"),
+            ("IsUnique prop_id", _duplicates(props, "prop_id"), "<=", 0),
+            ("Completeness postcode >= 0.9", _share(props, "postcode IS NOT NULL"), ">=", 0.9),
+            ("share outside SW < 0.1", _share(props, "area_code IS NULL OR area_code NOT LIKE 'SW%'"), "<", 0.1),
+        ],
+        "silver_prices": [
+            ("RowCount > 500", _count(prices), ">", 500),
+            *_complete(prices, "prop_id", "price", "date"),
+            _outside(prices, "price", 100, 50000),
+        ],
+        "silver_spy_prices": [
+            ("RowCount > 0", _count(index), ">", 0),
+            *_complete(index, "date", "close"),
+            _not_above(index, "close"),
+            ("IsUnique date", _duplicates(index, "date"), "<=", 0),
+        ],
+        "gold_current_properties": [
+            ("RowCount > 400", _count(current), ">", 400),
+            *_complete(current, "prop_id", "price", "area_code"),
+            _outside(current, "price", 100, 50000),
+        ],
+        "gold_property_fact": [
+            ("RowCount > 0", _count(fact), ">", 0),
+            *_complete(fact, "area_code", "avg_price"),
+            _outside(fact, "avg_price", 500, 20000),
+            _not_above(fact, "num_properties"),
+        ],
+    }
+
+
+_RULES = _rulesets("props", "prices", "index_rows", "current_rows", "fact")
+_FIRST_RULES = _rulesets("props_1", "prices_1", "index_rows", "current_1", "fact_1")
 
 _RAW_RULES = [
     ("RowCount > 0", _count("raw"), ">", 0),
@@ -399,8 +410,12 @@ _TEXTS = {
                CAST(CAST(o_orderdate AS DATE) + CAST(i AS INTEGER) AS VARCHAR) AS date,
                (o_orderkey + i) % 1000 / CAST(100 AS DOUBLE) AS rate, '2024-01-01' AS loaded_at
         FROM orders, range(0, 3) AS r(i) WHERE (o_orderkey + i) % 4 <> 0 AND o_orderkey % 50 <> 0""",
-    **{f"quality_{t}": _rules(t, source, rules) for t, (source, rules) in _RULES.items()},
-    "quality_raw_listings": _rules("raw_listings", "raw", _RAW_RULES),
+    **{f"quality_{table}": _rules(table, rules) for table, rules in _RULES.items()},
+    "quality_raw_listings": _rules("raw_listings", _RAW_RULES),
+    "pipeline_quality":
+        'SELECT "table", count(*) AS rules, count(*) FILTER (WHERE passed) AS passed FROM ('
+        + " UNION ALL ".join(_rules(table, rules) for table, rules in _FIRST_RULES.items())
+        + ') GROUP BY "table"',
     "expectations_on_properties": """
         SELECT 'postcode_present' AS "check", count(*) FILTER (WHERE postcode IS NULL) AS violations,
                count(*) AS num_rows FROM props
@@ -432,19 +447,17 @@ _TEXTS = {
 
 
 def _needed(text: str) -> list[str]:
-    """Named subqueries the text uses, in the order of their definition."""
-    import re
-
-    wanted: set[str] = set()
+    """Named subqueries the text uses, each after those it uses itself."""
+    ordered: list[str] = []
 
     def visit(sql: str) -> None:
         for name in _CTES:
-            if name not in wanted and re.search(rf"\b(?:FROM|JOIN|,)\s+{name}\b", sql):
-                wanted.add(name)
+            if name not in ordered and re.search(rf"(?:\bFROM|\bJOIN|,)\s+{name}\b", sql):
                 visit(_CTES[name])
+                ordered.append(name)
 
     visit(text)
-    return [name for name in _CTES if name in wanted]
+    return ordered
 
 
 def _complete_text(text: str) -> str:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BITS = 16
+_BITS = 10
+_NO_BIN = -(2**22)  # below the bin of any 32-bit value
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -19,55 +20,56 @@ def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row count, mean, lower and interpolated median per group from :func:`value_counts`.
 
     A value may come in several rows of a group; their counts add up.
-
     Output: keys, ``num_rows`` (NULL values included), ``mean``, ``median_low`` (the discrete
     median, smallest value with at least half of the rows at or below it) and ``median``.
 
-    The middle is found in two steps, first the upper 16 bits of the value, then the lower
-    16 bits inside the one or two bins that hold the middle. So no window ever sees more than
-    131,072 distinct values of a group, however many rows or distinct values the group has.
+    The middle is found in two steps: first the one or two bins of 1,024 neighbouring values
+    that hold it, then its place inside them. So a window sees at most a group's bins
+    (2**22 for any 32-bit values) or 2,048 of its distinct values, however many rows it has.
     """
-    names = list(keys) or ["_g"]
-    counts = counts if keys else counts.withColumn("_g", F.lit(0))
-    group = ", ".join(names)
-    upward = f"(PARTITION BY {group} ORDER BY _hi ROWS UNBOUNDED PRECEDING)"
-    whole = f"(PARTITION BY {group})"
-    binned = counts.withColumn("_hi", F.shiftright("value", _BITS))
+    # Keys as one struct and a bin of their own for NULL values: neither is ever NULL, so the
+    # join below is a plain one and adds no filter that would tell its two inputs apart.
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_g"))
+    # This partitioning serves the bins and the join; the counts are moved by it once. A
+    # partition's share of a hot group is a few of its bins.
+    binned = counts.select(
+        group.alias("_k"), F.expr(f"coalesce(shiftright(value, {_BITS}), {_NO_BIN}) AS _bin"), "value", "n"
+    ).repartition("_k", "_bin")
 
-    # Where each bin starts within its group. NULL values form a bin that takes no place.
-    bins = binned.groupBy(*names, "_hi").agg(
+    # Where each bin starts within its group. The bin of NULL values takes no place.
+    bins = binned.groupBy("_k", "_bin").agg(
         F.expr("sum(n) AS _rows"), F.expr("sum(cast(value AS double) * n) AS _sum")
-    ).selectExpr(*names, "_hi", "_rows", "_sum", "if(_hi IS NULL, NULL, _rows) AS _valued")
+    ).selectExpr("_k", "_bin", "_rows", "_sum", f"if(_bin = {_NO_BIN}, NULL, _rows) AS _valued")
     placed = bins.selectExpr(
-        *names,
-        "_hi",
+        "_k",
+        "_bin",
         "_valued",
-        f"coalesce(sum(_valued) OVER {upward} - _valued, 0) AS _before",
-        f"sum(_rows) OVER {whole} AS num_rows",
-        f"sum(_valued) OVER {whole} AS _total",
-        f"sum(_sum) OVER {whole} AS _all",
+        "coalesce(sum(_valued) OVER (PARTITION BY _k ORDER BY _bin ROWS UNBOUNDED PRECEDING) - _valued, 0) AS _before",
+        "sum(_rows) OVER (PARTITION BY _k) AS num_rows",
+        "sum(_valued) OVER (PARTITION BY _k) AS _total",
+        "sum(_sum) OVER (PARTITION BY _k) AS _all",
     )
     low_rank, high_rank = "(_total + 1) div 2", "_total div 2 + 1"
-    # A group without any value keeps its NULL bin as its only row.
-    middle = placed.where(
+    # A group without any value keeps its only bin.
+    holding = placed.where(
         f"_total IS NULL OR (_before < {high_rank} AND _before + _valued >= {low_rank})"
     ).drop("_valued")
 
-    same_bin = [F.expr(f"c.{k} <=> m.{k}") for k in [*names, "_hi"]]
-    climbing = f"(PARTITION BY {group} ORDER BY value ROWS UNBOUNDED PRECEDING)"
     # The selected bins are neighbours, so counting on from the lowest one's start is enough.
-    ranked = (
-        binned.alias("c")
-        .join(middle.alias("m"), same_bin)
-        .selectExpr(*[f"c.{k}" for k in names], "value", "n", "_before", "num_rows", "_total", "_all")
-        .withColumn("_upto", F.expr(f"min(_before) OVER {whole} + sum(n) OVER {climbing}"))
+    ranked = binned.join(holding, ["_k", "_bin"]).withColumn(
+        "_upto",
+        F.expr(
+            "min(_before) OVER (PARTITION BY _k)"
+            " + sum(n) OVER (PARTITION BY _k ORDER BY value ROWS UNBOUNDED PRECEDING)"
+        ),
     )
-    result = ranked.groupBy(*names).agg(
+    result = ranked.groupBy("_k").agg(
         F.expr("max(num_rows) AS num_rows"),
         F.expr("max(_all) / max(_total) AS mean"),
         F.expr(f"min(value) FILTER (WHERE _upto >= {low_rank}) AS median_low"),
         F.expr(f"min(value) FILTER (WHERE _upto >= {high_rank}) AS _median_high"),
     )
     return result.selectExpr(
-        *keys, "num_rows", "mean", "median_low", "(cast(median_low AS double) + _median_high) / 2 AS median"
+        *[f"_k.{k} AS {k}" for k in keys], "num_rows", "mean", "median_low",
+        "(cast(median_low AS double) + _median_high) / 2 AS median",
     )

@@ -38,8 +38,9 @@ def price_fact(
     keys = ["date", "area_code"]
     if accuracy is None:
         counts = value_counts(facts.join(located, "prop_id", "left"), keys, "price")
-        both = F.array_compact(F.array(F.col("area_code"), F.lit(total_label)))
-        stats = grouped_stats(counts.withColumn("area_code", F.explode(both)), keys).select(
+        total = F.lit(total_label)
+        groups = F.when(F.col("area_code").isNull(), F.array(total)).otherwise(F.array(F.col("area_code"), total))
+        stats = grouped_stats(counts.withColumn("area_code", F.explode(groups)), keys).select(
             *keys, F.col("mean").cast("int").alias("avg_price"),
             F.col("median_low").alias("median_price"), F.col("num_rows").alias("num_properties"),
         )
