@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 def needs_enrichment(incoming: DataFrame, target: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Incoming rows whose key has no known ``column`` in the target yet."""
     known = target.where(F.col(column).isNotNull()).select(*keys)
-    return incoming.join(known, list(keys), "left_anti")
+    return incoming.join(known, list(keys), "left_anti").select(*incoming.columns)
 
 
 def batch_rows(df: DataFrame, size: int, key: str, buckets: int) -> DataFrame:

@@ -21,7 +21,7 @@ def filter_strict(df: DataFrame, column: str, chosen: Sequence[str]) -> DataFram
 
 def filter_by_frame(df: DataFrame, column: str, chosen: DataFrame) -> DataFrame:
     """Rows whose value occurs in ``chosen``, for selections too long for a literal list."""
-    return df.join(chosen.select(column).distinct(), column, "left_semi")
+    return df.join(chosen.select(column).distinct(), column, "left_semi").select(*df.columns)
 
 
 def between_dates(column: Column, start: date, end: date) -> Column:

@@ -98,4 +98,4 @@ def merge_insert_only(
         low = source.agg(F.min(bound_by)).scalar()
         high = source.agg(F.max(bound_by)).scalar()
         known = known.where(F.col(bound_by).between(low, high))
-    return source.join(known, list(keys), "left_anti")
+    return source.join(known, list(keys), "left_anti").select(*source.columns)
