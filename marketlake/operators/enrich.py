@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def needs_enrichment(incoming: DataFrame, target: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -21,9 +20,7 @@ def batch_rows(df: DataFrame, size: int, key: str, buckets: int) -> DataFrame:
     Rows are numbered inside hash buckets of the unique ``key``, so no task orders all rows.
     Choose ``buckets`` with the data, for instance one per million rows.
     """
-    integral = isinstance(df.schema[key].dataType, (T.IntegerType, T.LongType))
-    spread = F.col(key) if integral else F.xxhash64(key)
-    bucket = F.pmod(spread, F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
     return (
         df.withColumn("bucket", bucket)

@@ -85,17 +85,23 @@ def merge_upsert(
 
 
 def merge_insert_only(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], bound_by: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    bound_by: str | None = None,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Source rows whose key the target does not hold, ready to append.
 
     ``source`` must hold one row per key. ``bound_by`` names a key column, usually the
     target's partition column: the target is then read only between the batch's smallest
-    and largest value of it.
+    and largest value of it. ``bounds`` may hand in a frame that has the same column and
+    range but costs less than ``source`` to work out, such as the batch before deduplication.
     """
     known = target.select(*keys)
     if bound_by is not None:
-        low = source.agg(F.min(bound_by)).scalar()
-        high = source.agg(F.max(bound_by)).scalar()
+        span = source if bounds is None else bounds
+        low = span.agg(F.min(bound_by)).scalar()
+        high = span.agg(F.max(bound_by)).scalar()
         known = known.where(F.col(bound_by).between(low, high))
     return source.join(known, list(keys), "left_anti").select(*source.columns)

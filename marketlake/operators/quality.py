@@ -219,36 +219,43 @@ def missing_rate(df: DataFrame, column: str) -> DataFrame:
     return row.withColumn("rate", F.coalesce(F.try_divide("failures", "total"), F.lit(0.0)))
 
 
-def fail_if_rate(
-    rates: DataFrame, what: str, threshold: float, fail_empty: bool = False, shown: int = 5
-) -> int:
-    """Raise if a rate is above the threshold; return how many groups had failures below it.
-
-    With ``fail_empty`` a group without rows fails too. The error names the worst groups and
-    says how many there are; only those few reach the driver.
-    """
-    above = F.col("rate") > threshold
-    if fail_empty:
-        above = above | (F.col("total") == 0)
-    marked = rates.withColumn("_above", F.coalesce(above, F.lit(False)))
-    tally = marked.agg(
-        F.count_if("_above").alias("above"),
-        F.count_if(~F.col("_above") & (F.col("failures") > 0)).alias("warned"),
+def _tally(rates: DataFrame, threshold: float):
+    """One row over all groups: how many are empty, above the threshold and below it with failures, and the worst."""
+    above = F.coalesce(F.col("rate") > threshold, F.lit(False))
+    empty = F.col("total") == 0
+    others = [c for c in rates.columns if c != "rate"]
+    return rates.agg(
+        F.count_if(empty).alias("empty"),
+        F.count_if(above).alias("above"),
+        F.count_if(~above & (F.col("failures") > 0)).alias("warned"),
+        F.max(F.when(above, F.struct("rate", *others))).alias("worst"),
+        F.min(F.when(empty, F.struct(*others))).alias("an_empty"),
     ).first()
+
+
+def _judge(tally, what: str, threshold: float, empty_message: str | None) -> int:
+    if empty_message is not None and tally["empty"]:
+        raise QualityFailure(f"{empty_message} in {tally['empty']} group(s), for instance {tally['an_empty'].asDict()}")
     if tally["above"]:
-        worst = marked.where("_above").drop("_above").orderBy(F.desc_nulls_first("rate"), *rates.columns).limit(shown)
-        detail = "; ".join(str(r.asDict()) for r in worst.collect())
-        raise QualityFailure(f"{what} exceeds {threshold:.0%} in {tally['above']} group(s): {detail}")
+        raise QualityFailure(
+            f"{what} exceeds {threshold:.0%} in {tally['above']} group(s), the worst being {tally['worst'].asDict()}"
+        )
     return tally["warned"]
 
 
+def fail_if_rate(rates: DataFrame, what: str, threshold: float, empty_message: str | None = None) -> int:
+    """Raise if a rate is above the threshold; return how many groups had failures below it.
+
+    With ``empty_message`` a group without rows fails too. The rates are worked out once, and
+    only their tally and one example reach the driver.
+    """
+    return _judge(_tally(rates, threshold), what, threshold, empty_message)
+
+
 def check_pages(listings: DataFrame, page_keys: Sequence[str], threshold: float = PARSE_FAILURE_THRESHOLD) -> int:
     """Per-page gate on parsed listings: an empty page fails, as does a failure rate above the threshold."""
     rates = failure_rate(listings, page_keys, F.col("is_bad"), F.col("is_listing"))
-    empty = rates.where(F.col("total") == 0).limit(1).collect()
-    if empty:
-        raise QualityFailure(f"No properties found: {empty[0].asDict()}")
-    return fail_if_rate(rates, "Parse failure rate", threshold)
+    return fail_if_rate(rates, "Parse failure rate", threshold, empty_message="No properties found")
 
 
 def check_postcodes(properties: DataFrame, threshold: float = POSTCODE_MISSING_THRESHOLD) -> int:

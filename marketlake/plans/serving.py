@@ -99,18 +99,17 @@ def histogram(df: DataFrame, column: str = "price", bins: int = 40) -> DataFrame
 
     The largest value belongs to the last bin. If all values are equal there is one bin.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_x")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
     low = df.agg(F.min(column).cast("double")).scalar()
     high = df.agg(F.max(column).cast("double")).scalar()
-    position = F.floor((F.col("_x") - F.col("_low")) * bins / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)))
-    placed = counts.withColumns({"_low": low, "_high": high}).withColumn(
+    value = F.col(column)
+    position = F.floor((value - F.col("_low")) * bins / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)))
+    placed = df.where(value.isNotNull()).select(column, low.alias("_low"), high.alias("_high")).withColumn(
         "bin", F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     )
     width = (F.col("_high") - F.col("_low")) / bins
     return placed.groupBy("bin").agg(
-        F.min(F.col("_low") + F.col("bin") * width).alias("bin_start"), F.sum("_n").alias("num_properties")
+        F.min(F.col("_low") + F.col("bin") * width).alias("bin_start"),
+        F.count(F.lit(1)).alias("num_properties"),
     ).orderBy("bin")
 
 

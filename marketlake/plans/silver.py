@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.areas import area_code
 from marketlake.operators.dedupe import dedupe_latest
+from marketlake.operators.enrich import fill_from, needs_enrichment
 from marketlake.operators.merge import merge_insert_only, merge_upsert
+from marketlake.operators.nearest import nearest_join
 from marketlake.schemas import SILVER, as_timestamp, conform
 
 LEGACY_EXPECTATIONS = {
@@ -68,13 +70,36 @@ def merge_properties(target: DataFrame, incoming: DataFrame, late_first_seen: bo
     )
 
 
-def new_prices(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Batch prices of (property, date) pairs not stored yet; stored ones never change."""
-    return merge_insert_only(target, incoming, ["prop_id", "date"], bound_by="date")
+def _days(raw: DataFrame | None) -> DataFrame | None:
+    return None if raw is None else raw.select(F.col("date").cast("date").alias("date"))
 
 
-def new_index_rows(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    return merge_insert_only(target, incoming, ["date"], bound_by="date")
+def new_prices(target: DataFrame, incoming: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Batch prices of (property, date) pairs not stored yet; stored ones never change.
+
+    ``raw`` is the landing batch, if at hand, to take the range of dates from.
+    """
+    return merge_insert_only(target, incoming, ["prop_id", "date"], bound_by="date", bounds=_days(raw))
+
+
+def new_index_rows(target: DataFrame, incoming: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Batch closes of dates not stored yet."""
+    return merge_insert_only(target, incoming, ["date"], bound_by="date", bounds=_days(raw))
+
+
+def with_nearest_postcodes(
+    incoming: DataFrame, known: DataFrame, centroids: DataFrame, x_scale: float = 1.0, normalise: bool = False
+) -> DataFrame:
+    """The batch with postcodes for those properties that have none, neither here nor in ``known``.
+
+    ``centroids`` holds ``postcode`` (unique), ``latitude`` and ``longitude``. Properties whose
+    postcode is already stored are not looked up again; the merge keeps it.
+    """
+    blank = incoming.where(F.coalesce(F.col("postcode"), F.lit("")) == "")
+    unknown = needs_enrichment(blank, known, ["prop_id"], "postcode").select("prop_id", "latitude", "longitude")
+    found = nearest_join(unknown, centroids, "postcode", x_scale=x_scale)
+    filled = fill_from(incoming, found, ["prop_id"], "postcode")
+    return filled.withColumn("area_code", area_code(F.col("postcode"), normalise))
 
 
 # ---- the earlier generation: full recompute, other column names ----

@@ -24,7 +24,7 @@ def upsert_properties(table: SnapshotTable, normalise: bool = False, late_first_
 def insert_prices(table: AppendTable) -> Handler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = table.read(batch.sparkSession)
-        table.append(silver.new_prices(stored, silver.incoming_prices(batch)))
+        table.append(silver.new_prices(stored, silver.incoming_prices(batch), batch))
 
     return handle
 
@@ -32,6 +32,6 @@ def insert_prices(table: AppendTable) -> Handler:
 def insert_index(table: AppendTable) -> Handler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = table.read(batch.sparkSession)
-        table.append(silver.new_index_rows(stored, silver.incoming_index(batch)))
+        table.append(silver.new_index_rows(stored, silver.incoming_index(batch), batch))
 
     return handle

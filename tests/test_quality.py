@@ -97,4 +97,4 @@ def test_gate_on_empty_groups(spark):
     rates = spark.createDataFrame([(1, 0, 0, None)], "id int, total bigint, failures bigint, rate double")
     assert q.fail_if_rate(rates, "bad", 0.1) == 0
     with pytest.raises(q.QualityFailure):
-        q.fail_if_rate(rates, "bad", 0.1, fail_empty=True)
+        q.fail_if_rate(rates, "bad", 0.1, empty_message="nothing")
