@@ -334,6 +334,9 @@ _TEXTS = {
     "serve_headline_chosen":
         "SELECT count(*) AS properties, CAST(median(price) AS DOUBLE) AS median_price"
         f" FROM current_rows WHERE area_code IN ({_CHOSEN})",
+    "serve_headline_text":
+        "SELECT format('{:,}', count(*)) AS properties, '£' || format('{:,.0f}', median(price)) || ' pcm'"
+        " AS median_price FROM current_rows",
     "serve_headline_large":
         "SELECT count(*) AS properties, CAST(median(price) AS DOUBLE) AS median_price FROM large_prices",
     "serve_histogram": _HISTOGRAM.format("current_rows"),
@@ -450,6 +453,15 @@ _TEXTS = {
     "incremental_silver_properties": "SELECT * FROM merged_props",
     "incremental_silver_prices": "SELECT * FROM merged_prices",
     "pipeline_gold_property_fact": _fact("merged_prices", "merged_props"),
+    "pipeline_metrics": f"""
+        SELECT 'properties' AS dataset, 'silver' AS stage,
+               (SELECT count(*) FROM props_1) + (SELECT count(*) FROM merged_props) AS rows
+        UNION ALL SELECT 'prices', 'silver', count(*) FROM merged_prices
+        UNION ALL SELECT 'gold_area_dim', 'gold', count(*) FROM dim
+        UNION ALL SELECT 'gold_property_fact', 'gold', count(*) FROM ({_fact('merged_prices', 'merged_props')})
+        UNION ALL SELECT 'gold_current_properties', 'gold', count(*)
+        FROM merged_prices p JOIN merged_props q ON p.prop_id = q.prop_id
+        WHERE date = (SELECT max(date) FROM merged_prices) AND area_code IN ({_LISTED})""",
     "stream_first_per_day": "SELECT DISTINCT user_id AS prop_id, CAST(ts AS DATE) AS date FROM events",
     "replace_current_table": f"SELECT prop_id, area_code, last_seen FROM props WHERE area_code IN ({_CHOSEN})",
 }

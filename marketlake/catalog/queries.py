@@ -211,6 +211,11 @@ def serve_headline_chosen(spark, sf):
     return serving.headline(_current(spark, sf), CHOSEN)
 
 
+@register
+def serve_headline_text(spark, sf):
+    return serving.headline_text(serving.headline(_current(spark, sf)))
+
+
 @register
 def serve_headline_large(spark, sf):
     """Exact median over all line items."""
@@ -584,6 +589,17 @@ def pipeline_quality(spark, sf):
     )
 
 
+@register
+def pipeline_metrics(spark, sf):
+    """Rows written by each stage over two deliveries."""
+    house, log = _house(spark, "metrics"), RunLog(spark)
+    for first in (True, False):
+        _deliver(spark, sf, house, first)
+        pipeline.run_silver(spark, house, log)
+    pipeline.run_gold(spark, house, log)
+    return log.frame().groupBy("dataset", "stage").agg(F.sum("rows").alias("rows"))
+
+
 @register
 def stream_first_per_day(spark, sf):
     """Streaming dedupe: the (property, day) pairs of all events."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -45,16 +46,18 @@ def run_silver(
     spark: SparkSession, house: Warehouse, log: RunLog, normalise: bool = False, late_first_seen: bool = False
 ) -> None:
     """Consume the new landing files of each dataset; a dataset without any is left alone."""
-    handlers = {
-        "properties": upsert_properties(house.properties, normalise, late_first_seen),
-        "prices": insert_prices(house.prices),
-        "spy_prices": insert_index(house.index),
-    }
-    for dataset, handler in handlers.items():
-        if path_exists(spark, f"{house.landing}/{dataset}"):
-            log.timed(dataset, "silver", lambda d=dataset, h=handler: stream_landing(
-                spark, house.landing, d, f"{house.checkpoints}/{d}", h
-            ).awaitTermination())
+    for dataset in ("properties", "prices", "spy_prices"):
+        if not path_exists(spark, f"{house.landing}/{dataset}"):
+            continue
+        written: list[int] = []
+        handler = {
+            "properties": lambda: upsert_properties(house.properties, normalise, late_first_seen, written.append),
+            "prices": lambda: insert_prices(house.prices, written.append),
+            "spy_prices": lambda: insert_index(house.index, written.append),
+        }[dataset]()
+        start = time.monotonic()
+        stream_landing(spark, house.landing, dataset, f"{house.checkpoints}/{dataset}", handler).awaitTermination()
+        log.note(dataset, "silver", sum(written), time.monotonic() - start)
 
 
 def gold_tables(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]:

@@ -19,6 +19,10 @@ BASE_CONF = {
 }
 
 
+# Temporary folders of local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "marketlake", cpus: str | int | None = None, **conf: str) -> SparkSession:
     """Session with the library's settings; ``cpus`` is for local runs only."""
     builder = SparkSession.builder.appName(app)
@@ -40,9 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="marketlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="marketlake-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -71,12 +71,15 @@ def replace_table(df: DataFrame, path: str, schema: T.StructType | None = None)
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def append_rows(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Append in few, evenly filled files; with ``partition_by`` few per value, large values split."""
-    if partition_by is None:
-        df.hint("rebalance").write.mode("append").parquet(path)
-    else:
-        df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+def append_rows(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+    """Append in few, evenly filled files and return the row count.
+
+    With ``partition_by`` there are few files per value, and large values are split.
+    """
+    columns = [partition_by] if partition_by else []
+    rows, seen = counted(df.hint("rebalance", *columns), "append")
+    rows.write.mode("append").partitionBy(*columns).parquet(path)
+    return seen.get["rows"]
 
 
 def preview(df: DataFrame) -> tuple[int, Row | None]:
@@ -102,5 +105,8 @@ class RunLog:
         self._entries.append((dataset, stage, rows, seconds))
         return result
 
+    def note(self, dataset: str, stage: str, rows: int | None, seconds: float) -> None:
+        self._entries.append((dataset, stage, rows, seconds))
+
     def frame(self) -> DataFrame:
         return self._spark.createDataFrame(self._entries, self.SCHEMA)

@@ -10,28 +10,41 @@ from marketlake.plans import silver
 from marketlake.streaming.state import AppendTable, SnapshotTable
 
 Handler = Callable[[DataFrame, int], None]
+Note = Callable[[int], None]
 
 
-def upsert_properties(table: SnapshotTable, normalise: bool = False, late_first_seen: bool = False) -> Handler:
+def _ignore(rows: int) -> None:
+    pass
+
+
+def upsert_properties(
+    table: SnapshotTable, normalise: bool = False, late_first_seen: bool = False, written: Note = _ignore
+) -> Handler:
+    """Merge each batch into the property table; ``written`` gets the row count of each write."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         before = table.read(batch.sparkSession, before=batch_id)
         incoming = silver.incoming_properties(batch, normalise)
-        table.write(silver.merge_properties(before, incoming, late_first_seen), batch_id)
+        written(table.write(silver.merge_properties(before, incoming, late_first_seen), batch_id))
 
     return handle
 
 
-def insert_prices(table: AppendTable) -> Handler:
+def insert_prices(table: AppendTable, written: Note = _ignore) -> Handler:
+    """Append each batch's new (property, date) prices."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = table.read(batch.sparkSession)
-        table.append(silver.new_prices(stored, silver.incoming_prices(batch), batch))
+        written(table.append(silver.new_prices(stored, silver.incoming_prices(batch), batch)))
 
     return handle
 
 
-def insert_index(table: AppendTable) -> Handler:
+def insert_index(table: AppendTable, written: Note = _ignore) -> Handler:
+    """Append each batch's closes of new dates."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = table.read(batch.sparkSession)
-        table.append(silver.new_index_rows(stored, silver.incoming_index(batch), batch))
+        written(table.append(silver.new_index_rows(stored, silver.incoming_index(batch), batch)))
 
     return handle

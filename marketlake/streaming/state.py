@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from marketlake.schemas import conform
 from marketlake.sinks.writers import append_rows
+from marketlake.sources.landing import counted
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -50,16 +51,17 @@ class SnapshotTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self._folder(usable[-1]))
 
-    def write(self, df: DataFrame, version: int) -> None:
+    def write(self, df: DataFrame, version: int) -> int:
+        """Store the batch's snapshot and return its row count."""
         newer = [v for v in self.versions(df.sparkSession) if v > version]
         if newer:
             raise ValueError(
                 f"{self.path} holds batch {newer[-1]}, which is ahead of batch {version}: "
                 "the stream's checkpoint does not belong to this table"
             )
-        conform(df, self.schema).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(self._folder(version))
+        rows, seen = counted(conform(df, self.schema), "snapshot")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._folder(version))
+        return seen.get["rows"]
 
     def expire(self, spark: SparkSession, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` snapshots; at least two stay, for a replay."""
@@ -87,5 +89,6 @@ class AppendTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
-    def append(self, df: DataFrame) -> None:
-        append_rows(conform(df, self.schema), self.path, self.partition_by)
+    def append(self, df: DataFrame) -> int:
+        """Add the rows and return how many there were."""
+        return append_rows(conform(df, self.schema), self.path, self.partition_by)
