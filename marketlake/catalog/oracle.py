@@ -310,7 +310,7 @@ _TEXTS = {
     "gold_property_fact_normalised_area": f"SELECT {_FACT_COLUMNS} FROM fact_norm",
     "gold_property_fact_approx_median": f"SELECT {_FACT_COLUMNS} FROM fact",
     "gold_property_fact_large_groups": _fact("large_prices", "large_props"),
-    "gold_property_fact_unmatched": _fact("prices", "(SELECT * FROM props WHERE prop_id % 2 = 0)", _FIRST_TEN),
+    "gold_property_fact_unmatched": _fact("prices", "(SELECT * FROM props WHERE postcode IS NOT NULL)", _FIRST_TEN),
     "legacy_gold_property_fact": _fact("legacy_prices", "props", date="scraped_at"),
     "legacy_gold_current_properties": f"""
         SELECT q.prop_id, address, postcode, latitude, longitude,

@@ -134,9 +134,9 @@ def gold_property_fact_large_groups(spark, sf):
 
 @register
 def gold_property_fact_unmatched(spark, sf):
-    """Half of the properties are unknown, so the total exceeds the sum of the areas."""
+    """Properties without a postcode are unknown and ten areas unlisted: the total exceeds the sum of the areas."""
     prices, props = _silver(spark, sf)
-    return gold.price_fact(prices, props.where(F.col("prop_id") % 2 == 0), AREA_CODES[:10])
+    return gold.price_fact(prices, props.where(F.col("postcode").isNotNull()), AREA_CODES[:10])
 
 
 def _legacy(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

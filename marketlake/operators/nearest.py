@@ -7,7 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.session import cut_lineage
+
 _MAX_LEVEL = 20  # cells of extent / 4**20: finer than coordinates of 8 decimal places
+_CUT_EVERY = 4
 _BROADCAST_LEVEL = 4  # level 4 has at most 16**4 = 65,536 cells
 
 
@@ -103,6 +106,8 @@ def nearest_join(
             .where(F.col("_near") <= F.col("_bound") * (1 + 1e-12))
             .select("u", "v", F.col("nu").alias("gu"), F.col("nv").alias("gv"))
         )
+        if level % _CUT_EVERY == 0 and level < depth:
+            frontier = cut_lineage(frontier)
 
     leaves = sites.select(
         at_level("cu", depth).alias("gu"), at_level("cv", depth).alias("gv"),

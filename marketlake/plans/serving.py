@@ -43,8 +43,8 @@ def area_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
     areas = fact.where(F.col("area_code") != TOTAL_AREA)
     by_date = areas.groupBy("date").agg(F.collect_list(F.struct(*measures)).alias("rows"))
     newest = by_date.agg(F.max_by("rows", "date").alias("rows")).select(F.inline("rows"))
-    # The dimension is a literal table of the listed areas.
-    return newest.join(F.broadcast(dim), "area_code").select(
+    # It came out of one row, so it is small.
+    return dim.join(F.broadcast(newest), "area_code").select(
         "area_code", "district", *measures[1:]
     ).orderBy(F.desc("median_price"), "area_code")
 

@@ -54,6 +54,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder, so that what follows neither replans nor redoes its past."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores if the input has fewer partitions than cores, else the frame as it is.
 
