@@ -365,7 +365,7 @@ _TEXTS = {
         SELECT date, CASE WHEN month(date) <= 6 THEN close ELSE close + 1 END AS close FROM index_rows""",
     "needs_postcode": """
         SELECT prop_id, postcode, last_seen FROM props_2
-        WHERE prop_id NOT IN (SELECT prop_id FROM props_1 WHERE postcode IS NOT NULL)""",
+        WHERE NOT EXISTS (SELECT 1 FROM props_1 t WHERE t.prop_id = props_2.prop_id AND t.postcode IS NOT NULL)""",
     "request_batches": """
         SELECT count(*) AS num_rows, CAST(0 AS BIGINT) AS too_large, true AS few_part_filled FROM points""",
     "postcode_for_new_properties": """
@@ -379,7 +379,7 @@ _TEXTS = {
             FROM props_2 q, (SELECT postcode, min(latitude) AS latitude, min(longitude) AS longitude
                              FROM sites GROUP BY postcode) n
             WHERE q.postcode IS NULL
-              AND q.prop_id NOT IN (SELECT prop_id FROM props_1 WHERE postcode IS NOT NULL))
+              AND NOT EXISTS (SELECT 1 FROM props_1 t WHERE t.prop_id = q.prop_id AND t.postcode IS NOT NULL))
           WHERE rn = 1) b ON p.prop_id = b.prop_id""",
     "nearest_site": """
         SELECT p.prop_id, n.site_id, round(n.distance, 9) AS distance

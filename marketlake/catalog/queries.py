@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -543,30 +543,37 @@ def _house(spark: SparkSession, name: str) -> pipeline.Warehouse:
     return pipeline.Warehouse(f"{root}/landing", f"{root}/silver", f"{root}/gold", f"{root}/checkpoints")
 
 
-def _deliver(spark: SparkSession, sf: str, house: pipeline.Warehouse, first: bool) -> None:
+BOTH = ("properties", "prices")
+
+
+def _deliver(
+    spark: SparkSession, sf: str, house: pipeline.Warehouse, first: bool, datasets: Sequence[str] = BOTH
+) -> None:
     rows = inputs.batch_properties(spark, sf, first)
     run_date = date(2024, 2, 1) if first else date(2024, 2, 8)
-    write_landing(rows, house.landing, "properties", run_date)
-    write_landing(rows, house.landing, "prices", run_date)
+    for dataset in datasets:
+        write_landing(rows, house.landing, dataset, run_date)
 
 
-def _two_runs(spark: SparkSession, sf: str, name: str) -> pipeline.Warehouse:
+def _two_runs(
+    spark: SparkSession, sf: str, name: str, log: RunLog | None = None, datasets: Sequence[str] = BOTH
+) -> pipeline.Warehouse:
     house = _house(spark, name)
     for first in (True, False):
-        _deliver(spark, sf, house, first)
-        pipeline.run_silver(spark, house, RunLog(spark))
+        _deliver(spark, sf, house, first, datasets)
+        pipeline.run_silver(spark, house, log or RunLog(spark))
     return house
 
 
 @register
 def incremental_silver_properties(spark, sf):
     """Two deliveries through the landing stream, each merged into the stored table."""
-    return _two_runs(spark, sf, "properties").properties.read(spark)
+    return _two_runs(spark, sf, "properties", datasets=["properties"]).properties.read(spark)
 
 
 @register
 def incremental_silver_prices(spark, sf):
-    return _two_runs(spark, sf, "prices").prices.read(spark)
+    return _two_runs(spark, sf, "prices", datasets=["prices"]).prices.read(spark)
 
 
 @register
@@ -592,10 +599,8 @@ def pipeline_quality(spark, sf):
 @register
 def pipeline_metrics(spark, sf):
     """Rows written by each stage over two deliveries."""
-    house, log = _house(spark, "metrics"), RunLog(spark)
-    for first in (True, False):
-        _deliver(spark, sf, house, first)
-        pipeline.run_silver(spark, house, log)
+    log = RunLog(spark)
+    house = _two_runs(spark, sf, "metrics", log)
     pipeline.run_gold(spark, house, log)
     return log.frame().groupBy("dataset", "stage").agg(F.sum("rows").alias("rows"))
 
@@ -605,7 +610,8 @@ def stream_first_per_day(spark, sf):
     """Streaming dedupe: the (property, day) pairs of all events."""
     root = scratch_path(spark, "dedupe")
     schema = inputs.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # As a pattern the path may be one file or a folder of files.
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
     keyed = stream.select(
         F.col("user_id").alias("prop_id"), F.to_date("ts").alias("date"), F.col("ts").cast("timestamp").alias("seen")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,6 +48,16 @@ def stream_landing(
     )
 
 
-def stream_dedupe(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """First row per key within ``lateness``, for streams that append facts without a merge."""
-    return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedupe(
+    stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str, salts: int = 8
+) -> DataFrame:
+    """First row per key within ``lateness``, for streams that append facts without a merge.
+
+    A key's rows are deduplicated in ``salts`` shares first, so that a very frequent key is
+    spread over as many tasks and leaves only that many rows for the last step.
+    """
+    marked = stream.withWatermark(event_time, lateness)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
+        marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return marked.dropDuplicatesWithinWatermark(list(keys))

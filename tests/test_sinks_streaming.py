@@ -200,11 +200,12 @@ def test_whole_pipeline_twice(spark, root):
     assert tables["silver_spy_prices"].schema.simpleString() == "struct<date:date,close:float>"
 
 
-def test_stream_dedupe(spark, root):
-    rows = [(1, datetime(2024, 1, 1)), (1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))]
+@pytest.mark.parametrize("salts", [1, 8])
+def test_stream_dedupe(spark, root, salts):
+    rows = [(1, datetime(2024, 1, 1, i % 24)) for i in range(50)] + [(2, datetime(2024, 1, 2))]
     spark.createDataFrame(rows, "k int, seen timestamp").coalesce(1).write.parquet(f"{root}/in")
     stream = spark.readStream.schema("k int, seen timestamp").parquet(f"{root}/in")
-    query = stream_dedupe(stream, ["k"], "seen", "30 days").writeStream.format("parquet").option(
+    query = stream_dedupe(stream, ["k"], "seen", "30 days", salts).writeStream.format("parquet").option(
         "checkpointLocation", f"{root}/cp").option("path", f"{root}/out").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2]
