@@ -424,7 +424,7 @@ _TEXTS = {
         FROM orders, range(0, 3) AS r(i) WHERE (o_orderkey + i) % 4 <> 0 AND o_orderkey % 50 <> 0""",
     **{f"quality_{table}": _rules(table, rules) for table, rules in _RULES.items()},
     "quality_raw_listings": _rules("raw_listings", _RAW_RULES),
-    "pipeline_quality":
+    "end_to_end_quality":
         'SELECT "table", count(*) AS rules, count(*) FILTER (WHERE passed) AS passed FROM ('
         + " UNION ALL ".join(_rules(table, rules) for table, rules in _FIRST_RULES.items())
         + ') GROUP BY "table"',
@@ -452,8 +452,8 @@ _TEXTS = {
         FROM raw GROUP BY date""",
     "incremental_silver_properties": "SELECT * FROM merged_props",
     "incremental_silver_prices": "SELECT * FROM merged_prices",
-    "pipeline_gold_property_fact": _fact("merged_prices", "merged_props"),
-    "pipeline_metrics": f"""
+    "end_to_end_gold_property_fact": _fact("merged_prices", "merged_props"),
+    "end_to_end_metrics": f"""
         SELECT 'properties' AS dataset, 'silver' AS stage,
                (SELECT count(*) FROM props_1) + (SELECT count(*) FROM merged_props) AS rows
         UNION ALL SELECT 'prices', 'silver', count(*) FROM merged_prices

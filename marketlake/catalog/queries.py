@@ -577,14 +577,14 @@ def incremental_silver_prices(spark, sf):
 
 
 @register
-def pipeline_gold_property_fact(spark, sf):
+def end_to_end_gold_property_fact(spark, sf):
     house = _two_runs(spark, sf, "fact")
     pipeline.run_gold(spark, house, RunLog(spark))
     return spark.read.parquet(f"{house.gold}/gold_property_fact")
 
 
 @register
-def pipeline_quality(spark, sf):
+def end_to_end_quality(spark, sf):
     """One delivery of each dataset through silver, gold and all rulesets."""
     house = _house(spark, "quality")
     _deliver(spark, sf, house, True)
@@ -597,7 +597,7 @@ def pipeline_quality(spark, sf):
 
 
 @register
-def pipeline_metrics(spark, sf):
+def end_to_end_metrics(spark, sf):
     """Rows written by each stage over two deliveries."""
     log = RunLog(spark)
     house = _two_runs(spark, sf, "metrics", log)

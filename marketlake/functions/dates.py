@@ -30,6 +30,12 @@ def iso_date(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM-dd")
 
 
+def iso_timestamp(stamp: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss``, with six digits of a second's fraction if there is one."""
+    text = F.replace(stamp.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))
+    return F.when(F.length(text) == 19, text).otherwise(F.rpad(text, 26, "0"))
+
+
 def flexible_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     """The date if the text has one of the shapes, else NULL. Two-digit years from 69 on are of the 1900s.
 

@@ -134,17 +134,17 @@ def _legacy_prices(raw: DataFrame) -> DataFrame:
 LEGACY_TABLES = {
     t.name: t
     for t in (
-        Table("silver_properties", "Deduplicated property dimension, one row per prop_id.", "silver",
+        Table("silver_properties", "Newest state of every property.", "silver",
               ("landing_properties",), _legacy_properties),
-        Table("silver_prices", "Deduplicated price fact, one row per prop_id per date.", "silver",
+        Table("silver_prices", "One positive price for each property and scrape day.", "silver",
               ("landing_prices",), _legacy_prices),
-        Table("silver_spy_prices", "Deduplicated index closes, one row per date.", "silver",
+        Table("silver_spy_prices", "One index close for each day.", "silver",
               ("landing_spy_prices",), silver.legacy_index),
-        Table("gold_area_dim", "Area code reference table.", "gold", (), lambda: area_dim(SparkSession.active())),
-        Table("gold_property_fact", "Mean and median price and property count by date and area.", "gold",
+        Table("gold_area_dim", "Names of the areas.", "gold", (), lambda: area_dim(SparkSession.active())),
+        Table("gold_property_fact", "Price level and number of listings, by day and area.", "gold",
               ("silver_prices", "silver_properties"),
               lambda prices, props: gold.price_fact(prices, props, date_col="scraped_at")),
-        Table("gold_current_properties", "Properties available on the most recent scrape date.", "gold",
+        Table("gold_current_properties", "What was listed on the newest scrape day.", "gold",
               ("silver_prices", "silver_properties"),
               lambda prices, props: gold.current_listings(prices, props, date_col="scraped_at", unlisted="null")),
     )

@@ -12,6 +12,7 @@ from marketlake.operators.merge import merge_insert_only, merge_upsert
 from marketlake.operators.nearest import nearest_join
 from marketlake.schemas import SILVER, as_timestamp, conform
 
+# ---- fixed values: names and predicates of the row expectations ----
 LEGACY_EXPECTATIONS = {
     "postcode_present": "postcode IS NOT NULL",
     "valid_prop_id": "prop_id IS NOT NULL",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.dates import flexible_date, iso_date
+from marketlake.functions.dates import flexible_date, iso_date, iso_timestamp
 from marketlake.schemas import DATA_SCRIPT_ID, RESULTS_PATH
 
 
@@ -79,12 +79,9 @@ def parse_listings(results: DataFrame, keys: Sequence[str], scraped_at: Column)
 def split_listings(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good records as landing property rows (without postcode) and landing price rows."""
     good = listings.where(F.col("is_listing") & ~F.col("is_bad"))
-    stamp = F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format("scraped_at", "SSSSSS")
-    iso = F.when(micros == "000000", stamp).otherwise(F.concat_ws(".", stamp, micros)).alias("scraped_at")
-    properties = good.select("prop_id", "address", "latitude", "longitude", iso)
-    prices = good.select("prop_id", iso_date(F.col("scraped_at")).alias("date"), "price", iso)
-    return properties, prices
+    day = F.col("scraped_at").cast("date").cast("string").alias("date")
+    iso = iso_timestamp(F.col("scraped_at")).alias("scraped_at")
+    return good.select("prop_id", "address", "latitude", "longitude", iso), good.select("prop_id", day, "price", iso)
 
 
 def page_indices(results: DataFrame, keys: Sequence[str]) -> DataFrame:
