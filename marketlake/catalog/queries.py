@@ -441,6 +441,16 @@ def html_table_rates(spark, sf):
     return page_source.extract_html_table(inputs.rate_pages(spark, sf), ["o_orderkey"], F.lit("2024-01-01").cast("date"))
 
 
+@register
+def rates_in_range(spark, sf):
+    """Number and mean of the parsed rates by day, within a closed range of dates."""
+    rates = html_table_rates(spark, sf)
+    chosen = rates.where(filters.between_dates(F.col("date").cast("date"), date(1997, 1, 1), date(1997, 12, 31)))
+    return chosen.groupBy("date").agg(
+        F.count(F.lit(1)).alias("num_rates"), F.round(F.avg("rate"), 6).alias("mean_rate")
+    )
+
+
 # ---- quality -------------------------------------------------------------------------
 
 
