@@ -45,7 +45,7 @@ def _fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _current(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.current_listings(*_silver(spark, sf))
+    return gold.current_listings(*_silver(spark, sf), dates=inputs.raw_prices(spark, sf).select("date"))
 
 
 # ---- silver --------------------------------------------------------------------------
