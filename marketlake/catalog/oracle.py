@@ -418,7 +418,8 @@ _TEXTS = {
                CASE WHEN page_id % 3 <> 0 THEN CAST(-0.1 AS DOUBLE) END AS longitude, false AS is_bad
         FROM pages""",
     "rates_in_range": """
-        SELECT CAST(day AS VARCHAR) AS date, count(*) AS num_rates, round(avg(rate), 6) AS mean_rate
+        SELECT CAST(day AS VARCHAR) AS date, count(*) AS num_rates,
+               CAST(sum(CAST(rate AS DECIMAL(12, 2))) AS DOUBLE) AS sum_rate
         FROM (SELECT CAST(o_orderdate AS DATE) + CAST(i AS INTEGER) AS day,
                      (o_orderkey + i) % 1000 / CAST(100 AS DOUBLE) AS rate
               FROM orders, range(0, 3) AS r(i) WHERE (o_orderkey + i) % 4 <> 0 AND o_orderkey % 50 <> 0)

@@ -443,11 +443,16 @@ def html_table_rates(spark, sf):
 
 @register
 def rates_in_range(spark, sf):
-    """Number and mean of the parsed rates by day, within a closed range of dates."""
+    """Number and sum of the parsed rates by day, within a closed range of dates.
+
+    The rates have two decimals and are added as such: a sum of doubles, and a mean rounded
+    from it, would depend on the order of the rows.
+    """
     rates = html_table_rates(spark, sf)
     chosen = rates.where(filters.between_dates(F.col("date").cast("date"), date(1997, 1, 1), date(1997, 12, 31)))
     return chosen.groupBy("date").agg(
-        F.count(F.lit(1)).alias("num_rates"), F.round(F.avg("rate"), 6).alias("mean_rate")
+        F.count(F.lit(1)).alias("num_rates"),
+        F.sum(F.col("rate").cast("decimal(12,2)")).cast("double").alias("sum_rate"),
     )
 
 
