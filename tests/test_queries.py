@@ -10,6 +10,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as entry  # noqa: E402
 import check_queries  # noqa: E402
 
+from marketlake.catalog.oracle import ORACLE  # noqa: E402
+from marketlake.catalog.queries import QUERIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the provided tables")
@@ -20,7 +23,7 @@ def con():
     return check_queries.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     verdict, rows, _ = check_queries.compare(spark, con, name, SF)
     assert verdict == "ok"
@@ -28,7 +31,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_every_query_has_a_sql_text():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):
