@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import simhash
+from marketlake.llm import linededup, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -22,6 +22,40 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, dropped lines and the digest of the kept text of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, min_chars=20, min_docs=3))
+    return kept.select(
+        "doc_id", F.col("__llm_n_lines").alias("n_lines"), F.col("__llm_n_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+ORACLE["op3_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents
+), keyed AS (
+  SELECT doc_id, line, pos,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), shared AS (
+  SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT k.doc_id, k.line, k.pos, s.key IS NOT NULL AND k.doc_id <> s.largest AS dropped
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_line_dedup": op3_line_dedup,
 }
