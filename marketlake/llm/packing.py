@@ -25,6 +25,7 @@ from marketlake.llm.common import stored
 
 CAPACITY = 1024
 END_ID = 2
+TOLERANCES = (0.02, 0.002)  # of configurations used in one round, below the best one's value
 GROUP_ROWS = 50_000  # rows aimed at in a group that ranks pieces
 _SLICE_BYTES = 8 << 20  # text tokenised at once in a task
 
@@ -191,7 +192,7 @@ def _filling(first: int, pick: np.ndarray, capacity: int) -> Pattern:
 
 
 def solve_configurations(
-    counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 300, step: float = 0.1, tolerance: float = 0.02,
+    counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 100, step: float = 0.1, tolerance: float = 0.02
 ) -> dict[Pattern, float]:
     """A nearly optimal fractional covering of all lengths by configurations, by multiplicative weights.
 
@@ -255,25 +256,37 @@ def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]
     return [group for groups in open_.values() for group in groups]
 
 
-def configurations(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
-    """(configuration, number of sequences) that hold every piece of the histogram exactly once."""
-    left = {n: k for n, k in counts.items() if k and n < capacity}
-    out = [(((capacity, 1),), counts[capacity])] if counts.get(capacity) else []
+def _rounded(counts: dict[int, int], capacity: int, tolerance: float) -> list[tuple[Pattern, int]]:
+    left, out = dict(counts), []
     while left:
-        placed = 0
-        for pattern, uses in sorted(solve_configurations(left, capacity).items(), key=lambda x: -x[1]):
-            times = min([int(uses), *(left.get(n, 0) // k for n, k in pattern)])
+        uses = solve_configurations(left, capacity, tolerance=tolerance)
+        waste = {p: capacity - sum(n * k for n, k in p) for p in uses}
+        least, placed = min(waste.values()), 0
+        for pattern in sorted((p for p in uses if waste[p] == least), key=lambda p: -uses[p]):
+            times = min([int(uses[pattern]), *(left.get(n, 0) // k for n, k in pattern)])
             if times:
                 out.append((pattern, times))
                 for n, k in pattern:
                     left[n] -= k * times
                     placed += k * times
         left = {n: k for n, k in left.items() if k}
-        if placed < 0.1 * (placed + sum(left.values())):
-            break  # too few pieces of each length for whole sequences
+        if placed < sum(left.values()):
+            break  # most pieces are too few of their length for whole sequences
     return out + _best_fit(left, capacity)
 
 
+def configurations(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """(configuration, number of sequences) that hold every piece of the histogram exactly once.
+
+    Configurations that waste least are rounded down; best fit packs what they leave. Of the solutions at two
+    tolerances the one with fewer sequences is taken.
+    """
+    whole = [(((capacity, 1),), counts[capacity])] if counts.get(capacity) else []
+    left = {n: k for n, k in counts.items() if k and n < capacity}
+    solved = [_rounded(left, capacity, tolerance) for tolerance in TOLERANCES] if left else [[]]
+    return whole + min(solved, key=lambda groups: sum(times for _, times in groups))
+
+
 class Slots:
     """Where the pieces of each length go, by their rank among those of that length."""
 

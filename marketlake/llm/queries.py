@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import linededup, simhash
+from marketlake.llm import linededup, packing, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -55,7 +55,24 @@ FROM marked GROUP BY doc_id
 """
 
 
+def tokenizer_files() -> dict[str, str]:
+    """Files of the public byte-level BPE, as parameters of ``packing``."""
+    import public_tokenizers
+
+    return {
+        "json_path": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), **tokenizer_files(), capacity=1024, end_id=2)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op5_best_fit_packing": op5_best_fit_packing,
 }
