@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import linededup, packing, simhash
+from marketlake.llm import linededup, packing, quality, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -71,8 +71,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), **tokenizer_files(), capacity=1024, end_id=2)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), folds=5)
+    return quality.classify(docs, model, threshold=0.3, folds=5)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_quality_classifier": op8_quality_classifier,
 }
