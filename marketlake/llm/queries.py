@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import linededup, packing, quality, simhash
+from marketlake.llm import linededup, mixing, packing, quality, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -22,6 +22,76 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The largest source is a web crawl; the others are reference works (up to 9) and forums.
+DOMAIN_SQL = """CASE WHEN source = 'src0' THEN 'web'
+     WHEN source IN ('src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'src8', 'src9') THEN 'reference'
+     ELSE 'forum' END"""
+
+MIX = mixing.Mix(
+    weights={
+        "web": 3, "reference": 4, "forum": 3,
+        "web/en": 4, "web/de": 2, "web/fr": 2, "web/es": 2,
+        "reference/en": 3, "reference/de": 3, "reference/fr": 2, "reference/es": 2,
+        "forum/en": 4, "forum/de": 2, "forum/fr": 2, "forum/es": 2,
+    },
+    default_weight=1, share=1.0, epochs=3, seed=20240,
+)
+
+
+def op2_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of a document in the mix, with its leaf and epoch."""
+    return mixing.mix_table(_table(spark, sf_dir, "documents"), F.expr(DOMAIN_SQL), MIX)
+
+
+def _dealt_sql(name: str, nodes: str, parent: list[str], child: str) -> str:
+    """Common table expressions that deal the parents' budgets (``nodes``: parent, child, cap, budget)."""
+    part = f"PARTITION BY {', '.join(parent)}" if parent else ""
+    path = " || '/' || ".join([*parent, child])
+    weight = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX.weights.items())
+    return f"""
+{name}_w AS (SELECT *, CASE {path} {weight} ELSE {MIX.default_weight} END::HUGEINT AS w FROM ({nodes})),
+{name}_s AS (
+  SELECT *, cap * sum(w) OVER ({part} ORDER BY cap / w::DOUBLE, {child} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= w * (budget - sum(cap) OVER ({part} ORDER BY cap / w::DOUBLE, {child} ROWS UNBOUNDED PRECEDING) + cap) AS full_
+  FROM {name}_w
+),
+{name}_f AS (
+  SELECT *, coalesce(sum(cap) FILTER (WHERE full_) OVER ({part}), 0) AS taken,
+         sum(w) FILTER (WHERE NOT full_) OVER ({part}) AS others FROM {name}_s
+),
+{name} AS (
+  SELECT * EXCLUDE (budget), CASE WHEN full_ THEN cap ELSE w * (budget - taken) // others END AS budget FROM {name}_f
+)"""
+
+
+ORACLE["op2_mixing_sources"] = f"""
+WITH sized AS (
+  SELECT doc_id, {DOMAIN_SQL} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+  FROM documents
+), leaf AS (
+  SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * {MIX.epochs} AS cap
+  FROM sized GROUP BY ALL
+),{_dealt_sql("d", f"""SELECT domain, sum(cap)::HUGEINT AS cap, (SELECT floor(sum(tokens) * {MIX.share})::HUGEINT FROM leaf)
+  AS budget FROM leaf GROUP BY domain""", [], "domain")},{_dealt_sql("l", """SELECT domain, lang, sum(leaf.cap)::HUGEINT AS cap,
+  any_value(d.budget) AS budget FROM leaf JOIN d USING (domain) GROUP BY domain, lang""", ["domain"], "lang")},{_dealt_sql("s", """
+  SELECT domain, lang, source, leaf.cap, l.budget FROM leaf JOIN l USING (domain, lang)""", ["domain", "lang"], "source")},
+plan AS (
+  SELECT domain, lang, source, budget, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole,
+         CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+  FROM s JOIN leaf USING (domain, lang, source)
+), ordered AS (
+  SELECT z.*, whole, rest, sum(n_tokens) OVER (
+      PARTITION BY domain, lang, source
+      ORDER BY md5('{MIX.seed}:' || whole || ':' || doc_id), doc_id::VARCHAR ROWS UNBOUNDED PRECEDING) - n_tokens AS begin_
+  FROM sized z JOIN plan USING (domain, lang, source)
+), used AS (
+  SELECT *, (whole + CASE WHEN begin_ < rest THEN 1 ELSE 0 END)::BIGINT AS uses FROM ordered
+)
+SELECT doc_id, domain, lang, source, n_tokens, unnest(range(uses))::INTEGER AS epoch FROM used
+"""
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, dropped lines and the digest of the kept text of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +150,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_mixing_sources": op2_mixing_sources,
     "op3_line_dedup": op3_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op8_quality_classifier": op8_quality_classifier,
