@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import linededup, mixing, packing, quality, simhash
+from marketlake.llm import langid, linededup, mixing, packing, quality, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -141,6 +141,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), **tokenizer_files(), capacity=1024, end_id=2)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the texts and languages outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs, folds=4, fold=2), folds=4, fold=2)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labels outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents")
@@ -153,5 +159,6 @@ QUERIES = {
     "op2_mixing_sources": op2_mixing_sources,
     "op3_line_dedup": op3_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
 }
