@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import langid, linededup, mixing, packing, quality, simhash
+from marketlake.llm import langid, linededup, mixing, packing, piecewise, quality, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -141,6 +141,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), **tokenizer_files(), capacity=1024, end_id=2)
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and their likeness."""
+    return piecewise.with_successors(_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the texts and languages outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents")
@@ -159,6 +164,7 @@ QUERIES = {
     "op2_mixing_sources": op2_mixing_sources,
     "op3_line_dedup": op3_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
 }
