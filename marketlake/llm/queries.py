@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import langid, linededup, mixing, packing, piecewise, quality, simhash
+from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, quality, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -159,6 +159,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model, threshold=0.3, folds=5)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found of every twentieth embedding."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), every=20, keep=20)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_mixing_sources": op2_mixing_sources,
@@ -167,4 +172,5 @@ QUERIES = {
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
 }
