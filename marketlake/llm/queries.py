@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, quality, simhash
+from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash
 
 ORACLE: dict[str, str] = {}
 
@@ -125,6 +125,21 @@ FROM marked GROUP BY doc_id
 """
 
 
+# The queries' own key; a real one belongs into a secret store and comes as the parameter.
+PSEUDONYM_KEY = "key of the registered query"
+
+
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for personal data, their number and kinds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    kinds = F.coalesce("__llm_kinds", F.array().cast("array<string>"))
+    return out.select(
+        "doc_id", "text", F.size(kinds).cast("long").alias("n_replaced"),
+        F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds"),
+    )
+
+
 def tokenizer_files() -> dict[str, str]:
     """Files of the public byte-level BPE, as parameters of ``packing``."""
     import public_tokenizers
@@ -168,6 +183,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_mixing_sources": op2_mixing_sources,
     "op3_line_dedup": op3_line_dedup,
+    "op4_pii_pseudonyms": op4_pii_pseudonyms,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_language_id": op7_language_id,
