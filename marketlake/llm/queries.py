@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash
+from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, warc
 
 ORACLE: dict[str, str] = {}
 
@@ -179,6 +179,12 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), every=20, keep=20)
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and plain-text records of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return warc.derivatives(warc.responses_of_pages(pages, "2024-01-01T00:00:00Z"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_mixing_sources": op2_mixing_sources,
@@ -189,4 +195,5 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_warc_derivatives": op10_warc_derivatives,
 }
