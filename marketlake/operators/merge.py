@@ -16,16 +16,18 @@ def _all_set(keys: Sequence[str]) -> Column:
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pass the rows through; the job fails if a key occurs twice.
+    """Pass the rows through; the job fails if a key occurs twice or holds a NULL.
 
     The window wants the same partitioning and order as a sort-merge join on the
     keys, so in front of such a join it adds no shuffle.
     """
     seen = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    message = F.concat(F.lit("duplicate merge key: "), F.to_json(F.struct(*keys)))
+    shown = F.to_json(F.struct(*keys))
+    twice = F.raise_error(F.concat(F.lit("duplicate merge key: "), shown)).cast("boolean")
+    unset = F.raise_error(F.concat(F.lit("merge key with a NULL: "), shown)).cast("boolean")
     return (
         df.withColumn("_seen", seen)
-        .where(F.when(F.col("_seen") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        .where(F.when(~_all_set(keys), unset).when(F.col("_seen") > 1, twice).otherwise(F.lit(True)))
         .drop("_seen")
     )
 
@@ -43,22 +45,19 @@ def merge_upsert(
     ``when_newer`` and the update rules get accessors ``s`` and ``t`` for the source's and the
     target's columns. A column without a rule takes the source's value. ``when_older`` holds
     rules for matched rows that fail ``when_newer`` (by default these stay as they are).
-    Keys with a NULL match nothing: such source rows are always inserted. They stay out of
-    the join, where they would all meet in one task.
+    Keys hold no NULL: a NULL matches nothing, so a replayed row would be inserted again. The
+    job fails on such source rows; set them aside before.
     """
     set_exprs = dict(set_exprs or {})
     when_older = dict(when_older or {})
     columns = target.columns
     values = [c for c in columns if c not in keys]
     source = source.select(*columns)
-    keyed = _all_set(keys)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(*keys, F.struct(*values).alias(name))
 
-    joined = side(target.where(keyed), "_t").join(
-        side(assert_unique(source.where(keyed), keys), "_s"), list(keys), "full_outer"
-    )
+    joined = side(target, "_t").join(side(assert_unique(source, keys), "_s"), list(keys), "full_outer")
 
     def s(name: str) -> Column:
         return F.col(name) if name in keys else F.col("_s")[name]
@@ -80,8 +79,7 @@ def merge_upsert(
             .alias(name)
         )
 
-    merged_rows = joined.select([F.col(c) if c in keys else merged(c) for c in columns])
-    return merged_rows.unionByName(target.where(~keyed)).unionByName(source.where(~keyed))
+    return joined.select([F.col(c) if c in keys else merged(c) for c in columns])
 
 
 def merge_insert_only(
@@ -93,7 +91,8 @@ def merge_insert_only(
 ) -> DataFrame:
     """Source rows whose key the target does not hold, ready to append.
 
-    ``source`` must hold one row per key. ``bound_by`` names a key column, usually the
+    ``source`` must hold one row per key; rows with a NULL in their key are left out, as they
+    would come again with every replay. ``bound_by`` names a key column, usually the
     target's partition column: the target is then read only between the batch's smallest
     and largest value of it. ``bounds`` may hand in a frame that has the same column and
     range but costs less than ``source`` to work out, such as the batch before deduplication.
@@ -104,4 +103,4 @@ def merge_insert_only(
         low = span.agg(F.min(bound_by)).scalar()
         high = span.agg(F.max(bound_by)).scalar()
         known = known.where(F.col(bound_by).between(low, high))
-    return source.join(known, list(keys), "left_anti").select(*source.columns)
+    return source.where(_all_set(keys)).join(known, list(keys), "left_anti").select(*source.columns)

@@ -9,15 +9,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators.quality import expect, expect_or_drop, rulesets, run_rules
+from marketlake.operators.quality import check_rules, expectation_counts, rulesets, run_rules
 from marketlake.plans import gold, silver
 from marketlake.schemas import REFERENCE, SILVER, reference_schema
-from marketlake.sinks.writers import RunLog, replace_table
+from marketlake.sinks.writers import RunLog, create_table, replace_table
 from marketlake.sources.landing import counted, read_table
 from marketlake.sources.static import area_dim
 from marketlake.streaming.landing import stream_landing
-from marketlake.streaming.silver import insert_index, insert_prices, upsert_properties
-from marketlake.streaming.state import AppendTable, SnapshotTable, path_exists
+from marketlake.streaming.silver import Enrich, insert_index, insert_prices, upsert_properties, with_rejects
+from marketlake.streaming.state import AppendTable, KeyedTable, RejectTable, path_exists
 
 
 @dataclass(frozen=True)
@@ -30,8 +30,8 @@ class Warehouse:
     checkpoints: str
 
     @property
-    def properties(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.silver}/silver_properties", SILVER["silver_properties"])
+    def properties(self) -> KeyedTable:
+        return KeyedTable(f"{self.silver}/silver_properties", SILVER["silver_properties"], ["prop_id"])
 
     @property
     def prices(self) -> AppendTable:
@@ -41,23 +41,42 @@ class Warehouse:
     def index(self) -> AppendTable:
         return AppendTable(f"{self.silver}/silver_spy_prices", SILVER["silver_spy_prices"])
 
+    def rejects(self, dataset: str) -> RejectTable:
+        return RejectTable(f"{self.silver}/rejects/{dataset}")
+
 
 def run_silver(
-    spark: SparkSession, house: Warehouse, log: RunLog, normalise: bool = False, late_first_seen: bool = False
+    spark: SparkSession, house: Warehouse, log: RunLog, normalise: bool = False, late_first_seen: bool = False,
+    centroids: DataFrame | None = None, x_scale: float = 1.0, keep: int | None = 2,
 ) -> None:
-    """Consume the new landing files of each dataset; a dataset without any is left alone."""
+    """Consume the new landing files of each dataset; a dataset without any is left alone.
+
+    Rows that can't be stored go to the dataset's rejects, and their number to the log. With
+    ``centroids`` (postcode, latitude, longitude) properties without a known postcode get the
+    nearest one's. ``keep`` is how many commits of the property table stay readable.
+    """
+    def enriched(incoming: DataFrame, known: DataFrame) -> DataFrame:
+        return silver.with_nearest_postcodes(incoming, known, centroids, x_scale, normalise)
+
+    enrich: Enrich | None = None if centroids is None else enriched
     for dataset in ("properties", "prices", "spy_prices"):
         if not path_exists(spark, f"{house.landing}/{dataset}"):
             continue
         written: list[int] = []
+        refused: list[int] = []
         handler = {
-            "properties": lambda: upsert_properties(house.properties, normalise, late_first_seen, written.append),
+            "properties": lambda: upsert_properties(
+                house.properties, normalise, late_first_seen, written.append, enrich, keep
+            ),
             "prices": lambda: insert_prices(house.prices, written.append),
             "spy_prices": lambda: insert_index(house.index, written.append),
         }[dataset]()
+        handler = with_rejects(handler, dataset, house.rejects(dataset), refused.append)
         start = time.monotonic()
         stream_landing(spark, house.landing, dataset, f"{house.checkpoints}/{dataset}", handler).awaitTermination()
-        log.note(dataset, "silver", sum(written), time.monotonic() - start)
+        seconds = time.monotonic() - start
+        log.note(dataset, "silver", sum(written), seconds)
+        log.note(dataset, "rejected", sum(refused), seconds)
 
 
 def gold_tables(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]:
@@ -70,23 +89,34 @@ def gold_tables(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]:
 
 
 def run_gold(spark: SparkSession, house: Warehouse, log: RunLog) -> None:
-    """Recompute and replace the gold tables from silver."""
+    """Recompute and replace the gold tables from silver, in the working types."""
     for name, df in gold_tables(spark, house).items():
-        rows, seen = counted(reference_schema(df, name), name)
+        rows, seen = counted(df, name)
         log.timed(name, "gold", lambda r=rows, n=name: replace_table(r, f"{house.gold}/{n}"), seen)
 
 
-def open_tables(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]:
-    """All silver and gold tables in the published types."""
-    stored = {
+GOLD = ("gold_area_dim", "gold_property_fact", "gold_current_properties")
+
+
+def open_tables(spark: SparkSession, house: Warehouse, published: bool = False) -> dict[str, DataFrame]:
+    """All silver and gold tables, on request narrowed to the published types, which large ids do not fit."""
+    tables = {
         "silver_properties": house.properties.read(spark),
         "silver_prices": house.prices.read(spark),
         "silver_spy_prices": house.index.read(spark),
+        **{name: read_table(spark, f"{house.gold}/{name}") for name in GOLD},
     }
-    tables = {name: reference_schema(df, name) for name, df in stored.items()}
-    for name in ("gold_area_dim", "gold_property_fact", "gold_current_properties"):
-        tables[name] = reference_schema(read_table(spark, f"{house.gold}/{name}"), name)
-    return tables
+    return {name: reference_schema(df, name) for name, df in tables.items()} if published else tables
+
+
+def publish(spark: SparkSession, house: Warehouse, database: str) -> None:
+    """The gold tables as catalog tables of fixed columns, in the published types and beside the working ones."""
+    tables = open_tables(spark, house, published=True)
+    for name in GOLD:
+        path = f"{house.gold}/published/{name}"
+        replace_table(tables[name], path)
+        create_table(spark, f"{database}.{name}", REFERENCE[name], path)
+        spark.catalog.refreshTable(f"{database}.{name}")
 
 
 def run_quality(tables: dict[str, DataFrame]) -> DataFrame:
@@ -98,12 +128,23 @@ def run_quality(tables: dict[str, DataFrame]) -> DataFrame:
     return verdicts
 
 
-def run_all(spark: SparkSession, house: Warehouse) -> tuple[DataFrame, DataFrame]:
-    """Silver, gold, quality. Returns the verdicts and the run's metrics."""
+def run_all(
+    spark: SparkSession, house: Warehouse, on_fail: str = "report", normalise: bool = False,
+    late_first_seen: bool = False, centroids: DataFrame | None = None, x_scale: float = 1.0,
+) -> tuple[DataFrame, DataFrame]:
+    """Silver, gold, quality. Returns the verdicts and the run's metrics.
+
+    A broken rule is only reported, or with ``on_fail="fail"`` ends the run with an error.
+    """
+    if on_fail not in ("report", "fail"):
+        raise ValueError("on_fail is 'report' or 'fail'")
     log = RunLog(spark)
-    run_silver(spark, house, log)
+    run_silver(spark, house, log, normalise, late_first_seen, centroids, x_scale)
     run_gold(spark, house, log)
-    return run_quality(open_tables(spark, house)), log.frame()
+    verdicts = run_quality(open_tables(spark, house))
+    if on_fail == "fail":
+        check_rules(verdicts)
+    return verdicts, log.frame()
 
 
 # ---- the earlier generation: named tables that depend on each other ----
@@ -120,24 +161,13 @@ class Table:
     build: Callable[..., DataFrame]
 
 
-def _legacy_properties(raw: DataFrame) -> DataFrame:
-    rows = silver.legacy_properties(raw)
-    watched, _ = expect(rows, {n: F.expr(e) for n, e in silver.LEGACY_EXPECTATIONS.items()}, "silver_properties")
-    return watched
-
-
-def _legacy_prices(raw: DataFrame) -> DataFrame:
-    valid, _ = expect_or_drop(raw, "valid_price", F.col("price") > 0)
-    return silver.legacy_prices(valid)
-
-
 LEGACY_TABLES = {
     t.name: t
     for t in (
         Table("silver_properties", "Newest state of every property.", "silver",
-              ("landing_properties",), _legacy_properties),
+              ("landing_properties",), silver.legacy_properties),
         Table("silver_prices", "One positive price for each property and scrape day.", "silver",
-              ("landing_prices",), _legacy_prices),
+              ("landing_prices",), silver.legacy_prices),
         Table("silver_spy_prices", "One index close for each day.", "silver",
               ("landing_spy_prices",), silver.legacy_index),
         Table("gold_area_dim", "Names of the areas.", "gold", (), lambda: area_dim(SparkSession.active())),
@@ -163,7 +193,21 @@ def build_tables(inputs: dict[str, DataFrame], tables: dict[str, Table] = LEGACY
     return {name: get(name) for name in tables}
 
 
+def legacy_expectations(inputs: dict[str, DataFrame]) -> DataFrame:
+    """Violations of the earlier generation's row expectations: (table, check, violations, num_rows).
+
+    They are counted on request and ride along with no table, so that building tables costs nothing for them.
+    """
+    props = silver.legacy_properties(inputs["landing_properties"])
+    checks = {name: F.expr(text) for name, text in silver.LEGACY_EXPECTATIONS.items()}
+    counts = expectation_counts(props, checks).withColumn("table", F.lit("silver_properties"))
+    prices = expectation_counts(inputs["landing_prices"], {"valid_price": F.col("price") > 0})
+    return counts.unionByName(prices.withColumn("table", F.lit("silver_prices"))).select(
+        "table", "check", "violations", "num_rows"
+    )
+
+
 __all__ = [
-    "LEGACY_TABLES", "REFERENCE", "Table", "Warehouse", "build_tables", "gold_tables", "open_tables",
-    "run_all", "run_gold", "run_quality", "run_silver",
+    "GOLD", "LEGACY_TABLES", "REFERENCE", "Table", "Warehouse", "build_tables", "gold_tables", "legacy_expectations",
+    "open_tables", "publish", "run_all", "run_gold", "run_quality", "run_silver",
 ]

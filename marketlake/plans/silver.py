@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.areas import area_code
@@ -20,9 +20,36 @@ LEGACY_EXPECTATIONS = {
 }
 
 
+def _unread(name: str, kind: str) -> Column:
+    """Whether a value is there but is none of this type."""
+    return F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+
+
+def reject_reason(dataset: str) -> Column:
+    """Why a landing row can't be stored: its key is missing, or a value is none of its type. NULL for good rows."""
+    if dataset == "properties":
+        return F.when(F.col("prop_id").isNull(), "no prop_id").when(_unread("scraped_at", "timestamp_ntz"), "bad scraped_at")
+    reason = F.when(F.col("date").isNull(), "no date").when(_unread("date", "date"), "bad date")
+    if dataset == "prices":
+        return reason.when(F.col("prop_id").isNull(), "no prop_id").when(_unread("price", "int"), "bad price").when(
+            _unread("scraped_at", "timestamp_ntz"), "bad scraped_at"
+        )
+    return reason.when(_unread("loaded_at", "date"), "bad loaded_at")
+
+
+def accepted(raw: DataFrame, dataset: str) -> DataFrame:
+    return raw.where(reject_reason(dataset).isNull())
+
+
+def rejected(raw: DataFrame, dataset: str) -> DataFrame:
+    """The other rows, as ``reason`` and ``record`` (JSON)."""
+    marked = raw.select(reject_reason(dataset).alias("reason"), F.to_json(F.struct(*raw.columns)).alias("record"))
+    return marked.where("reason IS NOT NULL")
+
+
 def incoming_properties(raw: DataFrame, normalise: bool = False) -> DataFrame:
     """One row per property of the batch: its latest scrape, with first and last seen date and area."""
-    stamped = raw.withColumn("scraped_at", as_timestamp(F.col("scraped_at")))
+    stamped = accepted(raw, "properties").withColumn("scraped_at", as_timestamp(F.col("scraped_at")))
     latest = dedupe_latest(
         stamped, ["prop_id"], ["scraped_at"], ["address", "latitude", "longitude", "postcode"],
         first_seen=("scraped_at", "first_seen"),
@@ -35,8 +62,8 @@ def incoming_properties(raw: DataFrame, normalise: bool = False) -> DataFrame:
 
 def incoming_prices(raw: DataFrame) -> DataFrame:
     """One price per property and date: the latest scrape's."""
-    typed = raw.select(
-        "prop_id", F.col("price").cast("int").alias("price"), F.col("date").cast("date").alias("date"),
+    typed = accepted(raw, "prices").select(
+        "prop_id", F.col("price").try_cast("int").alias("price"), F.col("date").try_cast("date").alias("date"),
         as_timestamp(F.col("scraped_at")).alias("scraped_at"),
     )
     latest = dedupe_latest(typed, ["prop_id", "date"], ["scraped_at"], ["price"])
@@ -45,8 +72,8 @@ def incoming_prices(raw: DataFrame) -> DataFrame:
 
 def incoming_index(raw: DataFrame) -> DataFrame:
     """One close per date: the last loaded one."""
-    typed = raw.select(
-        F.col("date").cast("date").alias("date"), "close", F.col("loaded_at").cast("date").alias("loaded_at")
+    typed = accepted(raw, "spy_prices").select(
+        F.col("date").try_cast("date").alias("date"), "close", F.col("loaded_at").try_cast("date").alias("loaded_at")
     )
     return dedupe_latest(typed, ["date"], ["loaded_at"], ["close"]).select("date", "close")
 
@@ -72,7 +99,7 @@ def merge_properties(target: DataFrame, incoming: DataFrame, late_first_seen: bo
 
 
 def _days(raw: DataFrame | None) -> DataFrame | None:
-    return None if raw is None else raw.select(F.col("date").cast("date").alias("date"))
+    return None if raw is None else raw.select(F.col("date").try_cast("date").alias("date"))
 
 
 def new_prices(target: DataFrame, incoming: DataFrame, raw: DataFrame | None = None) -> DataFrame:
@@ -123,7 +150,7 @@ def legacy_properties(raw: DataFrame) -> DataFrame:
 def legacy_prices(raw: DataFrame) -> DataFrame:
     """Positive prices, one per property and scrape date (the latest scrape's)."""
     positive = raw.where(F.col("price") > 0).select(
-        "prop_id", F.col("price").cast("int").alias("price"), as_timestamp(F.col("scraped_at")).alias("stamp"),
+        "prop_id", F.col("price").try_cast("int").alias("price"), as_timestamp(F.col("scraped_at")).alias("stamp"),
     )
     keyed = positive.withColumn("scraped_at", F.col("stamp").cast("date"))
     return dedupe_latest(keyed, ["prop_id", "scraped_at"], ["stamp"], ["price"]).select(
@@ -133,6 +160,6 @@ def legacy_prices(raw: DataFrame) -> DataFrame:
 
 def legacy_index(raw: DataFrame) -> DataFrame:
     typed = raw.select(
-        F.col("date").cast("date").alias("date"), "close", F.col("loaded_at").cast("date").alias("loaded_at")
+        F.col("date").try_cast("date").alias("date"), "close", F.col("loaded_at").try_cast("date").alias("loaded_at")
     )
     return dedupe_latest(typed, ["date"], ["loaded_at"], ["close"])

@@ -59,6 +59,7 @@ def struct_of(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# ---- fixed values: columns and types of the published tables and landing files ----
 # Landing data arrives without day columns; those come from the folder names.
 LANDING = {
     "properties": struct_of(
@@ -111,5 +112,5 @@ def reference_schema(df: DataFrame, table: str) -> DataFrame:
 
 
 def as_timestamp(column: Column) -> Column:
-    """ISO text or timestamp to a timestamp free of time zones."""
-    return column.cast("timestamp_ntz")
+    """ISO text or timestamp to a timestamp free of time zones; NULL if the text is none."""
+    return column.try_cast("timestamp_ntz")

@@ -12,17 +12,19 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlake.schemas import LANDING
 
 
-def landing_stream(
-    spark: SparkSession,
-    root: str,
-    dataset: str,
-    schema: T.StructType | None = None,
-    max_files_per_batch: int | None = None,
-) -> DataFrame:
+# Spark's default forgets files a week older than the newest and then never reads them. Names of all files seen stay
+# in the checkpoint and in the driver, about 200 bytes each.
+MAX_FILE_AGE = "36500d"
+
+
+def landing_stream(spark: SparkSession, root: str, dataset: str, schema: T.StructType | None = None) -> DataFrame:
+    """New files of a dataset, however old their modification times are.
+
+    All files that are new form one batch: a batch's latest scrape wins, so cutting an
+    increment into several ones would change what is stored.
+    """
     reader = spark.readStream.schema(schema or LANDING[dataset]).option("recursiveFileLookup", "true")
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.parquet(f"{root}/{dataset}")
+    return reader.option("maxFileAge", MAX_FILE_AGE).parquet(f"{root}/{dataset}")
 
 
 def stream_landing(
@@ -32,7 +34,6 @@ def stream_landing(
     checkpoint: str,
     on_batch: Callable[[DataFrame, int], None],
     schema: T.StructType | None = None,
-    max_files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Hand all files that arrived since the last run to ``on_batch``, then stop.
 
@@ -40,7 +41,7 @@ def stream_landing(
     with the same id and files. Without new files ``on_batch`` is not called.
     """
     return (
-        landing_stream(spark, root, dataset, schema, max_files_per_batch)
+        landing_stream(spark, root, dataset, schema)
         .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

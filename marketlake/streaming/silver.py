@@ -7,25 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from marketlake.plans import silver
-from marketlake.streaming.state import AppendTable, SnapshotTable
+from marketlake.streaming.state import AppendTable, KeyedTable, RejectTable
 
 Handler = Callable[[DataFrame, int], None]
 Note = Callable[[int], None]
+#: A batch's properties before they are merged, from those and the stored ones.
+Enrich = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def _ignore(rows: int) -> None:
     pass
 
 
+def with_rejects(handle: Handler, dataset: str, table: RejectTable, noted: Note = _ignore) -> Handler:
+    """Store and count the rows that can't be kept, then handle the batch."""
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        noted(table.write(silver.rejected(batch, dataset), batch_id))
+        handle(batch, batch_id)
+
+    return both
+
+
 def upsert_properties(
-    table: SnapshotTable, normalise: bool = False, late_first_seen: bool = False, written: Note = _ignore
+    table: KeyedTable, normalise: bool = False, late_first_seen: bool = False, written: Note = _ignore,
+    enrich: Enrich | None = None, keep: int | None = None,
 ) -> Handler:
-    """Merge each batch into the property table; ``written`` gets the row count of each write."""
+    """Merge each batch into the buckets of the property table that it touches.
+
+    ``written`` gets the table's row count after each batch. ``enrich`` may add to the batch's
+    properties; ``keep`` drops all but that many commits after each batch.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = table.read(batch.sparkSession, before=batch_id)
+        spark = batch.sparkSession
+        buckets = table.touched(silver.accepted(batch, "properties").select("prop_id"), before=batch_id)
+        before = table.read(spark, before=batch_id, only=buckets)
         incoming = silver.incoming_properties(batch, normalise)
-        written(table.write(silver.merge_properties(before, incoming, late_first_seen), batch_id))
+        if enrich is not None:
+            incoming = enrich(incoming, before)
+        written(table.write(silver.merge_properties(before, incoming, late_first_seen), batch_id, buckets))
+        if keep is not None:
+            table.expire(spark, keep)
 
     return handle
 

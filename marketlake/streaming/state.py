@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.schemas import conform
 from marketlake.sinks.writers import append_rows
 from marketlake.sources.landing import counted
 
+BUCKETS = 64
+
 
 def _fs_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -20,55 +26,134 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-class SnapshotTable:
-    """A table rewritten as a whole by each batch, one folder per batch id.
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, where = _fs_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there as a whole or not at all."""
+    fs, draft = _fs_path(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    _, where = _fs_path(spark, path)
+    fs.delete(where, False)
+    if not fs.rename(draft, where):
+        raise OSError(f"could not commit {path}")
+
+
+def _get(spark: SparkSession, path: str) -> str:
+    fs, where = _fs_path(spark, path)
+    source = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+class MissingCommit(RuntimeError):
+    """Data of an earlier batch is there, but not its commit."""
+
+
+class KeyedTable:
+    """A keyed table in hash buckets of its keys; a batch rewrites the buckets it touches.
 
-    A batch reads the snapshot of the batch before it and writes its own, so a batch that
-    is replayed after a crash starts from the same input and replaces its own output only.
-    The batch ids come from the stream's checkpoint: keep table and checkpoint together.
+    ``data/batch=<id>/bucket=<n>`` holds what a batch wrote, and ``commits/batch=<id>.json`` is
+    written after it: for each bucket the batch that wrote it last and its row count. A batch
+    reads the commit before its own, so one that is replayed after a crash starts from the same
+    input and replaces its own output only. Batch ids come from the stream's checkpoint: keep
+    table and checkpoint together. The number of buckets is set by the first commit.
     """
 
-    def __init__(self, path: str, schema: T.StructType):
+    def __init__(self, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = BUCKETS):
         self.path = path.rstrip("/")
         self.schema = schema
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version={version:012d}"
-
-    def versions(self, spark: SparkSession) -> list[int]:
-        """Complete snapshots, oldest first."""
-        fs, where = _fs_path(spark, self.path)
-        if not fs.exists(where):
-            return []
-        folders = [s.getPath().getName() for s in fs.listStatus(where)]
-        found = sorted(int(f.split("=", 1)[1]) for f in folders if f.startswith("version="))
-        return [v for v in found if path_exists(spark, f"{self._folder(v)}/_SUCCESS")]
-
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Newest snapshot, or the newest one of an earlier batch than ``before``."""
-        usable = [v for v in self.versions(spark) if before is None or v < before]
-        if not usable:
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    def _data(self, batch: int) -> str:
+        return f"{self.path}/data/batch={batch:012d}"
+
+    def _commit(self, batch: int) -> str:
+        return f"{self.path}/commits/batch={batch:012d}.json"
+
+    def batches(self, spark: SparkSession) -> list[int]:
+        """Committed batches, oldest first."""
+        names = _names(spark, f"{self.path}/commits")
+        return [int(n[len("batch="):-len(".json")]) for n in names if n.startswith("batch=") and n.endswith(".json")]
+
+    def _last(self, spark: SparkSession, before: int | None) -> dict | None:
+        """The newest commit before a batch. Data after it and before that batch must not be."""
+        usable = [b for b in self.batches(spark) if before is None or b < before]
+        newest = usable[-1] if usable else -1
+        written = [int(n[len("batch="):]) for n in _names(spark, f"{self.path}/data") if n.startswith("batch=")]
+        lost = [b for b in written if newest < b and (b < before if before is not None else newest < 0)]
+        if lost:
+            raise MissingCommit(f"{self.path} holds data of batch {lost[-1]} without its commit")
+        return json.loads(_get(spark, self._commit(newest))) if usable else None
+
+    def bucket_of(self, buckets: int | None = None) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(buckets or self.buckets)).cast("int")
+
+    def n_buckets(self, spark: SparkSession, before: int | None = None) -> int:
+        commit = self._last(spark, before)
+        return commit["buckets"] if commit else self.buckets
+
+    def touched(self, df: DataFrame, before: int | None = None) -> list[int]:
+        """Buckets that hold keys of ``df``: at most as many numbers as there are buckets."""
+        bucket = self.bucket_of(self.n_buckets(df.sparkSession, before))
+        return sorted(r[0] for r in df.select(bucket.alias("bucket")).distinct().collect())
+
+    def read(
+        self, spark: SparkSession, before: int | None = None, only: Sequence[int] | None = None
+    ) -> DataFrame:
+        """The table after the newest batch, or after the newest one earlier than ``before``; ``only`` some buckets."""
+        commit = self._last(spark, before)
+        places = commit["places"] if commit else {}
+        wanted = places if only is None else {str(b): places[str(b)] for b in only if str(b) in places}
+        folders = [f"{self._data(p['batch'])}/bucket={b}" for b, p in sorted(wanted.items()) if p["rows"]]
+        if not folders:
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(self._folder(usable[-1]))
+        return spark.read.schema(self.schema).parquet(*folders)
 
-    def write(self, df: DataFrame, version: int) -> int:
-        """Store the batch's snapshot and return its row count."""
-        newer = [v for v in self.versions(df.sparkSession) if v > version]
+    def write(self, df: DataFrame, batch: int, only: Sequence[int] | None = None) -> int:
+        """Store the new content of the buckets (all, or ``only`` some), commit, and return the table's row count."""
+        spark = df.sparkSession
+        newer = [b for b in self.batches(spark) if b > batch]
         if newer:
             raise ValueError(
-                f"{self.path} holds batch {newer[-1]}, which is ahead of batch {version}: "
+                f"{self.path} holds batch {newer[-1]}, which is ahead of batch {batch}: "
                 "the stream's checkpoint does not belong to this table"
             )
-        rows, seen = counted(conform(df, self.schema), "snapshot")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._folder(version))
-        return seen.get["rows"]
+        commit = self._last(spark, batch) or {"buckets": self.buckets, "places": {}}
+        buckets = range(commit["buckets"]) if only is None else only
+        places = {b: p for b, p in commit["places"].items() if int(b) not in set(buckets)}
+        if len(buckets):
+            rows = conform(df, self.schema).withColumn("bucket", self.bucket_of(commit["buckets"]))
+            rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+                "bucket"
+            ).parquet(self._data(batch))
+            if any(n.startswith("bucket=") for n in _names(spark, self._data(batch))):
+                stored = spark.read.parquet(self._data(batch)).groupBy("bucket").count().collect()
+                places |= {str(r["bucket"]): {"batch": batch, "rows": r["count"]} for r in stored}
+        commit = {"batch": batch, "buckets": commit["buckets"], "places": places}
+        _put(spark, self._commit(batch), json.dumps(commit, sort_keys=True))
+        return sum(p["rows"] for p in places.values())
 
     def expire(self, spark: SparkSession, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` snapshots; at least two stay, for a replay."""
-        old = self.versions(spark)[: -max(keep, 2)]
-        for version in old:
-            fs, where = _fs_path(spark, self._folder(version))
-            fs.delete(where, True)
+        """Drop all but the newest ``keep`` commits (two at least, for a replay) and the data none of them names."""
+        committed = self.batches(spark)
+        old, kept = committed[: -max(keep, 2)], committed[-max(keep, 2):]
+        for batch in old:
+            fs, where = _fs_path(spark, self._commit(batch))
+            fs.delete(where, False)
+        needed = {p["batch"] for b in kept for p in json.loads(_get(spark, self._commit(b)))["places"].values()}
+        for name in _names(spark, f"{self.path}/data"):
+            batch = int(name[len("batch="):]) if name.startswith("batch=") else None
+            if batch is not None and batch not in needed and kept and batch < kept[-1]:
+                fs, where = _fs_path(spark, self._data(batch))
+                fs.delete(where, True)
         return old
 
 
@@ -92,3 +177,20 @@ class AppendTable:
     def append(self, df: DataFrame) -> int:
         """Add the rows and return how many there were."""
         return append_rows(conform(df, self.schema), self.path, self.partition_by)
+
+
+class RejectTable:
+    """Rows that a dataset's batches could not store, one folder per batch, which a replay replaces."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], "reason string, record string")
+        return spark.read.schema("reason string, record string").option("recursiveFileLookup", "true").parquet(self.path)
+
+    def write(self, df: DataFrame, batch: int) -> int:
+        rows, seen = counted(df, "rejected")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch={batch:012d}")
+        return seen.get["rows"]

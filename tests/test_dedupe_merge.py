@@ -96,7 +96,6 @@ def test_upsert_rules(spark):
         (1, "a", 1.0, 1.0, "SW1 1AA", NEW, NEW, "SW1"),
         (2, "a", 1.0, 1.0, "SW2 1AA", NEW, NEW, "SW2"),
         (3, "a", 1.0, 1.0, "SW3 1AA", NEW, NEW, "SW3"),
-        (None, "a", 1.0, 1.0, None, NEW, NEW, None),
     )
     source = state(
         spark,
@@ -104,18 +103,14 @@ def test_upsert_rules(spark):
         (2, "b", 2.0, 2.0, "SW9 1AA", NEW, OLD, "SW9"),  # same date: no change
         (3, "b", 2.0, 2.0, "SW9 1AA", OLD, OLD, "SW9"),  # older: no change
         (4, "b", 2.0, 2.0, None, OLD, OLD, None),  # unknown: inserted
-        (None, "b", 2.0, 2.0, None, LATER, LATER, None),  # NULL never matches
     )
     assert as_set(silver.merge_properties(target, source)) == {
         (1, "b", 2.0, 2.0, "SW1 1AA", LATER, OLD, "SW1"),
         (2, "a", 1.0, 1.0, "SW2 1AA", NEW, NEW, "SW2"),
         (3, "a", 1.0, 1.0, "SW3 1AA", NEW, NEW, "SW3"),
         (4, "b", 2.0, 2.0, None, OLD, OLD, None),
-        (None, "a", 1.0, 1.0, None, NEW, NEW, None),
-        (None, "b", 2.0, 2.0, None, LATER, LATER, None),
     }
-    late = {r["prop_id"]: r["first_seen"] for r in silver.merge_properties(target, source, late_first_seen=True).collect()
-            if r["prop_id"]}
+    late = {r["prop_id"]: r["first_seen"] for r in silver.merge_properties(target, source, late_first_seen=True).collect()}
     assert late == {1: OLD, 2: OLD, 3: OLD, 4: OLD}
 
 
@@ -127,10 +122,30 @@ def test_upsert_refuses_a_source_with_a_key_twice(spark):
 
 def test_upsert_on_composite_keys_without_rules(spark):
     schema = "a int, b string, v int"
-    target = spark.createDataFrame([(1, "x", 1), (1, None, 2)], schema)
-    source = spark.createDataFrame([(1, "x", 5), (1, None, 6), (2, "x", None)], schema)
+    target = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], schema)
+    source = spark.createDataFrame([(1, "x", 5), (2, "x", None)], schema)
     out = merge_upsert(target, source, ["a", "b"], lambda s, t: F.lit(True))
-    assert as_set(out) == {(1, "x", 5), (1, None, 2), (1, None, 6), (2, "x", None)}
+    assert as_set(out) == {(1, "x", 5), (1, "y", 2), (2, "x", None)}
+
+
+def test_upsert_refuses_a_source_key_with_a_null(spark):
+    schema = "a int, b string, v int"
+    with pytest.raises(Exception, match="merge key with a NULL"):
+        merge_upsert(
+            spark.createDataFrame([], schema), spark.createDataFrame([(1, None, 6)], schema), ["a", "b"], lambda s, t: F.lit(True)
+        ).collect()
+
+
+def test_rows_that_cannot_be_stored_are_set_aside(spark):
+    rows = [
+        (1, "2024-01-01", 100, "2024-01-01T10:00:00"), (None, "2024-01-01", 1, "2024-01-01T10:00:00"),
+        (2, "08/01/2024", 1, "2024-01-01T10:00:00"), (3, None, 1, None), (4, "2024-01-01", 3_000_000_000, None),
+        (5, "2024-01-01", None, None), (6, "2024-01-01", 1, "at noon"),
+    ]
+    df = spark.createDataFrame(rows, LANDING["prices"])
+    assert as_set(silver.incoming_prices(df)) == {(1, 100, date(2024, 1, 1)), (5, None, date(2024, 1, 1))}
+    reasons = sorted(r["reason"] for r in silver.rejected(df, "prices").collect())
+    assert reasons == ["bad date", "bad price", "bad scraped_at", "no date", "no prop_id"]
 
 
 def random_state(spark, rng, n):
@@ -161,6 +176,6 @@ def test_insert_only_keeps_stored_rows_and_adds_late_dates(spark):
     target = spark.createDataFrame([(1, 100, NEW), (2, 100, NEW)], schema)
     source = spark.createDataFrame([(1, 999, NEW), (1, 90, OLD), (3, 300, LATER), (None, 5, NEW)], schema)
     added = silver.new_prices(target, source)
-    assert as_set(added) == {(1, 90, OLD), (3, 300, LATER), (None, 5, NEW)}
-    assert as_set(silver.new_prices(target.unionByName(added.where("prop_id is not null")), source)) == {(None, 5, NEW)}
+    assert as_set(added) == {(1, 90, OLD), (3, 300, LATER)}
+    assert silver.new_prices(target.unionByName(added), source).count() == 0
     assert merge_insert_only(target, spark.createDataFrame([], schema), ["prop_id", "date"], "date").count() == 0
