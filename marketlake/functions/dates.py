@@ -15,6 +15,13 @@ DATE_FORMATS = (
     (r"^\d [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
     (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
     (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy"),
+    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
+    (r"^\d{4}-\d{2}-\d{2}[T ].+$", "yyyy-MM-dd"),
 )
 
 
@@ -39,11 +46,14 @@ def iso_timestamp(stamp: Column) -> Column:
 def flexible_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     """The date if the text has one of the shapes, else NULL. Two-digit years from 69 on are of the 1900s.
 
+    A comma after the day and a time after an ISO date are read over.
+
     Only the format of the matching shape is tried: a failed attempt costs an exception.
     """
 
     def parse(pattern: str) -> Column:
-        day = F.try_to_date(text, pattern)
+        plain = F.substring(text, 1, 10) if pattern == "yyyy-MM-dd" else F.replace(text, F.lit(","), F.lit(""))
+        day = F.try_to_date(plain, pattern)
         if "yyyy" in pattern:
             return day
         return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
 
@@ -33,13 +34,19 @@ def read_foreign_landing(
 ) -> DataFrame:
     """Files of other writers whose column types drift between run days.
 
-    Each path is read in its own schema, cast to ours and unioned by name: a column that a
-    day wrote as all NULL has another Parquet type there, which one common schema rejects.
+    A column that a day wrote as all NULL has another Parquet type there, which one common
+    schema rejects. Paths whose files have the same columns and types are read together, cast
+    to ours and unioned by name: the plan has one read for each set of types, not for each day.
     """
     schema = schema or LANDING[dataset]
-    frames = []
+    alike: dict[str, list[str]] = {}
     for path in paths:
-        df = spark.read.option("recursiveFileLookup", "true").parquet(path)
+        found = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+        alike.setdefault(found.json(), []).append(path)
+    frames = []
+    for found, group in alike.items():
+        reader = spark.read.schema(T.StructType.fromJson(json.loads(found)))
+        df = reader.option("recursiveFileLookup", "true").parquet(*group)
         missing = [f for f in schema.fields if f.name not in df.columns]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
         frames.append(conform(df, schema))
@@ -58,8 +65,10 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A catalog table by name, or Parquet files if the name is a path."""
+def read_table(spark: SparkSession, name_or_path: str, format: str | None = None) -> DataFrame:
+    """Files of a format at a path; without one a catalog table by name, or Parquet files if the name has a slash."""
+    if format is not None:
+        return spark.read.format(format).load(name_or_path)
     if "/" in name_or_path:
         return spark.read.parquet(name_or_path)
     return spark.table(name_or_path)

@@ -12,11 +12,22 @@ from marketlake.schemas import DATA_SCRIPT_ID, RESULTS_PATH
 
 
 def script_body(html: Column, script_id: str = DATA_SCRIPT_ID) -> Column:
-    """Text of the script element with this id; NULL if the page has none."""
+    """Text of the first script element whose ``id`` attribute is this; NULL if the page has none.
+
+    Comments and the bodies of other scripts are read over as a whole, so that a script within
+    them does not count.
+    """
     name = rf"\Q{script_id}\E"
-    attribute = rf"""id\s*=\s*(?:"{name}"|'{name}'|{name}(?=[\s>]))"""
-    body = F.regexp_extract_all(html, F.lit(rf"(?is)<script\b[^>]*?\b{attribute}[^>]*>(.*?)</script"), F.lit(1))
-    return F.get(body, F.lit(0))
+    value = rf"""(?:"{name}"|'{name}'|{name}(?=[\s>]))"""
+    # An attribute: white space, a name, and perhaps a value.
+    attribute = r"""\s+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
+    wanted = rf"<script(?=\s)(?:(?!\s+id\s*=){attribute})*+\s+id\s*=\s*{value}[^>]*>(.*?)</script"
+    pieces = F.regexp_extract_all(
+        html, F.lit(rf"(?is)<!--.*?-->|{wanted}|<script\b.*?</script"), F.lit(0)
+    )
+    first = F.get(F.filter(pieces, lambda p: p.rlike(rf"(?is)^{wanted}")), F.lit(0))
+    found = F.regexp_extract(first, rf"(?is)^{wanted}", 1)
+    return F.when(first.isNotNull(), found)
 
 
 def extract_embedded_json(
@@ -49,31 +60,29 @@ def parse_listings(results: DataFrame, keys: Sequence[str], scraped_at: Column)
     A record is bad if id, price or a coordinate is missing or not a number, or if the
     address key is missing (an explicit null address is fine).
     """
-    listings = results.select(
-        *keys,
-        scraped_at.alias("scraped_at"),
-        F.explode_outer(F.try_variant_get("results", "$.properties", "array<variant>")).alias("_l"),
-    )
-    address = F.try_variant_get("_l", "$.displayAddress", "variant")
-    fields = listings.select(
-        *keys,
-        "scraped_at",
-        F.col("_l").isNotNull().alias("is_listing"),
-        F.try_variant_get("_l", "$.id", "bigint").alias("prop_id"),
-        F.try_variant_get("_l", "$.price.amount", "bigint").alias("price"),
-        F.try_variant_get("_l", "$.displayAddress", "string").alias("address"),
-        address.isNull().alias("_no_address"),
-        F.round(F.try_variant_get("_l", "$.location.latitude", "double"), 8).alias("latitude"),
-        F.round(F.try_variant_get("_l", "$.location.longitude", "double"), 8).alias("longitude"),
-    )
-    bad = (
-        F.col("prop_id").isNull()
-        | F.col("price").isNull()
-        | F.col("latitude").isNull()
-        | F.col("longitude").isNull()
-        | F.col("_no_address")
+    def typed(record: Column) -> Column:
+        def field(path: str, kind: str) -> Column:
+            return F.try_variant_get(record, path, kind)
+
+        return F.struct(
+            F.lit(True).alias("is_listing"),
+            field("$.id", "bigint").alias("prop_id"),
+            field("$.price.amount", "bigint").alias("price"),
+            field("$.displayAddress", "string").alias("address"),
+            F.round(field("$.location.latitude", "double"), 8).alias("latitude"),
+            F.round(field("$.location.longitude", "double"), 8).alias("longitude"),
+            field("$.displayAddress", "variant").isNull().alias("no_address"),
+        )
+
+    # Records are typed inside the array: a filter on the fields then does not work them out again.
+    records = F.transform(F.try_variant_get("results", "$.properties", "array<variant>"), typed)
+    fields = results.select(*keys, scraped_at.alias("scraped_at"), F.explode_outer(records).alias("_l")).select(
+        *keys, "scraped_at", F.coalesce("_l.is_listing", F.lit(False)).alias("is_listing"),
+        "_l.prop_id", "_l.price", "_l.address", "_l.latitude", "_l.longitude", "_l.no_address",
     )
-    return fields.withColumn("is_bad", F.col("is_listing") & bad).drop("_no_address")
+    unset = [F.col(c).isNull() for c in ("prop_id", "price", "latitude", "longitude")]
+    bad = unset[0] | unset[1] | unset[2] | unset[3] | F.col("no_address")
+    return fields.withColumn("is_bad", F.col("is_listing") & bad).drop("no_address")
 
 
 def split_listings(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,15 +94,23 @@ def split_listings(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def page_indices(results: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per page: ``total`` (default 1) and the further page indices, positive ones in given order."""
-    options = F.try_variant_get("results", "$.pagination.options", "array<variant>")
-    return results.select(
-        *keys,
+    """One row per page: ``total`` (default 1), ``indices`` (the positive ones, in given order) and ``status``.
+
+    The status is ``ok``, ``no_results``, or ``bad_index`` if an option is no number; such options are left out.
+    """
+    options = F.coalesce(
+        F.try_variant_get("results", "$.pagination.options", "array<variant>"), F.array().cast("array<variant>")
+    )
+    read = F.transform(options, lambda o: F.try_variant_get(o, "$.value", "int"))
+    paged = results.select(
+        *keys, F.col("results").isNull().alias("_none"),
         F.coalesce(F.try_variant_get("results", "$.pagination.total", "int"), F.lit(1)).alias("total"),
-        F.posexplode(options).alias("position", "_o"),
-    ).select(
-        *keys, "total", "position", F.variant_get("_o", "$.value", "int").alias("page_index")
-    ).where(F.col("page_index") > 0)
+        read.alias("_read"),
+    )
+    status = F.when(F.col("_none"), "no_results").when(
+        F.exists("_read", lambda i: i.isNull()), "bad_index"
+    ).otherwise("ok")
+    return paged.select(*keys, "total", F.filter("_read", lambda i: i > 0).alias("indices"), status.alias("status"))
 
 
 def _cell_text(cell: Column) -> Column:
@@ -104,18 +121,14 @@ def _cell_text(cell: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[\s ]+", " "))
 
 
-def extract_html_table(
-    pages: DataFrame,
-    keys: Sequence[str],
-    loaded_at: Column,
-    html_col: str = "html",
-    value_name: str = "rate",
-) -> DataFrame:
-    """First table of each page as (date, value, loaded_at) rows, from its first two columns.
+def number_of(text: Column) -> Column:
+    """The number in a cell, with or without thousands marks; NULL if it is none."""
+    plain = F.when(text.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d*)?$"), F.replace(text, F.lit(","), F.lit(""))).otherwise(text)
+    return plain.try_cast("double")
 
-    The header and rows that do not hold a date and a number are skipped; a page without a
-    table gives no rows.
-    """
+
+def _table_rows(html_col: str, value_name: str) -> Column:
+    """The first table's rows as structs of position, day and value."""
     table = F.regexp_extract(html_col, r"(?is)<table\b[^>]*>(.*?)</table\s*>", 1)
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
 
@@ -127,16 +140,40 @@ def extract_html_table(
         return F.struct(
             position.alias("position"),
             flexible_date(F.get(cell, F.lit(0))).alias("day"),
-            F.get(cell, F.lit(1)).try_cast("double").alias(value_name),
+            number_of(F.get(cell, F.lit(1))).alias(value_name),
         )
 
     # Rows are typed and filtered inside the array, which keeps Spark from working out each
     # cell twice, once for a filter below and once for the output.
+    return F.transform(F.transform(rows, cells), typed)
+
+
+def extract_html_table(
+    pages: DataFrame,
+    keys: Sequence[str],
+    loaded_at: Column,
+    html_col: str = "html",
+    value_name: str = "rate",
+) -> DataFrame:
+    """First table of each page as (date, value, loaded_at) rows, from its first two columns.
+
+    Numbers may have thousands marks. Rows whose first cell is no date, such as the header,
+    are left out, and so are those without a number: :func:`skipped_rows` counts them. A page
+    without a table gives no rows.
+    """
     valid = F.filter(
-        F.transform(F.transform(rows, cells), typed),
-        lambda r: r["day"].isNotNull() & r[value_name].isNotNull(),
+        _table_rows(html_col, value_name), lambda r: r["day"].isNotNull() & r[value_name].isNotNull()
     )
     return pages.select(*keys, F.inline(valid)).select(
         *keys, "position", iso_date(F.col("day")).alias("date"), value_name,
         iso_date(loaded_at).alias("loaded_at"),
     )
+
+
+def skipped_rows(pages: DataFrame, keys: Sequence[str], html_col: str = "html") -> DataFrame:
+    """Per page: how many table rows there are, how many have no date and how many a date but no number."""
+    return pages.select(*keys, F.coalesce(_table_rows(html_col, "value"), F.array()).alias("_rows")).select(
+        *keys, F.size("_rows").alias("num_rows"),
+        F.size(F.filter("_rows", lambda r: r["day"].isNull())).alias("no_date"),
+        F.size(F.filter("_rows", lambda r: r["day"].isNotNull() & r["value"].isNull())).alias("no_number"),
+    )
