@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.areas import area_code
 from marketlake.schemas import DATA_SCRIPT_ID, struct_of
-from marketlake.session import spread
 
 
 # Columns of the provided tables, so that no read has to infer them.
@@ -26,7 +25,6 @@ TABLES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.schema(struct_of(TABLES[name])).parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -162,12 +160,44 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 23 == 0, F.lit("")).otherwise(script),
         F.lit("</body></html>"),
     )
-    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "value"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
     return events.withColumn("_price", price_of(F.col("value"))).select(
         event.alias("page_id"), F.col("ts").alias("scraped_at"), html.alias("html")
     )
 
 
+def gate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a page of 9 or 10 records, of which one is bad on two thirds of the pages.
+
+    A page of 10 is then just within a tenth, one of 9 above it. Keys divisible by 11 give a page without records, by
+    13 one whose script is commented out.
+    """
+    key = F.col("c_custkey")
+
+    def record(i: Column) -> Column:
+        number = key * 10 + i
+        whole = (i != 4) | (key % 3 == 0)
+        return F.struct(
+            number.cast("string").alias("id"), F.struct((number % 5000 + 300).alias("amount")).alias("price"),
+            F.lit(None).cast("string").alias("displayAddress"),
+            F.when(whole, F.struct(F.lit(51.5).alias("latitude"), F.lit(-0.1).alias("longitude"))).alias("location"),
+        )
+
+    last = F.when(key % 2 == 0, 9).otherwise(8)
+    records = F.transform(F.sequence(F.lit(0), last), record)
+    found = F.struct(F.when(key % 11 == 0, F.slice(records, 1, 0)).otherwise(records).alias("properties"))
+    body = F.to_json(
+        F.struct(F.struct(F.struct(found.alias("searchResults")).alias("pageProps")).alias("props")),
+        {"ignoreNullFields": "false"},
+    )
+    script = F.concat(F.lit(f"<script data-id='x' id='{DATA_SCRIPT_ID}'>"), body, F.lit("</script>"))
+    html = F.concat(
+        F.lit(f"<script data-id='{DATA_SCRIPT_ID}'>1</script>"),
+        F.when(key % 13 == 0, F.concat(F.lit("<!--"), script, F.lit("-->"))).otherwise(script),
+    )
+    return table(spark, sf_dir, "customer").select(key.alias("page_id"), html.alias("html"))
+
+
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The web pages with a data script at the end of two thirds of them."""
     page = F.col("page_id")
@@ -178,7 +208,7 @@ def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     script = F.concat(F.lit(f"<SCRIPT type='application/json' id='{DATA_SCRIPT_ID}'>"), data, F.lit("</SCRIPT>"))
     html = F.when(page % 3 != 0, F.concat("html", script)).otherwise(F.col("html"))
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", html.alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", "html").select("page_id", html.alias("html"))
 
 
 def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +228,7 @@ def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<html><body><table class='x'>\n<tr><th>Date</th><th>Rate</th></tr>\n"), rows,
         F.lit("</table><table><tr><td>01 Jan 20</td><td>1</td></tr></table></body></html>"),
     )
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return orders.select(
         "o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, F.lit("<p>none</p>")).otherwise(html).alias("html")
     )

@@ -97,6 +97,7 @@ _CTES = {
     SELECT CAST(o_orderdate AS DATE) AS date, round(o_totalprice, 2) AS close,
            CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS loaded_at
     FROM orders""",
+    "trusted": "SELECT * FROM raw WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0",
     "props": _dedupe_properties("raw"),
     "props_norm": _dedupe_properties("raw", _NORMAL),
     "prices": _dedupe_prices("raw"),
@@ -319,7 +320,9 @@ _TEXTS = {
         WHERE scraped_at = (SELECT max(scraped_at) FROM legacy_prices)""",
     "gold_current_properties": "SELECT * FROM current_rows",
     "gold_current_properties_reference_types":
-        "SELECT CAST(prop_id AS INTEGER) AS prop_id, address, postcode, area_code, price, date FROM current_rows",
+        "SELECT CAST(prop_id AS INTEGER) AS prop_id, address, postcode, area_code, price, date,"
+        " CAST(round(CAST(latitude AS FLOAT) * 10000) AS BIGINT) AS latitude,"
+        " CAST(round(CAST(longitude AS FLOAT) * 10000) AS BIGINT) AS longitude FROM current_rows",
     "serve_area_summary": "SELECT * FROM summary",
     "serve_area_options": "SELECT DISTINCT area_code FROM fact WHERE area_code <> 'all'",
     "serve_default_areas":
@@ -407,10 +410,10 @@ _TEXTS = {
         FROM events e LEFT JOIN (SELECT * FROM numbered WHERE readable) n ON e.event_id = n.event_id
         GROUP BY e.event_id""",
     "page_index_list": """
-        SELECT event_id AS page_id, CAST(event_id % 4 + 1 AS INTEGER) AS total, CAST(i AS INTEGER) AS position,
-               CAST(i * 24 AS INTEGER) AS page_index
-        FROM events, range(1, 4) AS r(i)
-        WHERE i <= event_id % 4 AND event_id % 31 <> 0 AND event_id % 29 <> 0 AND event_id % 23 <> 0""",
+        SELECT event_id AS page_id, CAST(CASE WHEN found THEN event_id % 4 + 1 ELSE 1 END AS INTEGER) AS total,
+               CASE WHEN found THEN array_to_string([i * 24 FOR i IN range(1, event_id % 4 + 1)], ',') ELSE '' END AS indices,
+               CASE WHEN found THEN 'ok' ELSE 'no_results' END AS status
+        FROM (SELECT event_id, event_id % 31 <> 0 AND event_id % 29 <> 0 AND event_id % 23 <> 0 AS found FROM events)""",
     "web_page_listings": """
         SELECT page_id, page_id % 3 <> 0 AS is_listing, CASE WHEN page_id % 3 <> 0 THEN page_id END AS prop_id,
                CASE WHEN page_id % 3 <> 0 THEN page_id % 3000 + 500 END AS price, CAST(NULL AS VARCHAR) AS address,
@@ -432,9 +435,8 @@ _TEXTS = {
     **{f"quality_{table}": _rules(table, rules) for table, rules in _RULES.items()},
     "quality_raw_listings": _rules("raw_listings", _RAW_RULES),
     "end_to_end_quality":
-        'SELECT "table", count(*) AS rules, count(*) FILTER (WHERE passed) AS passed FROM ('
-        + " UNION ALL ".join(_rules(table, rules) for table, rules in _FIRST_RULES.items())
-        + ') GROUP BY "table"',
+        'SELECT "table", rule, round(metric, 9) AS metric, threshold, passed FROM ('
+        + " UNION ALL ".join(_rules(table, rules) for table, rules in _FIRST_RULES.items()) + ")",
     "expectations_on_properties": """
         SELECT 'postcode_present' AS "check", count(*) FILTER (WHERE postcode IS NULL) AS violations,
                count(*) AS num_rows FROM props
@@ -459,11 +461,59 @@ _TEXTS = {
         FROM raw GROUP BY date""",
     "incremental_silver_properties": "SELECT * FROM merged_props",
     "incremental_silver_prices": "SELECT * FROM merged_prices",
+    "incremental_late_file": "SELECT * FROM merged_prices",
+    "incremental_untrusted_prices": _dedupe_prices("trusted"),
+    "incremental_replayed_batch": _dedupe_prices("trusted"),
+    "incremental_rejects": """
+        SELECT CASE WHEN event_id % 19 = 0 THEN 'bad date' WHEN event_id % 17 = 0 THEN 'no prop_id'
+               ELSE 'bad price' END AS reason, count(*) AS num_rows
+        FROM raw WHERE event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 GROUP BY 1""",
+    "ingest_pages": """
+        SELECT c_custkey * 10 + i AS prop_id, '2024-02-01' AS date, (c_custkey * 10 + i) % 5000 + 300 AS price,
+               '2024-02-01T12:00:00' AS scraped_at
+        FROM customer, range(0, 10) AS r(i)
+        WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND (c_custkey % 2 = 0 OR (i < 9 AND c_custkey % 3 = 0))
+          AND (i <> 4 OR c_custkey % 3 = 0)""",
+    "ingest_gate_verdicts": """
+        SELECT page_id, total, failures, round(failures / nullif(CAST(total AS DOUBLE), 0), 9) AS rate,
+               CASE WHEN page_id % 13 = 0 THEN 'no_script' WHEN total = 0 THEN 'no listings'
+                    WHEN failures * 10 > total THEN 'too many failures' ELSE 'ok' END AS verdict
+        FROM (SELECT c_custkey AS page_id,
+                     CAST(CASE WHEN c_custkey % 13 = 0 OR c_custkey % 11 = 0 THEN 0
+                               ELSE 10 - c_custkey % 2 END AS BIGINT) AS total,
+                     CAST(CASE WHEN c_custkey % 13 = 0 OR c_custkey % 11 = 0 OR c_custkey % 3 = 0 THEN 0
+                               ELSE 1 END AS BIGINT) AS failures FROM customer)""",
+    "landing_preview": """
+        SELECT count(*) AS num_rows, count(*) AS previewed, min({'a': prop_id, 'b': date, 'c': price}).a AS prop_id,
+               min({'a': prop_id, 'b': date, 'c': price}).b AS date FROM raw""",
+    "catalog_table_of_prices": "SELECT * FROM prices",
+    "end_to_end_large_ids": "SELECT prop_id + 3000000000 AS prop_id, area_code, price FROM current_1",
+    "legacy_expectation_counts": """
+        SELECT 'silver_properties' AS "table", 'postcode_present' AS "check",
+               count(*) FILTER (WHERE postcode IS NULL) AS violations, count(*) AS num_rows FROM props
+        UNION ALL SELECT 'silver_properties', 'valid_prop_id', count(*) FILTER (WHERE prop_id IS NULL), count(*) FROM props
+        UNION ALL SELECT 'silver_properties', 'valid_coordinates',
+                         count(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL), count(*) FROM props
+        UNION ALL SELECT 'silver_prices', 'valid_price', count(*) FILTER (WHERE price - 500 <= 0), count(*) FROM raw""",
+    "gold_property_fact_wide_values": """
+        SELECT date, area_code, CAST(trunc(avg(price)) AS BIGINT) AS avg_price,
+               CAST(quantile_disc(price, 0.5) AS BIGINT) AS median_price, count(*) AS num_properties,
+               strftime(date, '%B') AS month, strftime(date, '%Y') AS year
+        FROM (SELECT p.date, p.price * CAST(100000 AS BIGINT) AS price, unnest(CASE WHEN area_code IN (LISTED)
+                       THEN [area_code, 'all'] ELSE ['all'] END) AS area_code
+              FROM prices p LEFT JOIN props q ON p.prop_id = q.prop_id) GROUP BY date, area_code""".replace("LISTED", _LISTED),
+    "html_table_skipped_rows": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE 4 END AS num_rows,
+               CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE 1 END AS no_date,
+               CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE CAST((o_orderkey % 4 = 0)::INT + ((o_orderkey + 1) % 4 = 0)::INT
+                 + ((o_orderkey + 2) % 4 = 0)::INT AS INTEGER) END AS no_number FROM orders""",
     "end_to_end_gold_property_fact": _fact("merged_prices", "merged_props"),
     "end_to_end_metrics": f"""
         SELECT 'properties' AS dataset, 'silver' AS stage,
                (SELECT count(*) FROM props_1) + (SELECT count(*) FROM merged_props) AS rows
         UNION ALL SELECT 'prices', 'silver', count(*) FROM merged_prices
+        UNION ALL SELECT 'properties', 'rejected', 0
+        UNION ALL SELECT 'prices', 'rejected', 0
         UNION ALL SELECT 'gold_area_dim', 'gold', count(*) FROM dim
         UNION ALL SELECT 'gold_property_fact', 'gold', count(*) FROM ({_fact('merged_prices', 'merged_props')})
         UNION ALL SELECT 'gold_current_properties', 'gold', count(*)

@@ -1,4 +1,4 @@
-"""Exact medians of integer columns that stay distributed for any group size."""
+"""Exact medians of whole-number columns that stay distributed for any group size."""
 
 from __future__ import annotations
 
@@ -6,14 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BITS = 10
-_NO_BIN = -(2**22)  # below the bin of any 32-bit value
+_NO_BIN = -(2**60)  # below the bin of any 64-bit value
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per (keys, value). Tasks count their own rows first, and a hot group spreads over its values."""
-    return df.groupBy(*keys, F.col(value).cast("int").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per (keys, value). Tasks count their own rows first, and a hot group spreads over its values.
+
+    The value keeps its type, which must be a whole number's: scale others to whole units first.
+    """
+    kind = df.schema[value].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"medians need whole numbers, but {value} is {kind.simpleString()}")
+    return df.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,7 +32,8 @@ def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The middle is found in two steps: first the one or two bins of 1,024 neighbouring values
     that hold it, then its place inside them. So a window sees at most a group's bins
-    (2**22 for any 32-bit values) or 2,048 of its distinct values, however many rows it has.
+    (2**22 for any 32-bit values; of 64-bit ones as many as it has) or 2,048 of its distinct
+    values, however many rows it has.
     """
     # Keys as one struct and a bin of their own for NULL values: neither is ever NULL, so the
     # join below is a plain one and adds no filter that would tell its two inputs apart.
@@ -33,13 +41,13 @@ def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     # This partitioning serves the bins and the join; the counts are moved by it once. A
     # partition's share of a hot group is a few of its bins.
     binned = counts.select(
-        group.alias("_k"), F.expr(f"coalesce(shiftright(value, {_BITS}), {_NO_BIN}) AS _bin"), "value", "n"
+        group.alias("_k"), F.expr(f"coalesce(shiftright(bigint(value), {_BITS}), bigint({_NO_BIN})) AS _bin"), "value", "n"
     ).repartition("_k", "_bin")
 
     # Where each bin starts within its group. The bin of NULL values takes no place.
     bins = binned.groupBy("_k", "_bin").agg(
         F.expr("sum(n) AS _rows"), F.expr("sum(cast(value AS double) * n) AS _sum")
-    ).selectExpr("_k", "_bin", "_rows", "_sum", f"if(_bin = {_NO_BIN}, NULL, _rows) AS _valued")
+    ).selectExpr("_k", "_bin", "_rows", "_sum", f"if(_bin = bigint({_NO_BIN}), NULL, _rows) AS _valued")
     placed = bins.selectExpr(
         "_k",
         "_bin",

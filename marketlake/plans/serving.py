@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.filters import filter_optional, filter_strict
 from marketlake.operators.medians import grouped_stats, value_counts
+from marketlake.operators.snapshot import latest_snapshot
 from marketlake.schemas import TOTAL_AREA
 
 
@@ -36,17 +37,13 @@ def last_updated(current: DataFrame) -> DataFrame:
 def area_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Area rows of the newest date with their district, highest median first.
 
-    A date has one fact row per listed area, so a date's rows fit one array, and the newest
-    date's array comes out of a single pass over the fact.
+    The newest date is a scalar subquery, which a stored fact pushes down to its scan.
     """
-    measures = ["area_code", "avg_price", "median_price", "num_properties"]
-    areas = fact.where(F.col("area_code") != TOTAL_AREA)
-    by_date = areas.groupBy("date").agg(F.collect_list(F.struct(*measures)).alias("rows"))
-    newest = by_date.agg(F.max_by("rows", "date").alias("rows")).select(F.inline("rows"))
-    # It came out of one row, so it is small.
-    return dim.join(F.broadcast(newest), "area_code").select(
-        "area_code", "district", *measures[1:]
-    ).orderBy(F.desc("median_price"), "area_code")
+    measures = ["avg_price", "median_price", "num_properties"]
+    newest = latest_snapshot(fact.where(F.col("area_code") != TOTAL_AREA))
+    return dim.join(newest, "area_code").select("area_code", "district", *measures).orderBy(
+        F.desc("median_price"), "area_code"
+    )
 
 
 def area_options(fact: DataFrame) -> DataFrame:

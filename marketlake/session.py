@@ -60,12 +60,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores if the input has fewer partitions than cores, else the frame as it is.
-
-    For work that is heavy per row, such as parsing pages, on input too small to be split.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -83,8 +83,10 @@ def append_rows(df: DataFrame, path: str, partition_by: str | None = None) -> in
 
 
 def preview(df: DataFrame) -> tuple[int, Row | None]:
-    """Dry run: row count and one sample row, nothing written."""
-    return df.count(), df.first()
+    """Dry run: row count and one sample row (the smallest) from one pass, nothing written."""
+    whole = F.struct(*df.columns)
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.min(whole).alias("sample")).first()
+    return seen["n"], seen["sample"]
 
 
 class RunLog:
