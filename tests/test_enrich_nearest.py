@@ -78,3 +78,23 @@ def test_nearest_of_nothing(spark):
     points = spark.createDataFrame([(1, 51.0, 0.0)], schema.format("pid"))
     out = nearest_join(points, spark.createDataFrame([], schema.format("site")), "site")
     assert [tuple(r) for r in out.collect()] == [(1, 51.0, 0.0, None, None)]
+
+
+def test_a_crowded_city_is_walked_in_many_tasks(spark):
+    """Nine tenths of points and sites lie within a few metres of each other."""
+    rng = random.Random(4)
+
+    def somewhere(i):
+        if i % 10:
+            return 51.5 + rng.random() * 1e-4, -0.1 + rng.random() * 1e-4
+        return 50 + 3 * rng.random(), -2 + 4 * rng.random()
+
+    sites = [(i, *somewhere(i)) for i in range(1500)]
+    points = [(i, *somewhere(i)) for i in range(400)]
+    schema = "{} int, latitude double, longitude double"
+    out = nearest_join(
+        spark.createDataFrame(points, schema.format("pid")), spark.createDataFrame(sites, schema.format("site")), "site"
+    )
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {r["pid"]: r["site"] for r in out.collect()} == brute_force(points, sites, 1.0)
