@@ -25,6 +25,7 @@ from marketlake.llm.common import stored
 
 CAPACITY = 1024
 END_ID = 2
+HELD_BACK = 0.1  # of the pieces, the shortest ones
 TOLERANCES = (0.02, 0.002)  # of configurations used in one round, below the best one's value
 GROUP_ROWS = 50_000  # rows aimed at in a group that ranks pieces
 _SLICE_BYTES = 8 << 20  # text tokenised at once in a task
@@ -257,22 +258,25 @@ def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]
 
 
 def _rounded(counts: dict[int, int], capacity: int, tolerance: float) -> list[tuple[Pattern, int]]:
-    left, out = dict(counts), []
-    while left:
-        uses = solve_configurations(left, capacity, tolerance=tolerance)
-        waste = {p: capacity - sum(n * k for n, k in p) for p in uses}
-        least, placed = min(waste.values()), 0
-        for pattern in sorted((p for p in uses if waste[p] == least), key=lambda p: -uses[p]):
-            times = min([int(uses[pattern]), *(left.get(n, 0) // k for n, k in pattern)])
-            if times:
-                out.append((pattern, times))
-                for n, k in pattern:
-                    left[n] -= k * times
-                    placed += k * times
-        left = {n: k for n, k in left.items() if k}
-        if placed < sum(left.values()):
-            break  # most pieces are too few of their length for whole sequences
-    return out + _best_fit(left, capacity)
+    """Whole uses of the solution's configurations, and best fit for what they leave.
+
+    The shortest pieces are held back from the program: best fit closes gaps with them.
+    """
+    left, short, out = dict(counts), {}, []
+    for length in sorted(counts):
+        if length > capacity // 8 or sum(short.values()) >= HELD_BACK * sum(counts.values()):
+            break
+        short[length] = left.pop(length)
+    uses = solve_configurations(left, capacity, tolerance=tolerance) if left else {}
+    waste = {p: capacity - sum(n * k for n, k in p) for p in uses}
+    least = min(waste.values(), default=0)
+    for pattern in sorted((p for p in uses if waste[p] == least), key=lambda p: -uses[p]):
+        times = min([int(uses[pattern]), *(left[n] // k for n, k in pattern)])
+        if times:
+            out.append((pattern, times))
+            for n, k in pattern:
+                left[n] -= k * times
+    return out + _best_fit({n: k for n, k in (left | short).items() if k}, capacity)
 
 
 def configurations(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
