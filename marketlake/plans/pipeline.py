@@ -17,7 +17,7 @@ from marketlake.sources.landing import counted, read_table
 from marketlake.sources.static import area_dim
 from marketlake.streaming.landing import stream_landing
 from marketlake.streaming.silver import Enrich, insert_index, insert_prices, upsert_properties, with_rejects
-from marketlake.streaming.state import AppendTable, KeyedTable, RejectTable, path_exists
+from marketlake.streaming.state import BUCKETS, AppendTable, KeyedTable, RejectTable, path_exists
 
 
 @dataclass(frozen=True)
@@ -28,10 +28,11 @@ class Warehouse:
     silver: str
     gold: str
     checkpoints: str
+    buckets: int = BUCKETS  # of the property table; set by its first batch
 
     @property
     def properties(self) -> KeyedTable:
-        return KeyedTable(f"{self.silver}/silver_properties", SILVER["silver_properties"], ["prop_id"])
+        return KeyedTable(f"{self.silver}/silver_properties", SILVER["silver_properties"], ["prop_id"], self.buckets)
 
     @property
     def prices(self) -> AppendTable:

@@ -13,7 +13,7 @@ from marketlake.schemas import conform
 from marketlake.sinks.writers import append_rows
 from marketlake.sources.landing import counted
 
-BUCKETS = 64
+BUCKETS = 32
 
 
 def _fs_path(spark: SparkSession, path: str):
