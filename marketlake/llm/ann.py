@@ -2,8 +2,9 @@
 
 Every ordering projects the vectors to a few random directions (drawn with the covariance of a bounded sample), shifts
 and quantises them, and range-partitions all vectors by their place on a Hilbert curve. Sorted partitions are cut into
-blocks. A query goes to its own block and to the neighbouring ones within a window; each block scores the queries that
-reach it in one product and keeps the best. The windows of all orderings merge, and the best by the exact measure stay.
+blocks. A query goes to its own block and to the neighbouring ones within a window. Strips of blocks as long as a window
+are swept in order, each block scoring the queries whose windows it lies in, and a query leaves a strip with its best
+entries only. The windows of all orderings merge, and the best by the exact measure stay.
 
 The window is the smallest one that finds ``TARGET`` of the true neighbours of a bounded sample of queries, which are
 found by brute force over all vectors. Vectors without structure need wide windows; clustered ones need narrow ones.
@@ -28,6 +29,7 @@ ORDERINGS = 8
 DIRECTIONS = 6
 CELL_BITS = 8
 BLOCK = 1024
+ACTIVE_QUERIES = 50_000  # queries that a task holds at once
 SAMPLE_VECTORS = 5000  # bound of the sample that directions and cells are fitted on
 SAMPLE_QUERIES = 200  # bound of the queries that the window is fitted on
 TARGET = 0.95
@@ -184,23 +186,112 @@ def _best(entries: np.ndarray, vectors: np.ndarray, query: np.ndarray, scores: n
     return entries[near][order], exact[order]
 
 
-def _score_block(keep: int):
-    def run(key, blocks: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"query": [], "entry": [], "score": []}
-        if len(blocks) and len(queries):
-            entries = np.frombuffer(blocks["entries"].iloc[0], dtype=np.int64)
-            vectors = np.frombuffer(blocks["vs"].iloc[0], dtype=np.float64).reshape(len(entries), -1)
-            wanted = np.stack([np.frombuffer(v, dtype=np.float64) for v in queries["v"]])
-            for at in range(0, len(wanted), 512):
-                part = wanted[at : at + 512]
-                for query, vector, scores in zip(queries["query"].iloc[at : at + 512], part, part @ vectors.T):
-                    found, exact = _best(entries, vectors, vector, scores, keep)
-                    out["query"].append(np.full(len(found), query))
-                    out["entry"].append(found)
-                    out["score"].append(exact)
-        return pd.DataFrame({k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}).astype(
-            {"query": "int64", "entry": "int64", "score": "float64"}
+class _Active:
+    """Queries that the sweep is within the windows of, with the best entries found so far."""
+
+    def __init__(self, keep: int, dims: int):
+        self.keep = keep
+        self.ids, self.till = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.vectors = np.zeros((0, dims))
+        self.entries: list[np.ndarray] = []
+        self.scores: list[np.ndarray] = []
+
+    def add(self, ids: np.ndarray, till: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids, self.till = np.concatenate([self.ids, ids]), np.concatenate([self.till, till])
+        self.vectors = np.concatenate([self.vectors, vectors])
+        self.entries += [np.zeros(0, dtype=np.int64)] * len(ids)
+        self.scores += [np.zeros(0)] * len(ids)
+
+    def meet(self, entries: np.ndarray, vectors: np.ndarray) -> None:
+        for at in range(0, len(self.ids), 512):
+            products = self.vectors[at : at + 512] @ vectors.T
+            floors = np.array([
+                x[-1] - 1e-9 * abs(x[-1]) if len(x) == self.keep else -np.inf for x in self.scores[at : at + 512]
+            ])
+            for row in np.flatnonzero((products >= floors[:, None]).any(axis=1)):
+                pick = np.flatnonzero(products[row] >= floors[row])
+                i = at + row
+                found, exact = _best(entries[pick], vectors[pick], self.vectors[i], products[row][pick], self.keep)
+                found, exact = np.concatenate([self.entries[i], found]), np.concatenate([self.scores[i], exact])
+                order = np.lexsort((found, -exact))[: self.keep]
+                self.entries[i], self.scores[i] = found[order], exact[order]
+
+    def retire(self, before: int | None = None) -> Iterator[pa.RecordBatch]:
+        """Give what was found for queries whose window ends before a block, or for all."""
+        over = np.ones(len(self.ids), dtype=bool) if before is None else self.till < before
+        if not over.any():
+            return
+        gone, left = np.flatnonzero(over), np.flatnonzero(~over)
+        sizes = [len(self.entries[i]) for i in gone]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(self.ids[gone], sizes)), pa.array(np.concatenate([self.entries[i] for i in gone])),
+             pa.array(np.concatenate([self.scores[i] for i in gone]))], names=["query", "entry", "score"],
         )
+        self.ids, self.till, self.vectors = self.ids[left], self.till[left], self.vectors[left]
+        self.entries, self.scores = [self.entries[i] for i in left], [self.scores[i] for i in left]
+
+
+_STRIP = "ordering int, strip int, part int, at int, kind int, id long, till int, v binary"
+_STRIP_ORDER = ["ordering", "strip", "part", "at", "kind", "id"]
+
+
+def _strips(window: int, parts: int):
+    """Blocks as rows of strips as long as a window, and their queries in each strip that their window reaches.
+
+    A query stands before the first block of its window; the parts of a strip share its queries.
+    """
+    length = 2 * window + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ordering, number, ids, asks, vs in zip(*(batch.column(i) for i in range(5))):
+                number, ids = number.as_py(), np.frombuffer(ids.as_py(), dtype=np.int64)
+                pick = np.flatnonzero(np.frombuffer(asks.as_py(), dtype=bool))
+                size = len(vs.as_py()) // len(ids)
+                values = np.array([vs.as_py()[i * size : (i + 1) * size] for i in range(len(ids))], dtype=object)
+                rows = [(number // length, part, number, 1, ids, 0, values) for part in range(parts)]
+                low, high = max(number - window, 0), number + window
+                for strip in range(low // length, high // length + 1):
+                    begin, end = max(low, strip * length), min(high, (strip + 1) * length - 1)
+                    for part in range(parts):
+                        own = pick[ids[pick] % parts == part]
+                        rows.append((strip, part, begin, 0, ids[own], end, values[own]))
+                for strip, part, at, kind, named, till, held in rows:
+                    n = len(named)
+                    fixed = [pa.array(np.full(n, x, dtype=np.int32)) for x in (ordering.as_py(), strip, part, at, kind)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*fixed, pa.array(named), pa.array(np.full(n, till, dtype=np.int32)), pa.array(held, pa.binary())],
+                        names=[*_STRIP_ORDER, "till", "v"],
+                    )
+
+    return run
+
+
+def _sweep(keep: int):
+    """Sorted strips swept block by block: a query leaves with its best entries when its window ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strip, active = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
+            ids, till = batch.column(5).to_numpy(), batch.column(6).to_numpy()
+            vectors = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.float64).reshape(len(ids), -1)
+            bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(ids)]
+            for a, b in zip(bounds, bounds[1:]):
+                *here, at, kind = keys[a].tolist()
+                if here != strip:
+                    if active is not None:
+                        yield from active.retire()
+                    strip, active = here, _Active(keep, vectors.shape[1])
+                if kind == 0:
+                    active.add(ids[a:b], till[a:b], vectors[a:b])
+                else:
+                    yield from active.retire(before=at)
+                    active.meet(ids[a:b], vectors[a:b])
+        if active is not None:
+            yield from active.retire()
 
     return run
 
@@ -286,7 +377,7 @@ def search(vectors: DataFrame, every: int = 20, keep: int = 20, target: float =
             _blocks(block), "ordering int, key long, entry long, entries binary, asks binary, vs binary"
         ), "blocks",
     )
-    # Blocks are numbered along each ordering; a row here stands for ``block`` vectors.
+    # Blocks are numbered from 1 along each ordering; a row here stands for ``block`` vectors.
     numbered = cut.select("ordering", "key", "entry").withColumn(
         "number", F.row_number().over(Window.partitionBy("ordering").orderBy("key", "entry"))
     )
@@ -300,27 +391,13 @@ def search(vectors: DataFrame, every: int = 20, keep: int = 20, target: float =
         entries, numbered.select("ordering", "number", members("entries").alias("members")), keep + 1, total, target
     )
 
-    def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ordering, number, ids, asks, vs in zip(*(batch.column(i) for i in range(5))):
-                ids = np.frombuffer(ids.as_py(), dtype=np.int64)
-                pick = np.frombuffer(asks.as_py(), dtype=bool)
-                values = np.frombuffer(vs.as_py(), dtype=np.float64).reshape(len(ids), -1)[pick]
-                n = len(values)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ordering.as_py()] * n, pa.int32()), pa.array([number.as_py()] * n, pa.int32()),
-                     pa.array(ids[pick]), pa.array([v.tobytes() for v in values], pa.binary())],
-                    names=["ordering", "home", "query", "v"],
-                )
-
-    queries = numbered.select("ordering", "number", "entries", "asks", "vs").mapInArrow(
-        asking, "ordering int, home int, query long, v binary"
-    ).select(
-        "ordering", F.explode(F.sequence(F.col("home") - window, F.col("home") + window)).alias("number"), "query", "v"
+    # Queries that a window holds at once; parts of a strip bound them for a task.
+    asked_at_once = entries.where("asks").count() * (2 * window + 1) // max(1, -(-total // block))
+    parts = max(1, -(-asked_at_once // ACTIVE_QUERIES))
+    strips = numbered.select("ordering", "number", "entries", "asks", "vs").mapInArrow(_strips(window, parts), _STRIP)
+    pairs = strips.repartition("ordering", "strip", "part").sortWithinPartitions(*_STRIP_ORDER).mapInArrow(
+        _sweep(keep + 1), "query long, entry long, score double"
     )
-    pairs = numbered.select("ordering", "number", "entries", "vs").groupBy("ordering", "number").cogroup(
-        queries.groupBy("ordering", "number")
-    ).applyInPandas(_score_block(keep + 1), "query long, entry long, score double")
     best = stored(_top(pairs, "query", "entry", keep + 1), "best")
 
     # Entries that stand for several rows give their smallest ids; one more than the ranks, for the query's own row.
