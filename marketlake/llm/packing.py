@@ -27,7 +27,7 @@ CAPACITY = 1024
 END_ID = 2
 HELD_BACK = 0.1  # of the pieces, the shortest ones
 TOLERANCES = (0.02, 0.002)  # of configurations used in one round, below the best one's value
-GROUP_ROWS = 50_000  # rows aimed at in a group that ranks pieces
+GROUP_ROWS = 500  # rows aimed at in a group that ranks pieces of one length
 _SLICE_BYTES = 8 << 20  # text tokenised at once in a task
 
 # White space beside a space: such texts are not cut at their spaces.
@@ -329,8 +329,10 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = Slots(configurations(histogram, capacity))
-    salts = max(1, -(-sum(histogram.values()) // GROUP_ROWS))
-    salted = pieces.select(*names, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).alias("salt"))
+    # As many salts as a length's own pieces need: frequent lengths are cut up, rare ones stay one group.
+    salts = F.lit([-(-max(1, histogram.get(n, 0)) // GROUP_ROWS) for n in range(capacity + 1)])
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.element_at(salts, (F.col("length") + 1).cast("int")))
+    salted = pieces.select(*names, salt.alias("salt"))
     before = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select(
         "length", "salt",
         (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"),
