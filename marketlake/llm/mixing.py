@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import stored, text_key
 
-BUCKET_DOCS = 20_000  # documents aimed at in a bucket of the seeded order
+BUCKET_DOCS = 500  # documents aimed at in a bucket of the seeded order
 _WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
 
