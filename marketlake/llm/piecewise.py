@@ -50,6 +50,8 @@ def rolling(data: bytes) -> np.ndarray:
 
 def _signature(data: bytes, hashes: np.ndarray, block: int) -> str:
     ends = (np.flatnonzero(hashes % np.uint32(block) == block - 1) + 1).tolist()
+    if len(ends) >= CHUNKS:
+        ends = [*ends[: CHUNKS - 1], len(data)]  # the last chunk is the rest
     if not ends or ends[-1] < len(data):
         ends.append(len(data))
     return "".join([_DIGITS[zlib.crc32(data[a:b]) & 63] for a, b in zip([0, *ends], ends)]) if data else ""
@@ -58,22 +60,18 @@ def _signature(data: bytes, hashes: np.ndarray, block: int) -> str:
 def fingerprint(text: str) -> str:
     """block size:signature:signature at twice the block size, of a whole text.
 
-    The block size is the smallest (3 times a power of two) that gives at most 64 chunks.
+    The block size (3 times a power of two) follows from the length, so that 32 to 64 chunks are to be expected, and is
+    halved once if there are no more than 32. Texts of about the same length then have neighbouring sizes, whatever
+    their chunks are. A signature has at most 64 digits; its last chunk is the rest of the text.
     """
     data = text.encode("utf-8", "surrogatepass")
     hashes = rolling(data)
     block = SMALLEST
-    while block * CHUNKS < 2 * len(data):
+    while block * CHUNKS < len(data):
         block *= 2
     first, second = (_signature(data, hashes, b) for b in (block, 2 * block))
-    while len(first) > CHUNKS:
-        block *= 2
-        first, second = second, _signature(data, hashes, 2 * block)
-    while block > SMALLEST and len(first) <= CHUNKS // 2:
-        finer = _signature(data, hashes, block // 2)
-        if len(finer) > CHUNKS:
-            break
-        block, first, second = block // 2, finer, first
+    if block > SMALLEST and len(first) <= CHUNKS // 2:
+        block, first, second = block // 2, _signature(data, hashes, block // 2), first
     return f"{block}:{first}:{second}"
 
 
