@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.session import scratch_path
@@ -13,6 +15,17 @@ TEXT_KEY = "__llm_text_key"
 _EDGE = "low long, high long"
 
 
+def find_library(spark: SparkSession) -> None:
+    """Let Python workers on machines that have this library in the same place import it, wherever the driver was started.
+
+    Other machines get it as any Python dependency, for instance with ``--py-files``.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in known:
+        environment["PYTHONPATH"] = ":".join([*known, root])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, warc
+from marketlake.llm.common import find_library
 
 ORACLE: dict[str, str] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_library(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
