@@ -7,34 +7,53 @@ the documents left, with its place in a sequence.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import linededup, mixing, packing, quality, queries, simhash
-from marketlake.llm.common import stored
+from marketlake.llm.common import find_library, stored
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(function: Stage) -> Stage:
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        find_library(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@stage
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5)
     return quality.keep_good(docs, model, threshold=0.3)
 
 
+@stage
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that at least three documents share stay in one of them."""
     return linededup.drop_repeated_lines(docs, min_chars=20, min_docs=3)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return simhash.drop_near_duplicates(docs, words=3, max_bits=2)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as the target weights of their source want them."""
     return mixing.mixed(docs, F.expr(queries.DOMAIN_SQL), queries.MIX)
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All pieces of the documents with their places in sequences of 1024 tokens."""
     return packing.pack(docs, **queries.tokenizer_files(), capacity=1024, end_id=2)
@@ -55,6 +74,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    for name, function in STAGES:
+        docs = stored(function(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs
