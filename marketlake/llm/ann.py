@@ -328,13 +328,22 @@ def _sample(entries: DataFrame, bound: int, total: int) -> DataFrame:
     return entries.where(F.pmod(F.xxhash64("entry"), F.lit(scale)) < int(scale * min(1.0, bound / max(1, total))) + 1)
 
 
-def fit_window(entries: DataFrame, blocks: DataFrame, keep: int, total: int, target: float = TARGET) -> int:
-    """Smallest number of neighbouring blocks on each side that finds ``target`` of a sample's true neighbours."""
-    asking = _sample(entries.where("asks"), SAMPLE_QUERIES, total).select("entry", "v").limit(2 * SAMPLE_QUERIES).collect()
+def fit_window(entries: DataFrame, blocks: DataFrame, keep: int, asked: int, target: float = TARGET) -> int:
+    """Smallest number of neighbouring blocks on each side that finds ``target`` of a sample's true neighbours.
+
+    The sample is drawn from the ``asked`` entries that ask. A query's own entry, which is always found, doesn't count.
+    """
+    asks = entries.where("asks").select("entry", "v")
+    asking = _sample(asks, SAMPLE_QUERIES, asked).limit(2 * SAMPLE_QUERIES).collect()
+    if not asking:  # the hash may miss them all
+        asking = asks.limit(SAMPLE_QUERIES).collect()
     if not asking:
         return 0
     ids = np.array([r["entry"] for r in asking], dtype=np.int64)
-    truth = brute_force(entries, ids, np.array([r["v"] for r in asking]), keep).select("query", "entry").collect()
+    found = brute_force(entries, ids, np.array([r["v"] for r in asking]), keep + 1).where("query <> entry")
+    truth = _top(found, "query", "entry", keep).select("query", "entry").collect()
+    if not truth:
+        return 0
     # Bounded: the sample's queries and their neighbours.
     named = entries.sparkSession.createDataFrame(
         [(int(e),) for e in {x for pair in truth for x in pair}], "entry long"
@@ -387,12 +396,13 @@ def search(vectors: DataFrame, every: int = 20, keep: int = 20, target: float =
     def members(packed: pd.Series) -> pd.Series:
         return packed.map(lambda b: np.frombuffer(b, dtype=np.int64))
 
+    asked = entries.where("asks").count()
     window = fit_window(
-        entries, numbered.select("ordering", "number", members("entries").alias("members")), keep + 1, total, target
+        entries, numbered.select("ordering", "number", members("entries").alias("members")), keep, asked, target
     )
 
     # Queries that a window holds at once; parts of a strip bound them for a task.
-    asked_at_once = entries.where("asks").count() * (2 * window + 1) // max(1, -(-total // block))
+    asked_at_once = asked * (2 * window + 1) // max(1, -(-total // block))
     parts = max(1, -(-asked_at_once // ACTIVE_QUERIES))
     strips = numbered.select("ordering", "number", "entries", "asks", "vs").mapInArrow(_strips(window, parts), _STRIP)
     pairs = strips.repartition("ordering", "strip", "part").sortWithinPartitions(*_STRIP_ORDER).mapInArrow(

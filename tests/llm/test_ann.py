@@ -112,3 +112,39 @@ def test_few_and_no_rows(spark):
     assert fast(ann.search(spark.createDataFrame([], schema))) == {}
     assert fast(ann.search(spark.createDataFrame([(1, [1.0]), (2, [2.0])], schema))) == {}
     assert fast(ann.search(spark.createDataFrame([(20, [1.0])], schema))) == {}
+
+
+def sampled(monkeypatch):
+    seen, brute = [], ann.brute_force
+    monkeypatch.setattr(ann, "brute_force", lambda entries, ids, *a: seen.append(ids.tolist()) or brute(entries, ids, *a))
+    return seen
+
+
+def test_the_window_is_fitted_on_about_200_queries(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    seen = sampled(monkeypatch)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(10_000, 4)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert ann.search(df).count() == 500 * 20
+    assert 100 < len(seen[0]) <= 400 and all(i % 20 == 0 for i in seen[0])
+
+
+def test_rare_queries_are_all_sampled_and_found(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    seen = sampled(monkeypatch)
+    rows = [(7 * i + 1 if (7 * i + 1) % 20 else 1, v) for i, v in enumerate(rng.normal(size=(3000, 24)).tolist())]
+    rows = [(i, v) for i, v in rows if i != 1] + [(40, rng.normal(size=24).tolist()), (80, rng.normal(size=24).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = fast(ann.search(df, block=16)), slow(rows)
+    assert sorted(seen[0]) == [40, 80] and recall(got, want) >= 0.9
+
+
+def test_own_entry_is_no_neighbour_that_counts(spark):
+    # Each query is best itself; its only other neighbour lies three blocks off in the one ordering.
+    entries = spark.createDataFrame(
+        [(0, [1.0, 0.0], True), (1, [0.9, 0.0], False), (2, [0.0, 1.0], False), (3, [0.0, 0.5], False)],
+        "entry long, v array<double>, asks boolean",
+    )
+    blocks = spark.createDataFrame([(0, 1, [0]), (0, 2, [2]), (0, 3, [3]), (0, 4, [1])],
+                                   "ordering int, number int, members array<long>")
+    assert ann.fit_window(entries, blocks, 1, 1, target=0.5) == 3
