@@ -113,6 +113,19 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     )
 
 
+def _rooted_groups(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """The rows of ``near_duplicate_groups`` with ``root``: the fingerprint that identifies the component, never null."""
+    rows = stored(fingerprints(docs, words), "fingerprints")
+    prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    roots = connected(links(prints, max_bits))
+    entries = prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+    smallest = entries.groupBy("root").agg(F.min("first").alias("component_id"))
+    found = stored(entries.join(smallest, "root").select("fingerprint", "component_id", "root"), "components")
+    return rows.join(found, "fingerprint").select("doc_id", TEXT_KEY, "fingerprint", "component_id", "root")
+
+
 def near_duplicate_groups(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per document row: doc_id, text key, fingerprint (long) and component_id.
 
@@ -121,24 +134,17 @@ def near_duplicate_groups(docs: DataFrame, words: int = 3, max_bits: int = 2) ->
     doc_id are rows of their own. A null doc_id stays null and counts for no component_id unless a whole component has
     none (then component_id is null). An empty table gives no rows.
     """
-    rows = stored(fingerprints(docs, words), "fingerprints")
-    prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    roots = connected(links(prints, max_bits))
-    entries = prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    smallest = entries.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = stored(entries.join(smallest, "root").select("fingerprint", "component_id"), "components")
-    return rows.join(found, "fingerprint").select("doc_id", TEXT_KEY, "fingerprint", "component_id")
+    return _rooted_groups(docs, words, max_bits).drop("root")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """The documents' columns, with one row of each group: that of the smallest doc_id, then the smallest text key."""
-    groups = stored(near_duplicate_groups(docs, words, max_bits), "groups")
+    """The documents' columns, with one row of each group: that of the smallest doc_id, then the smallest text key.
+
+    Groups are told apart by their fingerprints, since different ones may hold the same doc_id or none.
+    """
+    groups = stored(_rooted_groups(docs, words, max_bits), "groups")
     ordered = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", TEXT_KEY)
-    first = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))).agg(
-        F.min(ordered).alias("keep")
-    ).select("keep.doc_id", f"keep.{TEXT_KEY}").distinct()
+    first = groups.groupBy("root").agg(F.min(ordered).alias("keep")).select("keep.doc_id", f"keep.{TEXT_KEY}")
     rows = docs.withColumn(TEXT_KEY, text_key())
     kept = rows.join(first, same_row(rows, first), "left_semi")
     return kept.dropDuplicates(["doc_id", TEXT_KEY]).drop(TEXT_KEY)

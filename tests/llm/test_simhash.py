@@ -112,3 +112,17 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = spark.createDataFrame(chain + star, "low long, high long")
     roots = {r.node: r.root for r in connected(edges).collect()}
     assert roots == {i: 100 for i in range(100, 201)} | {k: 3 for k in [3, 7, *range(1000, 3000)]}
+
+
+def test_repeated_and_missing_ids_lose_no_document_of_another_group(spark):
+    rng = random.Random(8)
+    fresh = lambda: " ".join("v%d" % rng.randrange(10**6) for _ in range(400))
+    one, two, three, four = (fresh() for _ in range(4))
+    words, print_ = four.split(), slow_print(four)
+    copies = (" ".join([*words[:i], "changed", *words[i + 1 :]]) for i in range(400))
+    near = next(c for c in copies if 1 <= (print_ ^ slow_print(c)).bit_count() <= 2)
+    rows = [(5, one), (5, two), (7, one), (9, two), (5, three), (None, four), (None, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in simhash.drop_near_duplicates(docs).collect()), key=repr)
+    assert [d for d, _ in kept] == [5, 5, 5, None]
+    assert {t for d, t in kept if d} == {one, two, three}
