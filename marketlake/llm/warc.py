@@ -1,7 +1,8 @@
 """Derivatives of web archive records: metadata and plain text of each response, linked to it.
 
 A response is a WARC record whose block is an HTTP message. Each one gives a metadata record (application/warc-fields:
-status, source headers, digests, title, language, links) and a conversion record (text/plain, UTF-8). Both refer to the
+status, source headers, digests, title, language, links) and, if its body is a text, a conversion record (text/plain,
+UTF-8). Chunked framing and gzip or deflate codings are undone first; digests are those of the source. Records refer to the
 response's id and carry its target and date. Ids follow from the source's id, so a task that runs again writes the same
 records. Every row is handled on its own; nothing is shuffled.
 """
@@ -33,6 +34,10 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)([^<>]*)>|<[!?/][^<>]*>")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPACE = re.compile(r"[ \t\r\f\v\xa0]+")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
+_CHUNK = re.compile(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(?:;[^\r\n]*)?\r\n")
+_BINARY = re.compile(rb"[\x00-\x08\x0e-\x1a\x1c-\x1f]")
+_MARKUP_TYPES = re.compile(r"text/html|(?:text|application)/(?:[\w.-]+\+)?xml")
+_TEXT_TYPES = re.compile(r"text/.+|application/(?:[\w.-]+\+)?(?:json|javascript|ecmascript|x-javascript|x-ndjson)")
 _BLOCK_TAGS = frozenset(
     "address article aside blockquote body br dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
     " h5 h6 header hr html li main nav ol p pre section table td th title tr ul".split()
@@ -63,6 +68,71 @@ def parse_http(block: bytes) -> tuple[int | None, list[tuple[str, str]], bytes]:
     return int(status[1]) if status else None, headers, body
 
 
+def _values(headers: list[tuple[str, str]], name: str) -> list[str]:
+    """The comma-separated values of a header in lower case, in order."""
+    return [v for k, values in headers if k.lower() == name for v in values.lower().replace(" ", "").split(",") if v]
+
+
+def _unchunked(body: bytes) -> bytes:
+    """The data of a chunked body; what is not framed so (archives may undo it) stays, a cut one gives what is there."""
+    parts, at = [], 0
+    while size := _CHUNK.match(body, at):
+        at, length = size.end(), int(size[1], 16)
+        if not length:
+            return b"".join(parts)
+        parts.append(body[at : at + length])
+        at += length
+        if at < len(body) and not body.startswith(b"\r\n", at):
+            return body
+        at += 2
+    return b"".join(parts) if any(parts) and at >= len(body) else body
+
+
+def _inflated(body: bytes, wbits: int) -> bytes | None:
+    """All members of a compressed body up to its end or a damaged place; None if it is not compressed so."""
+    out, ended, unzip = [], False, zlib.decompressobj(wbits)
+    for at in range(0, len(body), 512):  # in pieces, since a damaged one gives nothing
+        piece = body[at : at + 512]
+        while piece:
+            try:
+                out.append(unzip.decompress(piece))
+            except zlib.error:
+                return b"".join(out) if ended or any(out) else None
+            piece = unzip.unused_data
+            if unzip.eof:
+                ended, unzip = True, zlib.decompressobj(wbits)
+                if wbits != 31:
+                    return b"".join(out)
+    return b"".join(out) if ended or any(out) else None
+
+
+def content(headers: list[tuple[str, str]], body: bytes) -> bytes | None:
+    """The body without its transfer and content codings, or None if one of them can't be undone.
+
+    A body that is not coded as its headers say, as archives that store decoded bodies have them, is taken as it is.
+    """
+    for coding in reversed(_values(headers, "content-encoding") + _values(headers, "transfer-encoding")):
+        if coding == "chunked":
+            body = _unchunked(body)
+        elif coding in ("gzip", "x-gzip"):
+            body = _inflated(body, 31) or b"" if body.startswith(b"\x1f\x8b") else body
+        elif coding == "deflate":  # with or without the frame that it should have
+            plain = _inflated(body, 15)
+            plain = _inflated(body, -15) if plain is None else plain
+            body = body if plain is None else plain
+        elif coding != "identity" and _BINARY.search(body[:1024]):
+            return None
+    return body
+
+
+def text_kind(headers: list[tuple[str, str]], body: bytes) -> str | None:
+    """'markup', 'plain' or None (no text) by the type that the headers name; without one, by the first kilobyte."""
+    named = next((v for k, v in headers if k.lower() == "content-type"), "").partition(";")[0].strip().lower()
+    if not named:
+        return None if _BINARY.search(body[:1024]) else "markup"
+    return "markup" if _MARKUP_TYPES.fullmatch(named) else "plain" if _TEXT_TYPES.fullmatch(named) else None
+
+
 def decode(body: bytes, headers: list[tuple[str, str]]) -> str:
     """The body as text, by the charset that its header or its first kilobyte names, else UTF-8."""
     named = [_CHARSET.search(v) for k, v in headers if k.lower() == "content-type"]
@@ -107,12 +177,18 @@ def read_page(page: str, base: str) -> tuple[str, str, list[str], str]:
 
 
 def derive_one(source_id: str, target: str | None, date: str | None, headers: dict[str, str], block: bytes) -> list[tuple]:
-    """The metadata and conversion record of one response."""
+    """The metadata record of one response, and the conversion record if its body is a text."""
     status, http, body = parse_http(block)
     own = {k.lower(): v for k, v in headers.items() if v is not None}
     block_digest = own.get("warc-block-digest") or digest(block)
     payload_digest = own.get("warc-payload-digest") or digest(body)
-    title, language, links, text = read_page(decode(body, http), target or "")
+    plain = content(http, body)
+    kind = None if plain is None else text_kind(http, plain)
+    title, language, links, text = "", "", [], None
+    if kind == "markup":
+        title, language, links, text = read_page(decode(plain, http), target or "")
+    elif kind == "plain":
+        text = decode(plain, http)
     one_line = lambda v: " ".join(v.split())
     fields = [("source-record-id", source_id), ("source-block-digest", block_digest), ("source-payload-digest", payload_digest)]
     fields += [(f"source-{k.lower()}", v) for k, v in sorted(headers.items()) if v is not None]
@@ -123,19 +199,22 @@ def derive_one(source_id: str, target: str | None, date: str | None, headers: di
     fields += [("outlink", link) for link in links]
     described = "".join(f"{k}: {one_line(v)}\r\n" for k, v in fields)
     out = []
-    for kind, content_type, content in (
+    for kind, content_type, written in (
         ("metadata", "application/warc-fields", described), ("conversion", "text/plain; charset=utf-8", text)
     ):
-        data = content.encode("utf-8", "surrogatepass")
+        if written is None:
+            continue
+        data = written.encode("utf-8", "surrogatepass")
         out.append((
             kind, record_id(kind, source_id), source_id, target, date, content_type, len(data), digest(data),
-            block_digest, payload_digest, status, content,
+            block_digest, payload_digest, status, written,
         ))
     return out
 
 
 def derivatives(responses: DataFrame) -> DataFrame:
-    """Two records for each row of ``responses`` (record_id, target_uri, warc_date, headers map, block binary).
+    """Records for each row of ``responses`` (record_id, target_uri, warc_date, headers map, block binary): metadata, and
+    a conversion of what is a text by its type.
 
     Other columns come before the records' own, with a clashing name left out. Null ids become an id made from
     the target and the block, a null block is empty, and null targets, dates and headers are left out of records.

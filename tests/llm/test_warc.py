@@ -1,7 +1,9 @@
 """Derivatives of WARC responses: links between records, texts against an independent parser, round trips."""
 
 import base64
+import gzip
 import hashlib
+import zlib
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -130,3 +132,55 @@ def test_query_against_an_independent_parser(spark):
 def test_extra_columns_do_not_clash(spark):
     pages = spark.createDataFrame([(1, "http://a/", "x", "clash")], "page_id long, url string, html string, block string")
     assert warc.derivatives(warc.responses_of_pages(pages, "d").withColumn("extra", F.lit(1))).columns[:2] == ["page_id", "extra"]
+
+
+def chunked(data, size=50):
+    parts = [data[i : i + size] for i in range(0, len(data), size)]
+    return b"".join(b"%x;x=y\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\nTrailer: t\r\n\r\n"
+
+
+def test_coded_bodies_of_files_are_undone_and_only_texts_are_converted(spark, tmp_path):
+    page, markup = PAGE.encode(), "text/html; charset=utf-8"
+    raw = zlib.compressobj(wbits=-15)
+    long = page + "".join(f"<p>{hashlib.md5(b'%d' % i).hexdigest()}" for i in range(2000)).encode()
+    bodies = {
+        "gzip": (markup, "Content-Encoding: gzip", gzip.compress(page)),
+        "members": (markup, "Content-Encoding: x-gzip", gzip.compress(page[:99]) + gzip.compress(page[99:])),
+        "deflate": (markup, "content-encoding: Deflate", zlib.compress(page)),
+        "raw": (markup, "Content-Encoding: deflate", raw.compress(page) + raw.flush()),
+        "chunked": (markup, "Transfer-Encoding: chunked", chunked(page)),
+        "both": (markup, "Content-Encoding: gzip\r\nTransfer-Encoding: chunked", chunked(gzip.compress(page))),
+        "decoded": (markup, "Content-Encoding: gzip\r\nTransfer-Encoding: chunked", page),
+        "undeflated": (markup, "Content-Encoding: deflate", page),
+        "cut": (markup, "Content-Encoding: gzip", gzip.compress(long)[:-9000]),
+        "brotli": (markup, "Content-Encoding: br", bytes(range(256))),
+        "image": ("image/png", "X: y", b"\x89PNG\r\n" + bytes(range(256))),
+        "untyped": ("", "X: y", b"\x89PNG\r\n" + bytes(range(256))),
+        "plain": ("text/plain", "Content-Encoding: gzip", gzip.compress(b"a <b> c")),
+    }
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(
+        warc.serialise("response", f"<urn:{name}>", [("WARC-Target-URI", "http://a.example/d/")],
+                       f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\n{head}\r\n\r\n".encode() + body)
+        for name, (kind, head, body) in bodies.items()
+    ))
+    read = warc.read_responses(spark.read.format("binaryFile").load(str(tmp_path)))
+    got = {(r.refers_to[5:-1], r.warc_type): r for r in warc.derivatives(read).collect()}
+    title, language, links, text = warc.read_page(PAGE, "http://a.example/d/")
+    for name, (_, _, body) in bodies.items():
+        meta = got.pop((name, "metadata"))
+        assert meta.source_payload_digest == b32(body)
+        if name in ("brotli", "image", "untyped", "plain"):
+            assert "title: " not in meta.block and "outlink: " not in meta.block
+            continue
+        assert f"title: {title}" in meta.block.split("\r\n")
+        assert [v[9:] for v in meta.block.split("\r\n") if v.startswith("outlink: ")] == links
+        found = got.pop((name, "conversion")).block
+        assert found == text or name == "cut" and found.startswith(text) and len(found) > 20000
+    assert got.pop(("plain", "conversion")).block == "a <b> c" and not got
+
+
+def test_chunks_that_are_cut_or_no_chunks():
+    assert warc._unchunked(chunked(b"abc" * 99)) == b"abc" * 99 and warc._unchunked(b"0\r\n\r\n") == b""
+    assert warc._unchunked(chunked(b"a" * 99)[:40]) == b"a" * 32
+    for body in (b"", b"plain", b"add\nplain text that is longer than its first word" * 99, b"12\r\n"):
+        assert warc._unchunked(body) == body
