@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms of personal data in texts, by DataFrame functions only.
 
-Candidates are found by one pattern and validated: card numbers by their check digit, bank accounts by their remainder
+The places where a candidate may start are found by one pattern. Of the forms that fit there, account lengths by country
+and phone lengths by country code first, the first valid one counts; where none is, the next place gets its turn. Card numbers by their check digit, bank accounts by their remainder
 of 97, addresses and dates by their ranges. A valid value is a pair of whole numbers (x under a, y under b), and a
 Feistel network whose round function is a keyed hash permutes such pairs: x takes a hash of y modulo a, then y one of x
 modulo b, ten times. The result is written in the value's own layout with its check digits made anew. Equal values get
@@ -23,11 +24,33 @@ _FIRST_DAY, _DAYS, _DAY_A, _DAY_B = "DATE'1700-01-01'", 146_097, 189, 773
 # Social security numbers: areas 001-899 but 666, groups 01-99, serials 0001-9999.
 _SSN_A, _SSN_B = 898, 99 * 9_999
 
-_PATTERN = "|".join([
-    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",  # email
-    r"(?<=(?i:token|key|secret|password) ?[=:] ?[\"']?)[0-9a-fA-F]{32,64}(?![0-9A-Za-z])",
-    r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",  # iban
-    r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",  # phone
+# Account lengths by country, and phone digits after the country code where all numbers have as many.
+_ACCOUNTS = {
+    15: "NO", 16: "BE", 18: "DK FI FO FK GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_PHONES = {
+    7: "354", 8: "45 47 65 370 371 852", 9: "27 31 33 34 40 41 48 61 84 351 380 420 421", 10: "1 7 30 44 52 63 90 91 92",
+}
+
+
+def _account(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    last = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}"
+
+
+_MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_TOKEN = r"(?<=(?i:token|key|secret|password) ?[=:] ?[\"']?)[0-9a-fA-F]{32,64}(?![0-9A-Za-z])"
+_IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+_IBAN_EXACT = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_account(*a) for a in _ACCOUNTS.items())})(?![\p{{L}}\p{{N}}])"
+_PHONE = r"(?<![\p{{L}}\p{{N}}+])\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{2,4}}\)?){{{}}}(?![0-9])"
+_PHONE_EXACT = r"(?<![\p{L}\p{N}+])\+(?:" + "|".join(
+    rf"(?:{codes.replace(' ', '|')})(?:\)?[ .-]?\(?[0-9]){{{n}}}" for n, codes in _PHONES.items()
+) + ")(?![0-9])"
+_OTHERS = "|".join([
     r"(?<![\p{L}\p{N}.-])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",  # ipv4
     r"(?<![\p{L}\p{N}/-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9/-])",
     r"(?<![\p{L}\p{N}/-])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/-])",
@@ -36,6 +59,11 @@ _PATTERN = "|".join([
     r"(?<![\p{L}\p{N}])(?:[0-9]{4}-){3}[0-9]{1,7}(?![0-9-])",
     r"(?<![\p{L}\p{N}])(?:[0-9]{4} ){3}[0-9]{1,7}(?![0-9])",
 ])
+# Where a candidate starts, and what it may be there, the more certain and then the longer one first.
+_PATTERN = "|".join([_MAIL, _TOKEN, _IBAN, _PHONE_EXACT, _PHONE.format("2,5"), _OTHERS])
+_FORMS = [f"{_MAIL}|{_TOKEN}", _IBAN_EXACT, None, _PHONE_EXACT, *(_PHONE.format(n) for n in (5, 4, 3, 2)), _OTHERS]
+_BEFORE = 16  # characters before a start that its pattern may look at
+_AFTER = 24  # starts that a candidate may reach over
 
 
 def _literal(text: str) -> str:
@@ -70,6 +98,21 @@ _VALID_DAY = f"BETWEEN 0 AND {_DAYS - 1}"
 _PLAIN = "regexp_replace(m, '[^0-9A-Z]', '')"
 _DIGITS = "regexp_replace(m, '[^0-9]', '')"
 
+def _candidates(at: str) -> str:
+    """What the text at a start may be: ``at`` begins ``_BEFORE`` characters earlier.
+
+    An account of a country without a known length is any of its first groups.
+    """
+    form = lambda p: f"regexp_extract({at}, {_literal(f'^(?s:.{{{_BEFORE}}})({p})')}, 1)"
+    known = _literal("^(?:" + "|".join(" ".join(_ACCOUNTS.values()).split()) + ")")
+    ends = "filter(reverse(sequence(1, 1 + length(g))), n -> substr(g, n, 1) = ' ')"
+    shorter = f"IF(g RLIKE {known}, array(g), array_prepend(transform({ends}, n -> left(g, n - 1)), g))"
+    groups = f"transform(array({form(_IBAN)}), g -> {shorter})[0]"
+    split_at = _FORMS.index(None)
+    first, last = (", ".join(form(p) for p in part) for part in (_FORMS[:split_at], _FORMS[split_at + 1 :]))
+    return f"filter(concat(array({first}), {groups}, array({last})), c -> c <> '')"
+
+
 _KIND = f"""CASE
   WHEN contains(m, '@') THEN 'email'
   WHEN m RLIKE '^[0-9a-fA-F]{{32,64}}$' AND m RLIKE '[a-fA-F]' THEN 'token'
@@ -177,19 +220,33 @@ def replaced(text: str, key: str, back: bool = False) -> Column:
 
     ``back`` turns permuted values back; hashed ones stay. A null text gives a null struct.
     """
-    secret, pattern, column = _literal(key), _literal(_PATTERN), f"`{text}`"
+    secret, column = _literal(key), f"`{text}`"
+    start = _literal(f"(?={_PATTERN})")
+    # A start inside a value before it is none: "over" is how much of that value is still to come there.
+    over = "coalesce(int(get(o, i + 1)), 0)"
+    reach = """aggregate(v, named_struct('over', 0, 'all', ''), (a, e) -> named_struct(
+      'over', greatest(0, IF(a.over > 0, a.over, coalesce(length(e.c.m), 0)) - length(e.s)),
+      'all', concat(a.all, ',', string(a.over))))"""
     steps = [
-        ("v", f"transform(regexp_extract_all({column}, {pattern}, 0), m -> named_struct('m', m, 'kind', {_KIND}))"),
-        ("v", f"transform(v, v -> named_struct('m', v.m, 'kind', v.kind, 'body', {_BODY}))"),
-        ("v", "transform(v, v -> named_struct('m', v.m, 'kind', v.kind, 'body', v.body, "
+        ("w", f"split({column}, {start}, -1)"),
+        ("v", f"transform(w, (s, i) -> named_struct('s', s, 'c', concat(lpad(right(coalesce(get(w, i - 1), ''), {_BEFORE}),"
+              f" {_BEFORE}, '\n'), array_join(slice(w, i + 1, {_AFTER}), ''))))"),
+        ("v", f"transform(v, v -> named_struct('s', v.s, 'c', {_candidates('v.c')}))"),
+        ("v", f"transform(v, v -> named_struct('s', v.s, 'c', get(filter(transform(v.c, m -> "
+              f"named_struct('m', m, 'kind', {_KIND})), c -> c.kind IS NOT NULL), 0)))"),
+        ("o", f"IF(exists(v, v -> coalesce(length(v.c.m) > length(v.s), false)), split({reach}.all, ','), NULL)"),
+        ("v", f"transform(v, (v, i) -> named_struct('m', IF({over} > 0, NULL, v.c.m), 'kind', IF({over} > 0, NULL, v.c.kind),"
+              f" 's', substr(v.s, 1 + IF({over} > 0, {over}, coalesce(length(v.c.m), 0)))))"),
+        ("v", f"transform(v, v -> named_struct('s', v.s, 'm', v.m, 'kind', v.kind, 'body', {_BODY}))"),
+        ("v", "transform(v, v -> named_struct('s', v.s, 'm', v.m, 'kind', v.kind, 'body', v.body, "
               f"'a', IF(v.kind IS NULL, NULL, {_bound('a')}), 'b', IF(v.kind IS NULL, NULL, {_bound('b')}), "
               f"'x', IF(v.kind IS NULL, NULL, {_pair('x')}), 'y', IF(v.kind IS NULL, NULL, {_pair('y')})))"),
-        ("v", "transform(v, v -> named_struct('m', v.m, 'kind', v.kind, 'body', v.body, "
+        ("v", "transform(v, v -> named_struct('s', v.s, 'm', v.m, 'kind', v.kind, 'body', v.body, "
               f"'p', IF(v.kind IS NULL, NULL, {_feistel(secret, back)})))"),
     ]
     hashed = "v.kind IN ('email', 'token')" if back else "false"
-    new = f"transform(v, v -> IF(v.kind IS NULL OR {hashed}, v.m, {_written(secret)}))"
-    joined = f"""array_join(zip_with(split({column}, {pattern}, -1), {new}, (a, b) -> concat(a, coalesce(b, ''))), '')"""
+    new = f"IF(v.kind IS NULL OR {hashed}, coalesce(v.m, ''), {_written(secret)})"
+    joined = f"array_join(transform(v, v -> concat({new}, v.s)), '')"
     found = "filter(transform(v, v -> v.kind), k -> k IS NOT NULL)"
     result = f"named_struct('text', {joined}, 'kinds', {found})"
     # Each step names its array for the next one: a list of one array is transformed.

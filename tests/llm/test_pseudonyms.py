@@ -161,3 +161,25 @@ def test_query_changes_only_documents_with_personal_data(spark):
         private = re.findall(r"\S+@\S+\.com|\+1 \(\d{3}\) 555-\d{4}|(?<!\d)\d{1,3}(?:\.\d{1,3}){3}(?!\d)", text)
         private += [m for m in re.findall(r"(?<!\d)\d{16}(?!\d)", text) if luhn(m) == 0]
         assert not [p for p in private if p in r.text]
+
+
+def test_neighbouring_words_and_numbers_hide_no_value(run):
+    spanish, number, phone = "ES91 2100 0418 4502 0005 1332", "4111 1111 1111 1111", "+1 (743) 555-3824"
+    plain, compact, dialled = run([spanish, spanish.replace(" ", ""), phone])
+    assert plain != spanish and iban_remainder(plain.replace(" ", "")) == 1 and compact == plain.replace(" ", "")
+    new = laid(number, card(number.replace(" ", "")))
+    french, shown = "+33 1 23 45 67 89", run(["+33 1 23 45 67 89"])[0]
+    cases = {
+        f"{spanish} BIC": f"{plain} BIC", "ES9121000418450200051332 2024": f"{compact} 2024",
+        f"{spanish} {number} 2024": f"{plain} {new} 2024", f"2024 {number}": f"2024 {new}",
+        f"1234 2024 {number} 12 {number}": f"1234 2024 {new} 12 {new}", f"AB12 {number}": f"AB12 {new}",
+        f"DE12 {number} 99": f"DE12 {new} 99", f"{phone} 2024": f"{dialled} 2024",
+        f"{phone} {number}": f"{dialled} {new}", f"{number}": new, f"{french} 2024": f"{shown} 2024",
+        f"{number} {spanish} BIC {phone} 2024 x": f"{new} {plain} BIC {dialled} 2024 x",
+    }
+    assert run(list(cases)) == list(cases.values()) and shown != french
+    assert run(list(cases.values()), back=True) == list(cases)
+    other = "AA" + f"{98 - iban_remainder('AA00123456789012'):02d}" + " 1234 5678 9012"  # no country of the list
+    assert run([f"{other} BIC"])[0] == run([other])[0] + " BIC" != f"{other} BIC"
+    long, short = run(["+49 30 1234 5678 2024 1111", "+49 30 1234 5678"])
+    assert short != "+49 30 1234 5678" and long == short + " 2024 1111"
