@@ -3,8 +3,9 @@
 Only the histogram of piece lengths decides how pieces go together, and it has at most as many entries as a sequence
 has tokens. Its configuration linear program (which combinations of lengths fill a sequence, and how many sequences use
 each) is solved by multiplicative weights on the driver: lengths that are covered least weigh most, and a knapsack
-dynamic program prices the best configurations. The solution is rounded down, the rest is solved again, and what
-remains goes best-fit. Pieces then take the slots of their length by rank; ranks come from salted groups, so that a
+dynamic program prices the best configurations. It is solved once; its configurations of least waste are used as often as
+the solution says, rounded down, and all other pieces go best-fit, with the shortest tenth, which is held back for that.
+Where few pieces share a length, best fit does most of the packing. Pieces then take the slots of their length by rank; ranks come from salted groups, so that a
 length which a third of all pieces share is never one group.
 """
 
