@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, warc
+from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, substrings, warc
 from marketlake.llm.common import find_library
 
 ORACLE: dict[str, str] = {}
@@ -187,6 +187,40 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses_of_pages(pages, "2024-01-01T00:00:00Z"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words and the digest of the kept words of every document."""
+    kept = substrings.drop_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=20)
+    joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return kept.select(
+        "doc_id", F.col("__llm_n_words").alias("n_words"), F.col("__llm_n_removed").alias("n_removed"),
+        F.sha2(joined.cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+ORACLE["op12_substring_dedup"] = """
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, words, unnest(range(len(words) - 19)) AS pos FROM cut
+), later AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY md5(array_to_string(words[pos + 1:pos + 20], ' ')) ORDER BY doc_id, pos)
+      AS turn FROM windows
+  ) WHERE turn > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later
+), words AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM cut
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM cut LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_mixing_sources": op2_mixing_sources,
@@ -198,4 +232,5 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op12_substring_dedup": op12_substring_dedup,
 }
