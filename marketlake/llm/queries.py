@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import ann, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, substrings, warc
+from marketlake.llm import ann, hardneg, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, substrings, warc
 from marketlake.llm.common import find_library
 
 ORACLE: dict[str, str] = {}
@@ -221,6 +221,34 @@ FROM cut LEFT JOIN kept USING (doc_id)
 """
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three hard negatives for each of an anchor's five positives; every seventh label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(_table(spark, sf_dir, "embeddings").withColumn("label", label), every=50, positives=5, keep=3)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len([x FOR x IN embedding IF isfinite(x)])
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_mixing_sources": op2_mixing_sources,
@@ -233,4 +261,5 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_warc_derivatives": op10_warc_derivatives,
     "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
