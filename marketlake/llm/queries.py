@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import ann, hardneg, langid, linededup, mixing, packing, piecewise, pseudonyms, quality, simhash, substrings, warc
+from marketlake.llm import (
+    ann, hardneg, langid, linededup, mixing, packing, piecewise, prefixtrie, pseudonyms, quality, simhash, substrings, warc,
+)
 from marketlake.llm.common import find_library
 
 ORACLE: dict[str, str] = {}
@@ -187,6 +189,56 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses_of_pages(pages, "2024-01-01T00:00:00Z"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of rebuilt conversations: the first turns of every twentieth, then a conversation's own."""
+    digests = prefixtrie.turn_digests(_table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    turns = prefixtrie.rebuilt(digests, F.crc32(conv.cast("string").cast("binary")) % 4, conv - conv % 20)
+    return prefixtrie.prefix_trie(turns, digests.select("conv_id"))
+
+
+ORACLE["op11_conversation_trie"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295::UBIGINT, list_reduce(
+      list_prepend(4294967295::UBIGINT, [ord(c)::UBIGINT FOR c IN string_split(conv_id::VARCHAR, '')]),
+      lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+                                    lambda x, z: xor(x >> 1, (x & 1) * 3988292384::UBIGINT)))) % 4 AS shared
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT conv_id, place, role, text FROM turns JOIN convs USING (conv_id) WHERE place > shared
+  UNION ALL
+  SELECT c.conv_id, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND place <= shared
+), uses AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(md5(role) || md5(text), '') OVER w AS path,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM convs
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+         left(path, greatest(len(path) - 64, 0)) AS above
+  FROM uses GROUP BY path, depth
+), children AS (
+  SELECT above AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above
+), sums AS (
+  SELECT u.path, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM nodes n LEFT JOIN children c ON c.path = n.path JOIN uses u ON u.conv_id = n.conv_id AND u.depth <= n.depth
+  GROUP BY u.path
+), ends AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest
+  FROM (SELECT conv_id, arg_max(path, depth) AS path FROM uses GROUP BY conv_id) GROUP BY path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums USING (path) LEFT JOIN children USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.above
+"""
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, removed words and the digest of the kept words of every document."""
     kept = substrings.drop_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=20)
@@ -260,6 +312,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_hard_negatives": op13_hard_negatives,
 }
