@@ -41,6 +41,15 @@ def text_key(text: str | Column = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+def sampled(key: str, share: float | Column) -> Column:
+    """Whether a row is in a sample of this share (0 to 1) by a hash of its key.
+
+    The hash has 63 bits, so no share of a table of any size rounds to nothing. Rows without a key share one hash.
+    """
+    share = F.lit(share) if isinstance(share, (int, float)) else share
+    return F.xxhash64(key).bitwiseAND(F.lit((1 << 63) - 1)) <= (share * F.lit(2.0**63)).cast("decimal(38,0)")
+
+
 def same_row(left: DataFrame, right: DataFrame, names: tuple[str, ...] = ("doc_id", TEXT_KEY)) -> Column:
     """Null-safe equality of the columns that identify a row."""
     condition = F.lit(True)

@@ -16,11 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import sampled
+
 BITS = 16  # of a hashed n-gram
 ORDERS = (1, 2, 3)
 SAMPLE_DOCS = 3000  # bound of the training sample, over all languages
+MAX_LANGS = 128  # bound of the languages that are learned
 UNKNOWN = "und"
 _SLICE = 1 << 20  # characters counted at once
+_SORTED = 1 << 14  # characters of a text whose n-grams are sorted, not counted in an array
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,7 +36,8 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of the lower-cased text, other ASCII than letters as spaces, and how often each occurs."""
     chars = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     chars = np.where((chars < 97) | ((chars > 122) & (chars < 128)), np.uint64(32), chars)
-    total = np.zeros(1 << BITS, dtype=np.int64)
+    total = None if len(chars) <= _SORTED else np.zeros(1 << BITS, dtype=np.int64)
+    hashes = []
     for at in range(0, len(chars), _SLICE):
         for order in ORDERS:
             part = chars[at : at + _SLICE + order - 1]
@@ -41,7 +46,14 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
             code = np.full(len(part) - order + 1, order, dtype=np.uint64)
             for k in range(order):
                 code = (code << np.uint64(21)) ^ part[k : len(part) - order + 1 + k]
-            total += np.bincount(((code * _MIX) >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+            hashed = ((code * _MIX) >> np.uint64(64 - BITS)).astype(np.uint16)
+            if total is None:
+                hashes.append(hashed)
+            else:
+                total += np.bincount(hashed, minlength=1 << BITS)
+    if total is None:  # sorting what a short text has is cheaper than a counter for every feature
+        found, counts = np.unique(np.concatenate(hashes or [np.zeros(0, dtype=np.uint16)]), return_counts=True)
+        return found.astype(np.int64), counts
     found = np.flatnonzero(total)
     return found, total[found]
 
@@ -152,27 +164,30 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return counts, rows
 
 
-def train(docs: DataFrame, folds: int = 4, fold: int = 2, sample_docs: int = SAMPLE_DOCS) -> Model:
+def train(
+    docs: DataFrame, folds: int = 4, fold: int = 2, sample_docs: int = SAMPLE_DOCS, max_langs: int = MAX_LANGS
+) -> Model:
     """A model from the text and lang of documents outside the held-out fold.
 
     About ``sample_docs`` documents, as many of each language where there are so many, picked by a hash of the id, are
-    fitted; every fifth of them by that hash is kept for the temperature. Without labelled documents the model knows
+    fitted; every fifth of them by that hash is kept for the temperature. Of more than ``max_langs`` language values the
+    most frequent ones are learned (ties by name), which bounds the weights; a column with so many holds no languages. Without labelled documents the model knows
     no language and everything is unknown.
     """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & ~held_out(folds=folds, fold=fold))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_langs)
+    sizes = {r["lang"]: r["n"] for r in frequent.collect()}
     if not sizes:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), np.zeros(1 << BITS))
     counts, n_docs = document_frequencies(known.select("text"))
     idf = np.log((1 + n_docs) / (1 + counts))
 
-    langs, scale = sorted(sizes), 1_000_000
+    langs = sorted(sizes)
     shares = F.create_map(*[
-        F.lit(x) for lang in langs for x in (lang, int(scale * min(1, sample_docs / len(langs) / sizes[lang])))
+        F.lit(x) for lang in langs for x in (lang, float(min(1, sample_docs / len(langs) / sizes[lang])))
     ])
-    pick = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
-    sample = known.where(pick < shares[F.col("lang")]).select("text", "lang", (F.pmod(F.hash("doc_id"), F.lit(5)) == 0).alias("apart"))
+    sample = known.where(sampled("doc_id", shares[F.col("lang")])).select("text", "lang", (F.pmod(F.hash("doc_id"), F.lit(5)) == 0).alias("apart"))
 
     def features(batches):
         for pdf in batches:

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import sampled
+
 PASSAGE_BYTES = 1000
 SAMPLE_DOCS = 4000  # bound of the training sample
 THRESHOLD = 0.3
@@ -190,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_docs: int =
     ).agg((F.avg("quality") >= 0.5).cast("double").alias("__llm_label"))
     share = min(1.0, sample_docs / max(1, known.count()))
     # At most about sample_docs rows, whatever the tables hold.
-    sample = F.broadcast(known.where(F.pmod(F.xxhash64("__llm_id"), F.lit(1_000_000)) < int(share * 1_000_000)))
+    sample = F.broadcast(known.where(sampled("__llm_id", share)))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
         sample, F.col("doc_id") == F.col("__llm_id")
     )

@@ -5,9 +5,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.llm import langid, queries
+from marketlake.llm.common import sampled
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,8 +26,10 @@ def slow_counts(text):
     return out
 
 
-def test_ngrams_of_whole_texts(monkeypatch):
+@pytest.mark.parametrize("short", [0, 1 << 14])
+def test_ngrams_of_whole_texts(monkeypatch, short):
     monkeypatch.setattr(langid, "_SLICE", 7)
+    monkeypatch.setattr(langid, "_SORTED", short)
     for text in ("", "a", "Ab", "ÄÖü 12 straße, x", "日本 \x7f{}", "abc" * 40):
         found, counts = langid.ngram_counts(text)
         assert dict(zip(found.tolist(), counts.tolist())) == slow_counts(text)
@@ -113,3 +117,32 @@ def test_nothing_to_learn_from(spark):
     assert langid.predict(empty, model).count() == 0
     one = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.predict(one, langid.train(one)).collect()] == [("und", 0.0)]
+
+
+def test_a_share_of_a_very_large_table_is_not_nothing(spark):
+    """The share of a language with 800 million documents, and of one with a million million."""
+    ids = spark.range(200_000)
+    assert ids.where(sampled("id", 1.0)).count() == 200_000 and ids.where(sampled("id", 0.0)).count() == 0
+    assert 60 < ids.where(sampled("id", 5e-4)).count() < 150
+    first = ids.select(F.xxhash64("id").bitwiseAND(F.lit((1 << 63) - 1)).alias("h")).agg(F.min("h")).first()[0]
+    share = (first + 2) / 2.0**63 * 1.001  # just enough for one of them
+    assert share < 1e-4 and ids.where(sampled("id", share)).count() == 1
+    for total in (8e8, 1e12):
+        threshold = spark.range(1).select((F.lit(3000 / 4 / total) * F.lit(2.0**63)).cast("decimal(38,0)")).first()[0]
+        assert abs(int(threshold) / 2**63 * total - 750) < 1
+
+
+def test_every_language_of_an_uneven_table_is_learned(spark):
+    words = {"a": "alpha beta gamma", "b": "ünü öçş ğış", "c": "キャ ラク ター"}
+    rows = [(i, f"{words[l]} {i}", l) for i, l in enumerate("a" * 3000 + "b" * 60 + "c" * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample_docs=120)
+    got = {r.lang for r in langid.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(
+        "lang_pred = lang").select("lang").distinct().collect()}
+    assert model.langs == ["a", "b", "c"] and got == {"a", "b", "c"}
+
+
+def test_a_column_of_very_many_values_is_bounded(spark):
+    rows = [(i, f"word {i}", f"value {i}") for i in range(500)] + [(1000 + i, "alpha beta", "a") for i in range(50)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_langs=5)
+    assert len(model.langs) == 5 and model.langs[0] == "a" and model.weights.shape[1] == 5
