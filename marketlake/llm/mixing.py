@@ -30,7 +30,9 @@ class Mix:
     """Target of a mix.
 
     ``weights``: whole numbers by the path of a node's names, joined by "/"; nodes without one weigh
-    ``default_weight``. ``share``: tokens wanted for each token there is. ``epochs``: the most uses of a document.
+    ``default_weight``. A node of weight 0 is left out with all below it, and its share goes to its siblings; if they all
+    weigh 0, the node above can't use its share either. ``share``: tokens wanted for each token there is. ``epochs``: the
+    most uses of a document.
     """
 
     weights: dict[str, int] = field(default_factory=dict)
@@ -39,6 +41,22 @@ class Mix:
     epochs: int = 4
     seed: int = 1
 
+    def __post_init__(self) -> None:
+        for name, weight in {**self.weights, "default_weight": self.default_weight}.items():
+            if not isinstance(weight, int) or weight < 0:
+                raise ValueError(f"the weight of {name} is no whole number from 0: {weight}")
+        if not 0 <= self.share < float("inf"):
+            raise ValueError(f"the share is no number from 0: {self.share}")
+        if not isinstance(self.epochs, int) or self.epochs < 1:
+            raise ValueError(f"epochs is no whole number from 1: {self.epochs}")
+
+
+def _weight(path: list[str], mix: Mix) -> Column:
+    """Weight of the node whose names are in these columns."""
+    known = F.create_map(*[F.lit(x) for item in mix.weights.items() for x in item]) if mix.weights else None
+    name = F.concat_ws("/", *[F.col(c) for c in path])
+    return F.lit(mix.default_weight) if known is None else F.coalesce(known[name], F.lit(mix.default_weight))
+
 
 def token_count(text: str = "text") -> Column:
     """Words between white space; 0 of a null text."""
@@ -68,12 +86,10 @@ def _deal(children: DataFrame, parent: list[str], child: str, mix: Mix) -> DataF
     In the order of cap by weight, children are full as long as their cap is within their share of what is left.
     The others deal the rest, each rounded down.
     """
-    path = F.concat_ws("/", *[F.col(c) for c in (*parent, child)])
-    known = F.create_map(*[F.lit(x) for item in mix.weights.items() for x in item]) if mix.weights else None
-    weight = F.lit(mix.default_weight) if known is None else F.coalesce(known[path], F.lit(mix.default_weight))
-    rows = children.withColumn("w", weight.cast("decimal(38,0)")).withColumn("c", F.col("cap").cast("decimal(38,0)"))
+    rows = children.withColumn("w", _weight([*parent, child], mix).cast("decimal(38,0)")).withColumn("c", F.col("cap").cast("decimal(38,0)"))
     group = Window.partitionBy(*[F.col(c) for c in parent] or [F.lit(0)])
-    order = group.orderBy(F.col("cap") / F.col("w").cast("double"), child)
+    # Without a weight there is no cap either, so such a child is full at nothing.
+    order = group.orderBy(F.coalesce(F.try_divide("cap", F.col("w").cast("double")), F.lit(0.0)), child)
     to_here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     from_here = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     rows = rows.withColumn("left", F.col("budget").cast("decimal(38,0)") - F.sum("c").over(to_here) + F.col("c"))
@@ -87,10 +103,13 @@ def _deal(children: DataFrame, parent: list[str], child: str, mix: Mix) -> DataF
 
 
 def budgets(sized: DataFrame, mix: Mix) -> DataFrame:
-    """Per leaf: names, n_docs, tokens and budget in tokens. Without tokens every budget is 0."""
+    """Per leaf: names, n_docs, tokens and budget in tokens. Without tokens or weights every budget is 0."""
+    wanted = F.lit(True)
+    for depth in range(len(_LEAF)):
+        wanted = wanted & (_weight(_LEAF[: depth + 1], mix) > 0)
     found = stored(
         sized.groupBy(*_LEAF).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"))
-        .withColumn("cap", F.col("tokens") * mix.epochs), "leaves",
+        .withColumn("cap", F.when(wanted, F.col("tokens") * mix.epochs).otherwise(F.lit(0).cast("long"))), "leaves",
     )
     total = found.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * F.lit(mix.share)).cast("long")).first()[0]
     dealt: DataFrame | None = None

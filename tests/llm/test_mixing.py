@@ -15,7 +15,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, kind string"
 
 def deal(budget, caps, weights):
     """Budgets of children by name: fill who can't take their share, deal the rest anew."""
-    out, open_ = {}, dict(caps)
+    out, open_ = {c: 0 for c in caps if not weights[c]}, {c: n for c, n in caps.items() if weights[c]}
     while open_:
         total = sum(weights[c] for c in open_)
         full = [c for c in open_ if open_[c] * total <= weights[c] * budget]
@@ -35,12 +35,20 @@ def slow(rows, mix):
         tokens[leaf] += len((text or "").split())
         members[leaf].append((doc_id, len((text or "").split())))
 
+    def weight(path):
+        return mix.weights.get("/".join(path), mix.default_weight)
+
+    def cap(path):
+        return mix.epochs * sum(
+            t for leaf, t in tokens.items()
+            if leaf[: len(path)] == path and all(weight(leaf[: d + 1]) for d in range(3))
+        )
+
     def go(path, budget):
         if len(path) == 3:
             return {path: budget}
         names = {leaf[len(path)] for leaf in members if leaf[: len(path)] == path}
-        caps = {n: mix.epochs * sum(t for leaf, t in tokens.items() if leaf[: len(path) + 1] == (*path, n)) for n in names}
-        weights = {n: mix.weights.get("/".join((*path, n)), mix.default_weight) for n in names}
+        caps, weights = {n: cap((*path, n)) for n in names}, {n: weight((*path, n)) for n in names}
         return {k: v for n, b in deal(budget, caps, weights).items() for k, v in go((*path, n), b).items()}
 
     out = []
@@ -76,6 +84,25 @@ def test_equals_brute_force(spark, monkeypatch, seed, share, epochs):
     assert sorted((r.doc_id, (r.domain, r.lang, r.source), r.epoch) for r in got) == slow(rows, mix)
 
 
+@pytest.mark.parametrize("weights,default", [
+    ({"web": 0, "book": 6, "talk": 3}, 2),  # a domain
+    ({"web/en": 0, "web/de": 0, "web/": 0, "book/en/b": 0, "talk/de": 0}, 1),  # all below a domain, a source, a language
+    ({"book/en": 3, "book": 1, "book/en/b": 2}, 0),  # only what is named
+    ({}, 0),
+])
+def test_nodes_of_weight_zero_are_left_out(spark, weights, default):
+    rows, mix = corpus(6), mixing.Mix(weights, default, 0.8, 3, 6)
+    got = mixing.mix_table(spark.createDataFrame(rows, SCHEMA), F.col("kind"), mix).collect()
+    assert sorted((r.doc_id, (r.domain, r.lang, r.source), r.epoch) for r in got) == slow(rows, mix)
+
+
+def test_what_is_no_target_is_refused():
+    for wrong in ({"weights": {"a": -1}}, {"weights": {"a": 0.5}}, {"default_weight": -2}, {"share": -0.1},
+                  {"share": float("nan")}, {"epochs": 0}):
+        with pytest.raises(ValueError):
+            mixing.Mix(**wrong)
+
+
 def test_shortage_goes_to_siblings_before_other_domains(spark):
     rows = [(0, "w " * 10, "en", "a", "x"), (1, "w " * 990, "de", "b", "x"), (2, "w " * 1000, "en", "c", "y")]
     sized = mixing.leaves(spark.createDataFrame(rows, SCHEMA), F.col("kind"))
