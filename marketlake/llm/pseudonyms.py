@@ -34,6 +34,11 @@ _ACCOUNTS = {
 _PHONES = {
     7: "354", 8: "45 47 65 370 371 852", 9: "27 31 33 34 40 41 48 61 84 351 380 420 421", 10: "1 7 30 44 52 63 90 91 92",
 }
+# ---- fixed values: country calling codes of two digits; those from 1 and 7 have one, all others three ----
+_TWO_DIGIT_CODES = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92"
+    " 93 94 95 98"
+)
 
 
 def _account(length: int, countries: str) -> str:
@@ -63,7 +68,9 @@ _OTHERS = "|".join([
 _PATTERN = "|".join([_MAIL, _TOKEN, _IBAN, _PHONE_EXACT, _PHONE.format("2,5"), _OTHERS])
 _FORMS = [f"{_MAIL}|{_TOKEN}", _IBAN_EXACT, None, _PHONE_EXACT, *(_PHONE.format(n) for n in (5, 4, 3, 2)), _OTHERS]
 _BEFORE = 16  # characters before a start that its pattern may look at
-_AFTER = 24  # starts that a candidate may reach over
+# Starts that a candidate may reach over. Only mail addresses hold more than a few: a name of 64 characters has at most 8
+# (an address such as _1.1.1.1 takes eight), a host of 255 characters at most 23 (a date and its break take eleven).
+_AFTER = 40
 
 
 def _literal(text: str) -> str:
@@ -131,12 +138,12 @@ _KIND = f"""CASE
 END"""
 
 # The digits that are permuted: a card's without its check digit, an account's after its check digits, a phone's after
-# its country code.
+# its country code, with or without a break between them.
 _BODY = f"""CASE v.kind
   WHEN 'card' THEN left({_DIGITS.replace("(m,", "(v.m,")}, length({_DIGITS.replace("(m,", "(v.m,")}) - 1)
   WHEN 'iban' THEN substr({_DIGITS.replace("(m,", "(v.m,")}, 3)
-  WHEN 'phone' THEN substr({_DIGITS.replace("(m,", "(v.m,")},
-    1 + IF(v.m RLIKE '^[+][0-9]{{1,3}}[^0-9]', length(regexp_extract(v.m, '^[+]([0-9]+)', 1)), 1))
+  WHEN 'phone' THEN regexp_extract({_DIGITS.replace("(m,", "(v.m,")},
+    '^(?:[17]|{_TWO_DIGIT_CODES.replace(" ", "|")}|[0-9]{{3}})([0-9]*)$', 1)
 END"""
 
 _ZERO = "bigint(0)"
@@ -170,10 +177,10 @@ def _bound(name: str) -> str:
 
 
 def _feistel(key: str, back: bool) -> str:
-    hashed = "bigint(conv(substr(sha2(concat_ws(':', {key}, v.kind, length(v.body), i, {of}), 256), 1, 15), 16, 10))"
-    sign = "-" if back else "+"
-    x = f"pmod(p.x {sign} {hashed.format(key=key, of='p.y')} % v.a, v.a)"
-    y = f"pmod(p.y {sign} {hashed.format(key=key, of='p.x')} % v.b, v.b)"
+    hashed = "bigint(conv(substr(sha2(concat_ws(':', {key}, {kind}, length(v.body), i, {of}), 256), 1, 15), 16, 10))"
+    sign, kind = "-" if back else "+", "IF(v.kind LIKE 'date%', 'date', v.kind)"  # a day is the same in every layout
+    x = f"pmod(p.x {sign} {hashed.format(key=key, kind=kind, of='p.y')} % v.a, v.a)"
+    y = f"pmod(p.y {sign} {hashed.format(key=key, kind=kind, of='p.x')} % v.b, v.b)"
     order = f"sequence({ROUNDS - 1}, 0)" if back else f"sequence(0, {ROUNDS - 1})"
     return f"""aggregate({order}, named_struct('x', v.x, 'y', v.y),
       (p, i) -> IF(i % 2 = 0, named_struct('x', {x}, 'y', p.y), named_struct('x', p.x, 'y', {y})))"""
@@ -253,7 +260,8 @@ def replaced(text: str, key: str, back: bool = False) -> Column:
     for name, value in reversed(steps):
         result = f"transform(array({value}), {name} -> {result})[0]"
     plain = f"named_struct('text', {column}, 'kinds', CAST(array() AS array<string>))"
-    return F.expr(f"CASE WHEN {column} RLIKE '[0-9@]' THEN {result} WHEN {column} IS NOT NULL THEN {plain} END")
+    some = _literal("[0-9@]|(?i:token|key|secret|password) ?[=:]")
+    return F.expr(f"CASE WHEN {column} RLIKE {some} THEN {result} WHEN {column} IS NOT NULL THEN {plain} END")
 
 
 def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:

@@ -183,3 +183,39 @@ def test_neighbouring_words_and_numbers_hide_no_value(run):
     assert run([f"{other} BIC"])[0] == run([other])[0] + " BIC" != f"{other} BIC"
     long, short = run(["+49 30 1234 5678 2024 1111", "+49 30 1234 5678"])
     assert short != "+49 30 1234 5678" and long == short + " 2024 1111"
+
+
+def test_phones_are_linked_in_every_layout(run):
+    """Every listed code with as many digits as its numbers have, and some without a fixed length."""
+    rng = random.Random(7)
+    codes = [(c, n) for n, listed in pseudonyms._PHONES.items() for c in listed.split()]
+    codes += [("49", 10), ("43", 10), ("353", 9), ("886", 9), ("20", 10)]
+    for code, n in codes:
+        digits = "".join(rng.choice("0123456789") for _ in range(n))
+        layouts = [f"+{code}{digits}", f"+{code} {digits[:4]} {digits[4:]}", f"+{code} ({digits[:3]}) {digits[3:5]}-{digits[5:]}",
+                   f"+{code}-{digits[:2]}-{digits[2:5]}-{digits[5:]}", f"+{code} {digits[:3]}.{digits[3:6]}.{digits[6:]}"]
+        new = run([f"call {x}, please" for x in layouts])
+        want = code + permuted("phone", digits)
+        assert new == [f"call {laid(x, want)}, please" for x in layouts], code
+        assert run(new, back=True) == [f"call {x}, please" for x in layouts]
+
+
+def test_dates_are_linked_in_every_layout(run):
+    iso, european, american = run(["2024-01-15", "15/01/2024", "01/15/2024"])
+    assert iso == day("2024-01-15")
+    assert european == date.fromisoformat(iso).strftime("%d/%m/%Y") and american == date.fromisoformat(iso).strftime("%m/%d/%Y")
+    assert run([iso, european], back=True) == ["2024-01-15", "15/01/2024"]
+
+
+def test_tokens_of_letters_only(run):
+    secret = "deadbeefcafebabe" * 2
+    first, second, bare = run([f"my secret={secret}", f"no digit here, key: '{secret}' x", secret])
+    assert secret not in first + second and bare == secret
+    assert first.removeprefix("my secret=") in second
+
+
+def test_long_mail_names_over_many_starts(run):
+    name = "a" + "_1.1.1.1" * 7
+    host = "x" + ".2024-01-01" * 20 + ".org"
+    new = run([f"to {name}@{host} now"])[0]
+    assert re.fullmatch(rf"to [a-p]{{12}}@{re.escape(host)} now", new)
