@@ -49,6 +49,11 @@ def price_of(value: Column) -> Column:
     return F.floor(value * 100).cast("int")
 
 
+def in_parts(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
+    """Rows by their key in as many parts as the session shuffles in, as pages come in many files."""
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one scrape of the listing ``user_id``."""
     return table(spark, sf_dir, "events").selectExpr(
@@ -160,7 +165,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 23 == 0, F.lit("")).otherwise(script),
         F.lit("</body></html>"),
     )
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    events = in_parts(spark, table(spark, sf_dir, "events").select("event_id", "ts", "value"), "event_id")
     return events.withColumn("_price", price_of(F.col("value"))).select(
         event.alias("page_id"), F.col("ts").alias("scraped_at"), html.alias("html")
     )
@@ -228,7 +233,7 @@ def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<html><body><table class='x'>\n<tr><th>Date</th><th>Rate</th></tr>\n"), rows,
         F.lit("</table><table><tr><td>01 Jan 20</td><td>1</td></tr></table></body></html>"),
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    orders = in_parts(spark, table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
     return orders.select(
         "o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, F.lit("<p>none</p>")).otherwise(html).alias("html")
     )

@@ -61,7 +61,8 @@ def flexible_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMAT
     cases = F
     for shape, pattern in formats:
         cases = cases.when(text.rlike(shape), parse(pattern))
-    return cases
+    # Every shape has a digit, so one test settles what is no date at all.
+    return F.when(text.rlike("[0-9]"), cases)
 
 
 def partition_path(date: Column) -> Column:

@@ -21,13 +21,11 @@ def script_body(html: Column, script_id: str = DATA_SCRIPT_ID) -> Column:
     value = rf"""(?:"{name}"|'{name}'|{name}(?=[\s>]))"""
     # An attribute: white space, a name, and perhaps a value.
     attribute = r"""\s+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
-    wanted = rf"<script(?=\s)(?:(?!\s+id\s*=){attribute})*+\s+id\s*=\s*{value}[^>]*>(.*?)</script"
-    pieces = F.regexp_extract_all(
-        html, F.lit(rf"(?is)<!--.*?-->|{wanted}|<script\b.*?</script"), F.lit(0)
-    )
-    first = F.get(F.filter(pieces, lambda p: p.rlike(rf"(?is)^{wanted}")), F.lit(0))
-    found = F.regexp_extract(first, rf"(?is)^{wanted}", 1)
-    return F.when(first.isNotNull(), found)
+    wanted = rf"script(?=\s)(?:(?!\s+id\s*=){attribute})*+\s+id\s*=\s*{value}[^>]*(>.*?)</script"
+    # One pass: what is read over gives an empty piece, the body sought one that begins with its tag's end.
+    pieces = F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{wanted}|!--.*?-->|script\b.*?</script)"), F.lit(1))
+    body = F.substring(F.get(F.filter(pieces, lambda p: p != ""), F.lit(0)), 2, (1 << 31) - 1)
+    return F.when(F.contains(html, F.lit(script_id)), body)
 
 
 def extract_embedded_json(
@@ -114,27 +112,39 @@ def page_indices(results: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _cell_text(cell: Column) -> Column:
-    """Text of a table cell: tags gone, the usual entities decoded, white space at the ends cut."""
-    text = F.regexp_replace(cell, r"(?s)<[^>]*>", "")
+    """Text of a table cell: tags gone, the usual entities decoded, white space at the ends cut.
+
+    Patterns run only on cells that hold what they replace.
+    """
+    text = F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, r"(?s)<[^>]*>", "")).otherwise(cell)
+    plain = text
     for entity, char in (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"[\s ]+", " "))
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    text = F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
+    odd = text.rlike("[^\\S ]| |  ")
+    return F.trim(F.when(odd, F.regexp_replace(text, "[\\s ]+", " ")).otherwise(text))
 
 
 def number_of(text: Column) -> Column:
     """The number in a cell, with or without thousands marks; NULL if it is none."""
-    plain = F.when(text.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d*)?$"), F.replace(text, F.lit(","), F.lit(""))).otherwise(text)
-    return plain.try_cast("double")
+    marked = F.contains(text, F.lit(",")) & text.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d*)?$")
+    return F.when(marked, F.replace(text, F.lit(","), F.lit(""))).otherwise(text).try_cast("double")
 
 
-def _table_rows(html_col: str, value_name: str) -> Column:
-    """The first table's rows as structs of position, day and value."""
+def _rows(html_col: str) -> Column:
+    """The first table's rows as HTML."""
     table = F.regexp_extract(html_col, r"(?is)<table\b[^>]*>(.*?)</table\s*>", 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    return F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+
 
+def _cells(row: Column) -> Column:
+    return F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
+
+
+def _table_rows(html_col: str, value_name: str) -> Column:
+    """The first table's rows as structs of position, day and value."""
     def cells(row: Column) -> Column:
-        found = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
-        return F.transform(F.slice(found, 1, 2), _cell_text)
+        return F.transform(F.slice(_cells(row), 1, 2), _cell_text)
 
     def typed(cell: Column, position: Column) -> Column:
         return F.struct(
@@ -143,9 +153,7 @@ def _table_rows(html_col: str, value_name: str) -> Column:
             number_of(F.get(cell, F.lit(1))).alias(value_name),
         )
 
-    # Rows are typed and filtered inside the array, which keeps Spark from working out each
-    # cell twice, once for a filter below and once for the output.
-    return F.transform(F.transform(rows, cells), typed)
+    return F.transform(F.transform(_rows(html_col), cells), typed)
 
 
 def extract_html_table(
@@ -161,12 +169,17 @@ def extract_html_table(
     are left out, and so are those without a number: :func:`skipped_rows` counts them. A page
     without a table gives no rows.
     """
-    valid = F.filter(
-        _table_rows(html_col, value_name), lambda r: r["day"].isNotNull() & r[value_name].isNotNull()
-    )
-    return pages.select(*keys, F.inline(valid)).select(
-        *keys, "position", iso_date(F.col("day")).alias("date"), value_name,
-        iso_date(loaded_at).alias("loaded_at"),
+    # Cells are cut and typed as columns of their own rows, in generated code. Each ``inline`` of one row ends a step:
+    # what comes after it reads the step's results and does not work them out again.
+    cut = pages.select(*keys, F.posexplode(_rows(html_col)).alias("position", "_row"))
+    cut = cut.select(*keys, "position", F.inline(F.array(F.struct(_cells(F.col("_row")).alias("_cells")))))
+    first, second = (_cell_text(F.get("_cells", F.lit(i))) for i in (0, 1))
+    texts = cut.select(*keys, "position", F.inline(F.array(F.struct(first.alias("_day"), second.alias("_number")))))
+    typed = texts.select(*keys, "position", F.inline(F.array(F.struct(
+        flexible_date(F.col("_day")).alias("_date"), number_of(F.col("_number")).alias(value_name)
+    ))))
+    return typed.where(F.col("_date").isNotNull() & F.col(value_name).isNotNull()).select(
+        *keys, "position", iso_date(F.col("_date")).alias("date"), value_name, iso_date(loaded_at).alias("loaded_at"),
     )
 
 
