@@ -303,7 +303,11 @@ def subtree_sums(nodes: DataFrame, local: int = LOCAL) -> DataFrame:
             "node", F.when(~cut, F.col("up")).alias("up"), *_VALUES, "add_a", "add_b", F.when(cut, F.col("up")).alias("hang"),
             F.when(F.col("on_path"), F.col("centroid")).alias("centroid"),
         )
-    packed = small.repartition("top").sortWithinPartitions("top").mapInArrow(_finish(local), "node binary, a long, b long")
+    # Stored first: above a join by "top" Spark would leave out this repartition, and splitting the join's skewed
+    # partitions would then cut components.
+    packed = stored(small, "small-components").repartition("top").sortWithinPartitions("top").mapInArrow(
+        _finish(local), "node binary, a long, b long"
+    )
     return packed if done is None else packed.union(done)
 
 
