@@ -120,6 +120,36 @@ def large_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return prices, props
 
 
+def wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with a number that runs through the whole range of 64 bits."""
+    item = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
+    place = (item * F.lit(1_234_567_890_123_457).cast("decimal(16,0)")) % F.lit(2**63 - 1).cast("decimal(19,0)")
+    sign = F.when(F.col("l_linenumber") % 2 == 0, -1).otherwise(1)
+    return table(spark, sf_dir, "lineitem").select("l_returnflag", (place.cast("bigint") * sign).alias("value"))
+
+
+def date_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's date as its source writes it.
+
+    Of twelve sources some write the day first and some the month; of two only the first days of a month are given, one of
+    them on days that are the month's number, too; one changes its layout at every third order; one writes words. Every 40th cell is
+    no date.
+    """
+    day, source = F.to_date("o_orderdate"), (F.col("o_custkey") % 12).cast("int")
+    early = F.date_add(F.trunc(day, "month"), (F.dayofmonth(day) % 12).cast("int"))
+    twin = F.make_date(F.year(day), F.month(day), F.month(day))
+    form = lambda d, f: F.date_format(d, f)
+    cell = (
+        F.when(F.col("o_orderkey") % 40 == 0, "n/a")
+        .when(source < 4, form(day, "dd/MM/yyyy")).when(source < 7, form(day, "M/d/yyyy"))
+        .when(source == 7, form(day, "yyyyMMdd")).when(source == 8, form(early, "MM/dd/yyyy"))
+        .when(source == 9, form(twin, "d-M-yyyy"))
+        .when(source == 10, F.when(F.col("o_orderkey") % 3 == 0, form(day, "dd.MM.yyyy")).otherwise(form(day, "MM.dd.yyyy")))
+        .otherwise("not known")
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", source.alias("source"), cell.alias("cell"))
+
+
 def _listing(event: Column, i: Column) -> Column:
     """One listing record as a struct; every 37th lacks all but its id."""
     number = event * 5 + i

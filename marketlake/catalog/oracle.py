@@ -519,6 +519,44 @@ _TEXTS = {
         UNION ALL SELECT 'gold_current_properties', 'gold', count(*)
         FROM merged_prices p JOIN merged_props q ON p.prop_id = q.prop_id
         WHERE date = (SELECT max(date) FROM merged_prices) AND area_code IN ({_LISTED})""",
+    "median_of_wide_values": """
+        SELECT l_returnflag, count(*) AS num_rows, max(value) FILTER (WHERE r = (n + 1) // 2) AS median_low,
+               (max(value) FILTER (WHERE r = (n + 1) // 2)::DOUBLE + max(value) FILTER (WHERE r = n // 2 + 1)) / 2 AS median
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY value) AS r,
+                     count(*) OVER (PARTITION BY l_returnflag) AS n
+              FROM (SELECT unnest([l_returnflag, 'all']) AS l_returnflag,
+                           (((l_orderkey * 8 + l_linenumber)::HUGEINT * 1234567890123457) % 9223372036854775807)::BIGINT
+                           * CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END AS value FROM lineitem))
+        GROUP BY l_returnflag""",
+    "median_by_month_from_sketches": """
+        SELECT year(l_shipdate)::INTEGER AS year, area_code, count(*) AS num_rows, true AS close
+        FROM lineitem JOIN (SELECT p_partkey, AREA AS area_code FROM part) ON l_partkey = p_partkey
+        WHERE area_code IS NOT NULL GROUP BY ALL""".replace("AREA", f"split_part({_postcode('p_partkey')}, ' ', 1)"),
+    "serve_round_histogram": """
+        SELECT * FROM (WITH cases AS (
+          SELECT unnest(['prices', 'around zero', 'tiny', 'equal']) AS "case",
+                 unnest([price::HUGEINT * 10000000000, (price - 25000)::HUGEINT * 10000000000, price::HUGEINT * 1000,
+                         70000000000::HUGEINT]) AS v FROM raw
+        ), steps AS (SELECT m * (10::HUGEINT ** e)::HUGEINT AS s FROM (VALUES (1), (2), (5)) t(m), range(28) u(e)),
+        chosen AS (
+          SELECT "case", CASE WHEN min(low) = min(high) THEN 10000000000 ELSE min(s) FILTER (
+                 (high - ((high % s) + s) % s) - (low - ((low % s) + s) % s) <= s * 39) END AS s
+          FROM (SELECT "case", min(v) AS low, max(v) AS high FROM cases GROUP BY "case"), steps GROUP BY "case"
+        )
+        SELECT "case", (v - ((v % s) + s) % s)::DOUBLE / 1e10 AS bin_start, (v - ((v % s) + s) % s + s)::DOUBLE / 1e10 AS bin_end,
+               count(*) AS num_rows FROM cases JOIN chosen USING ("case") GROUP BY ALL)""",
+    "date_layouts_of_sources": """
+        SELECT source, CASE WHEN source < 4 THEN 'd/M/yyyy' WHEN source < 7 THEN 'M/d/yyyy' WHEN source = 7 THEN 'yyyyMMdd'
+                 WHEN source = 8 THEN 'd/M/yyyy' WHEN source = 9 THEN 'd-M-yyyy' END AS layout,
+               CASE WHEN source < 8 THEN 'one' WHEN source = 8 THEN 'ambiguous' WHEN source = 9 THEN 'same'
+                 WHEN source = 10 THEN 'mixed' ELSE 'none' END AS status,
+               count(*) AS num_cells, count(*) FILTER (o_orderkey % 40 <> 0 AND source < 11) AS num_read
+        FROM (SELECT o_orderkey, CAST(o_custkey % 12 AS INTEGER) AS source FROM orders) GROUP BY source""",
+    "dates_by_source_layout": """
+        SELECT o_orderkey, CAST(o_custkey % 12 AS INTEGER) AS source,
+               CASE WHEN o_orderkey % 40 = 0 OR o_custkey % 12 IN (8, 10, 11) THEN NULL
+                    WHEN o_custkey % 12 = 9 THEN make_date(year(o_orderdate), month(o_orderdate), month(o_orderdate))
+                    ELSE CAST(o_orderdate AS DATE) END AS date FROM orders""",
     "stream_first_per_day": "SELECT DISTINCT user_id AS prop_id, CAST(ts AS DATE) AS date FROM events",
     "replace_current_table": f"SELECT prop_id, area_code, last_seen FROM props WHERE area_code IN ({_CHOSEN})",
 }

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.catalog import inputs
-from marketlake.functions import area_code, partition_path, postcode_from_geocode
-from marketlake.operators import enrich, filters, quality
+from marketlake.functions import area_code, layouts, partition_path, postcode_from_geocode
+from marketlake.operators import changes, enrich, filters, quality, sketches
 from marketlake.operators.dedupe import dedupe_latest
+from marketlake.operators.medians import grouped_stats, value_counts
 from marketlake.operators.nearest import nearest_join
 from marketlake.plans import gold, ingest, pipeline, serving, silver
 from marketlake.schemas import AREA_CODES, SILVER, reference_schema
@@ -271,6 +273,50 @@ def serve_views(spark, sf):
     return series.select("date", "close", areas.alias("listed_areas"))
 
 
+@register
+def serve_round_histogram(spark, sf):
+    """Bins with round edges of prices, of prices around zero, of very small ones and of equal ones."""
+    price = inputs.raw_prices(spark, sf).select(F.col("price").cast("decimal(18,0)").alias("price"))
+    cases = {
+        "prices": F.col("price"), "around zero": F.col("price") - 25000, "tiny": F.col("price") / F.lit(10**7), "equal": F.lit(7),
+    }
+    found = [
+        serving.round_histogram(price.select(value.cast("decimal(28,10)").alias("price"))).select(
+            F.lit(name).alias("case"), F.col("bin_start").cast("double"), F.col("bin_end").cast("double"), "num_rows"
+        ) for name, value in cases.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+@register
+def median_of_wide_values(spark, sf):
+    """Exact middles of values over the whole range of 64 bits, all line items in one group and by return flag."""
+    rows = inputs.wide_values(spark, sf)
+    every = grouped_stats(value_counts(rows, [], "value"), []).withColumn("l_returnflag", F.lit("all"))
+    by_flag = grouped_stats(value_counts(rows, ["l_returnflag"], "value"), ["l_returnflag"])
+    return every.unionByName(by_flag).select("l_returnflag", "num_rows", "median_low", "median")
+
+
+@register
+def median_by_month_from_sketches(spark, sf):
+    """Medians by year and area from stored sketches by month, whose ranks are off by less than a hundredth."""
+    prices, props = inputs.large_facts(spark, sf)
+    months = inputs.table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("prop_id"), F.trunc("l_shipdate", "month").alias("month"),
+        F.floor("l_extendedprice").cast("bigint").alias("price"),
+    )
+    placed = months.join(props, "prop_id").withColumn("year", F.year("month"))
+    path = scratch_path(spark, "sketches")
+    sketches.sketch_values(placed, ["month", "area_code"], "price").write.parquet(path)
+    stored = spark.read.parquet(path)
+    merged = sketches.merge_sketches(stored, [F.year("month").alias("year"), "area_code"])
+    found = sketches.sketch_quantile(merged)
+    error = sketches.rank_error(placed, ["year", "area_code"], "price", found.where("area_code IS NOT NULL"))
+    return merged.drop("sketch").where("area_code IS NOT NULL").join(error, ["year", "area_code"]).select(
+        "year", "area_code", "num_rows", (F.col("rank_error") < 0.01).alias("close")
+    )
+
+
 # ---- selections ----------------------------------------------------------------------
 
 
@@ -463,6 +509,20 @@ def html_table_rates(spark, sf):
     return page_source.extract_html_table(inputs.rate_pages(spark, sf), ["o_orderkey"], F.lit("2024-01-01").cast("date"))
 
 
+@register
+def date_layouts_of_sources(spark, sf):
+    """What the date cells of each customer group can have been written in, and how many of them are read."""
+    return layouts.column_layouts(inputs.date_cells(spark, sf), ["source"], "cell")
+
+
+@register
+def dates_by_source_layout(spark, sf):
+    """Every date cell read as the other cells of its source say."""
+    cells = inputs.date_cells(spark, sf)
+    found = layouts.column_layouts(cells, ["source"], "cell")
+    return layouts.dates_by_layout(cells, ["source"], "cell", found, ambiguous="leave").select("o_orderkey", "source", "date")
+
+
 @register
 def rates_in_range(spark, sf):
     """Number and sum of the parsed rates by day, within a closed range of dates.

@@ -110,6 +110,36 @@ def histogram(df: DataFrame, column: str = "price", bins: int = 40) -> DataFrame
     ).orderBy("bin")
 
 
+_EXACT = "decimal(28,10)"
+
+
+def round_step(df: DataFrame, column: str = "price", max_bins: int = 40) -> DataFrame:
+    """One row: ``step``, the width of bins with round edges over the column's extent, as an exact decimal.
+
+    It is 1, 2 or 5 times a power of ten, the smallest with which at most ``max_bins`` bins that begin at its multiples
+    hold all values; 1 if all values are equal. No row without any value. Values have up to 18 digits before the point
+    and 10 after it.
+    """
+    value = F.col(column).cast(_EXACT)
+    extent = df.agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where("_low IS NOT NULL")
+    steps = ", ".join(f"cast('{m}e{e}' AS {_EXACT})" for e in range(-10, 18) for m in (1, 2, 5))
+    # From the begin of the lowest bin to the begin of the highest one.
+    span = "(_high - pmod(_high, s)) - (_low - pmod(_low, s))"
+    fitting = f"filter(array({steps}), s -> {span} <= s * cast({int(max_bins) - 1} AS decimal(8,0)))"
+    return extent.selectExpr(f"IF(_low = _high, cast(1 AS {_EXACT}), get({fitting}, 0)) AS step")
+
+
+def round_histogram(df: DataFrame, column: str = "price", max_bins: int = 40) -> DataFrame:
+    """Rows per bin with round edges: ``bin_start`` and ``bin_end`` as exact decimals; empty bins have no row."""
+    value = F.col(column).cast(_EXACT)
+    step = round_step(df, column, max_bins).scalar()
+    placed = df.where(value.isNotNull()).select(value.alias("_v"), step.alias("_s"))
+    placed = placed.selectExpr("_s", f"cast(_v - pmod(_v, _s) AS {_EXACT}) AS bin_start")
+    return placed.groupBy("bin_start").agg(
+        F.max(F.expr(f"cast(bin_start + _s AS {_EXACT})")).alias("bin_end"), F.count(F.lit(1)).alias("num_rows")
+    ).orderBy("bin_start")
+
+
 def map_points(current: DataFrame, chosen: Sequence[str] = ()) -> DataFrame:
     return filter_optional(current, "area_code", chosen).select(
         "latitude", "longitude", "price", "address", "area_code"
