@@ -507,6 +507,15 @@ _TEXTS = {
                CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE 1 END AS no_date,
                CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE CAST((o_orderkey % 4 = 0)::INT + ((o_orderkey + 1) % 4 = 0)::INT
                  + ((o_orderkey + 2) % 4 = 0)::INT AS INTEGER) END AS no_number FROM orders""",
+    "incremental_gold_property_fact": _fact("merged_prices", "merged_props"),
+    "change_feed_in_batches": """
+        SELECT prop_id, address, price, date FROM (
+          SELECT *, row_number() OVER (PARTITION BY prop_id ORDER BY event_id DESC) AS turn FROM raw)
+        WHERE turn = 1 AND event_id % 11 <> 0""",
+    "stream_latest_per_key": """
+        SELECT user_id AS prop_id, CAST(ts AS DATE) AS date, event_id, event_type FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS turn
+          FROM events) WHERE turn = 1""",
     "end_to_end_gold_property_fact": _fact("merged_prices", "merged_props"),
     "end_to_end_metrics": f"""
         SELECT 'properties' AS dataset, 'silver' AS stage,

@@ -17,16 +17,16 @@ from marketlake.operators.dedupe import dedupe_latest
 from marketlake.operators.medians import grouped_stats, value_counts
 from marketlake.operators.nearest import nearest_join
 from marketlake.plans import gold, ingest, pipeline, serving, silver
-from marketlake.schemas import AREA_CODES, SILVER, reference_schema
+from marketlake.schemas import AREA_CODES, SILVER, reference_schema, struct_of
 from marketlake.session import scratch_path
 from marketlake.sinks.writers import RunLog, create_table, preview, replace_table, write_landing
 from marketlake.sources import pages as page_source
-from marketlake.sources.landing import read_landing
+from marketlake.sources.landing import read_landing, read_table
 from marketlake.sources.series import shape_close_series
 from marketlake.sources.static import area_dim
-from marketlake.streaming.landing import stream_dedupe
-from marketlake.streaming.silver import insert_prices
-from marketlake.streaming.state import AppendTable
+from marketlake.streaming.landing import stream_dedupe, stream_latest, stream_to_state
+from marketlake.streaming.silver import apply_changes, insert_prices
+from marketlake.streaming.state import AppendTable, KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -802,6 +802,58 @@ def end_to_end_gold_property_fact(spark, sf):
     return spark.read.parquet(f"{house.gold}/gold_property_fact")
 
 
+@register
+def incremental_gold_property_fact(spark, sf):
+    """The fact by date after two deliveries, each bringing only the dates it changed up to date."""
+    house, log = _house(spark, "refresh"), RunLog(spark)
+    for first in (True, False):
+        _deliver(spark, sf, house, first)
+        pipeline.run_silver(spark, house, log, track=True)
+        pipeline.refresh_gold(spark, house, log)
+    fact = read_table(spark, f"{house.gold}/{pipeline.FACT_BY_DATE}")
+    return fact.select("date", "area_code", "avg_price", "median_price", "num_properties", "month", "year")
+
+
+def _change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as a change of its property, with its number in the feed; every eleventh deletes it."""
+    return inputs.raw_listings(spark, sf).select(
+        "prop_id", F.col("event_id").alias("change"), (F.col("event_id") % 11 == 0).alias("gone"), "address", "price", "date"
+    )
+
+
+@register
+def change_feed_in_batches(spark, sf):
+    """A feed with deletes in five batches of any order, one of which comes twice."""
+    feed = _change_feed(spark, sf)
+    data = struct_of("prop_id BIGINT, address STRING, price INT, date DATE")
+    table = KeyedTable(f"{scratch_path(spark, 'feed')}/listings", changes.state_schema(data), ["prop_id"])
+    handle = apply_changes(table, "change", lambda: F.col("gone"), keep=2)
+    for batch, part in enumerate((3, 0, 4, 0, 1, 2)):
+        handle(feed.where(F.pmod(F.col("change") * 7, F.lit(5)) == part), batch)
+    return changes.live(table.read(spark))
+
+
+@register
+def stream_latest_per_key(spark, sf):
+    """The newest event of every user and day, from a stream in update mode into a stored state."""
+    root = scratch_path(spark, "latest")
+    stream = spark.readStream.schema(inputs.table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
+    rows = stream.select(
+        F.col("user_id").alias("prop_id"), F.to_date("ts").alias("date"), F.col("ts").cast("timestamp").alias("seen"),
+        "event_id", "event_type",
+    )
+    data = struct_of("prop_id BIGINT, date DATE, event_id BIGINT, event_type STRING")
+    table = KeyedTable(f"{root}/table", changes.state_schema(data), ["prop_id", "date"])
+
+    def newest(batch: DataFrame, batch_id: int) -> None:
+        order = batch.withColumn("seen_at", F.unix_micros("seen")).drop("seen")
+        apply_changes(table, "seen_at", lambda: F.lit(False), keep=2)(order, batch_id)
+
+    updates = stream_latest(rows, ["prop_id", "date"], "seen", "60 days", tie=["event_id"])
+    stream_to_state(updates, f"{root}/checkpoint", newest).awaitTermination()
+    return changes.live(table.read(spark))
+
+
 @register
 def end_to_end_quality(spark, sf):
     """One delivery of each dataset through silver, gold and all rulesets."""

@@ -55,6 +55,34 @@ def price_fact(
     return stats.withColumns({"month": month_name(F.col("date")), "year": year_text(F.col("date"))})
 
 
+def moved_properties(before: DataFrame, after: DataFrame, areas: Sequence[str] = AREA_CODES) -> DataFrame:
+    """(prop_id) of properties whose listed area differs between two states of the property table, new ones included."""
+    def placed(props: DataFrame, name: str) -> DataFrame:
+        return props.select("prop_id", listed_or_null(F.col("area_code"), areas).alias(name))
+
+    both = placed(before, "_old").join(placed(after, "_new"), "prop_id", "full_outer")
+    return both.where(~F.col("_old").eqNullSafe(F.col("_new"))).select("prop_id")
+
+
+def affected_dates(prices: DataFrame, new_dates: DataFrame, moved: DataFrame) -> DataFrame:
+    """(date) of the fact's dates that a delivery changes: those with new prices, and all of a moved property's."""
+    touched = prices.join(moved.select("prop_id").distinct(), "prop_id", "left_semi").select("date")
+    return new_dates.select("date").union(touched).where(F.col("date").isNotNull()).distinct()
+
+
+def refresh_fact(prices: DataFrame, props: DataFrame, dates: Sequence, path: str, areas: Sequence[str] = AREA_CODES) -> None:
+    """Recompute the fact of some dates and replace their folders of the stored fact; other folders keep their files.
+
+    ``dates`` are at most as many values as there are calendar days; as literals they prune the folders of the prices.
+    """
+    if not dates:
+        return
+    fact = price_fact(prices.where(F.col("date").isin(list(dates))), props, areas)
+    fact.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "date"
+    ).parquet(path)
+
+
 def current_listings(
     prices: DataFrame,
     props: DataFrame,

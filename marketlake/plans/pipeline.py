@@ -17,7 +17,7 @@ from marketlake.sources.landing import counted, read_table
 from marketlake.sources.static import area_dim
 from marketlake.streaming.landing import stream_landing
 from marketlake.streaming.silver import Enrich, insert_index, insert_prices, upsert_properties, with_rejects
-from marketlake.streaming.state import BUCKETS, AppendTable, KeyedTable, RejectTable, path_exists
+from marketlake.streaming.state import BUCKETS, AppendTable, BatchTable, KeyedTable, RejectTable, path_exists
 
 
 @dataclass(frozen=True)
@@ -42,19 +42,35 @@ class Warehouse:
     def index(self) -> AppendTable:
         return AppendTable(f"{self.silver}/silver_spy_prices", SILVER["silver_spy_prices"])
 
+    @property
+    def moved(self) -> BatchTable:
+        """Properties whose area a batch changed."""
+        return BatchTable(f"{self.silver}/changes/properties", "prop_id bigint")
+
+    @property
+    def new_dates(self) -> BatchTable:
+        """Dates that a batch of prices brought."""
+        return BatchTable(f"{self.silver}/changes/prices", "date date")
+
+    @property
+    def refreshed(self) -> BatchTable:
+        """Batches that the stored fact holds, by refresh."""
+        return BatchTable(f"{self.gold}/refreshed", "dataset string, done bigint")
+
     def rejects(self, dataset: str) -> RejectTable:
         return RejectTable(f"{self.silver}/rejects/{dataset}")
 
 
 def run_silver(
     spark: SparkSession, house: Warehouse, log: RunLog, normalise: bool = False, late_first_seen: bool = False,
-    centroids: DataFrame | None = None, x_scale: float = 1.0, keep: int | None = 2,
+    centroids: DataFrame | None = None, x_scale: float = 1.0, keep: int | None = 2, track: bool = False,
 ) -> None:
     """Consume the new landing files of each dataset; a dataset without any is left alone.
 
     Rows that can't be stored go to the dataset's rejects, and their number to the log. With
     ``centroids`` (postcode, latitude, longitude) properties without a known postcode get the
-    nearest one's. ``keep`` is how many commits of the property table stay readable.
+    nearest one's. ``keep`` is how many commits of the property table stay readable. ``track``
+    keeps what each batch changes, for :func:`refresh_gold`.
     """
     def enriched(incoming: DataFrame, known: DataFrame) -> DataFrame:
         return silver.with_nearest_postcodes(incoming, known, centroids, x_scale, normalise)
@@ -67,9 +83,10 @@ def run_silver(
         refused: list[int] = []
         handler = {
             "properties": lambda: upsert_properties(
-                house.properties, normalise, late_first_seen, written.append, enrich, keep
+                house.properties, normalise, late_first_seen, written.append, enrich, keep,
+                house.moved if track else None,
             ),
-            "prices": lambda: insert_prices(house.prices, written.append),
+            "prices": lambda: insert_prices(house.prices, written.append, house.new_dates if track else None),
             "spy_prices": lambda: insert_index(house.index, written.append),
         }[dataset]()
         handler = with_rejects(handler, dataset, house.rejects(dataset), refused.append)
@@ -96,6 +113,36 @@ def run_gold(spark: SparkSession, house: Warehouse, log: RunLog) -> None:
         log.timed(name, "gold", lambda r=rows, n=name: replace_table(r, f"{house.gold}/{n}"), seen)
 
 
+def refresh_gold(spark: SparkSession, house: Warehouse, log: RunLog) -> list:
+    """Bring the fact up to date by the dates that batches since the last refresh changed, and return these dates.
+
+    For warehouses whose :func:`run_silver` runs with ``track``. The fact is stored by date; folders of other dates stay
+    as they are. A refresh that fails before its last step does the same dates again. The other two tables are small or
+    of one date and are replaced.
+    """
+    done = house.refreshed.read(spark)
+    pending = {}
+    for dataset, table in (("prices", house.new_dates), ("properties", house.moved)):
+        known = done.where(F.col("dataset") == dataset).select(F.col("done").alias("batch"))
+        pending[dataset] = table.read(spark).join(known, "batch", "left_anti")
+    prices, props = house.prices.read(spark), house.properties.read(spark)
+    dates = gold.affected_dates(prices, pending["prices"], pending["properties"])
+    changed = sorted(r["date"] for r in dates.collect())  # at most one row per calendar day
+    start = time.monotonic()
+    gold.refresh_fact(prices, props, changed, f"{house.gold}/{FACT_BY_DATE}")
+    log.note("gold_property_fact", "refreshed dates", len(changed), time.monotonic() - start)
+    replace_table(area_dim(spark), f"{house.gold}/gold_area_dim")
+    replace_table(gold.current_listings(prices, props), f"{house.gold}/gold_current_properties")
+    finished = [
+        pending[d].select(F.lit(d).alias("dataset"), F.col("batch").alias("done")).distinct() for d in sorted(pending)
+    ]
+    runs = done.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0] + 1
+    house.refreshed.write(finished[0].union(finished[1]), runs)
+    return changed
+
+
+#: The fact in folders by date, which refreshes keep up to date.
+FACT_BY_DATE = "gold_property_fact_by_date"
 GOLD = ("gold_area_dim", "gold_property_fact", "gold_current_properties")
 
 
@@ -210,5 +257,5 @@ def legacy_expectations(inputs: dict[str, DataFrame]) -> DataFrame:
 
 __all__ = [
     "GOLD", "LEGACY_TABLES", "REFERENCE", "Table", "Warehouse", "build_tables", "gold_tables", "legacy_expectations",
-    "open_tables", "publish", "run_all", "run_gold", "run_quality", "run_silver",
+    "open_tables", "publish", "refresh_gold", "run_all", "run_gold", "run_quality", "run_silver",
 ]

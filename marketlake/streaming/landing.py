@@ -62,3 +62,25 @@ def stream_dedupe(
         salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
         marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark(list(keys))
+
+
+def stream_latest(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str, tie: Sequence[str] = ()) -> DataFrame:
+    """Newest row per key and day of ``event_time``, for a query in update mode.
+
+    Every trigger gives the rows that changed, each the newest so far of its key and day; ties go to the greatest ``tie``
+    columns. The state keeps one row per key of the days that the watermark has not passed. A row that comes more than
+    ``lateness`` after the newest event is dropped.
+    """
+    order = F.struct(event_time, *tie)
+    whole = F.struct(*[c for c in stream.columns if c not in keys])
+    day = F.window(event_time, "1 day").alias("_day")
+    newest = stream.withWatermark(event_time, lateness).groupBy(day, *keys).agg(F.max_by(whole, order).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in stream.columns])
+
+
+def stream_to_state(updates: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Run an update-mode aggregate over what has arrived; ``on_batch`` must be idempotent, a failed batch comes again."""
+    return (
+        updates.writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,39 +29,26 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file so that it is there as a whole or not at all."""
-    fs, draft = _fs_path(spark, f"{path}.draft")
-    out = fs.create(draft, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    _, where = _fs_path(spark, path)
-    fs.delete(where, False)
-    if not fs.rename(draft, where):
-        raise OSError(f"could not commit {path}")
-
-
-def _get(spark: SparkSession, path: str) -> str:
+def _drop(spark: SparkSession, path: str) -> None:
     fs, where = _fs_path(spark, path)
-    source = fs.open(where)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
-    finally:
-        source.close()
+    fs.delete(where, True)
 
 
 class MissingCommit(RuntimeError):
     """Data of an earlier batch is there, but not its commit."""
 
 
+#: A commit: for each bucket the batch that wrote it last and its row count; bucket -1 stands for the commit itself.
+_COMMIT = "buckets int, bucket int, written bigint, rows bigint, batch bigint"
+
+
 class KeyedTable:
     """A keyed table in hash buckets of its keys; a batch rewrites the buckets it touches.
 
-    ``data/batch=<id>/bucket=<n>`` holds what a batch wrote, and ``commits/batch=<id>.json`` is
-    written after it: for each bucket the batch that wrote it last and its row count. A batch
-    reads the commit before its own, so one that is replayed after a crash starts from the same
-    input and replaces its own output only. Batch ids come from the stream's checkpoint: keep
-    table and checkpoint together. The number of buckets is set by the first commit.
+    Spark writes ``data/batch=<id>/bucket=<n>``, what a batch stored, and after it ``commits/batch=<id>``, a Parquet
+    table of one file with a row per bucket. What a batch starts from is the newest commit before its own, so one that
+    is replayed after a crash starts from the same input and replaces its own output only. Batch ids come from the
+    stream's checkpoint: keep table and checkpoint together. The number of buckets is set by the first commit.
     """
 
     def __init__(self, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = BUCKETS):
@@ -74,30 +60,35 @@ class KeyedTable:
     def _data(self, batch: int) -> str:
         return f"{self.path}/data/batch={batch:012d}"
 
-    def _commit(self, batch: int) -> str:
-        return f"{self.path}/commits/batch={batch:012d}.json"
+    def _commits(self, spark: SparkSession) -> DataFrame:
+        """Rows of all commits; a commit whose only file is not there yet has none."""
+        where = f"{self.path}/commits"
+        if not path_exists(spark, where):
+            return spark.createDataFrame([], _COMMIT)
+        return spark.read.schema(_COMMIT).parquet(where)
 
     def batches(self, spark: SparkSession) -> list[int]:
         """Committed batches, oldest first."""
-        names = _names(spark, f"{self.path}/commits")
-        return [int(n[len("batch="):-len(".json")]) for n in names if n.startswith("batch=") and n.endswith(".json")]
-
-    def _last(self, spark: SparkSession, before: int | None) -> dict | None:
-        """The newest commit before a batch. Data after it and before that batch must not be."""
-        usable = [b for b in self.batches(spark) if before is None or b < before]
-        newest = usable[-1] if usable else -1
+        return sorted(r["batch"] for r in self._commits(spark).select("batch").distinct().collect())
+
+    def _newest(self, spark: SparkSession, before: int | None) -> list[Row]:
+        """Rows of the newest commit before a batch, at most one per bucket. Data between the two must not be."""
+        commits = self._commits(spark)
+        usable = commits if before is None else commits.where(F.col("batch") < before)
+        rows = usable.where(F.col("batch") == usable.agg(F.max("batch")).scalar()).collect()
+        newest = rows[0]["batch"] if rows else -1
         written = [int(n[len("batch="):]) for n in _names(spark, f"{self.path}/data") if n.startswith("batch=")]
         lost = [b for b in written if newest < b and (b < before if before is not None else newest < 0)]
         if lost:
             raise MissingCommit(f"{self.path} holds data of batch {lost[-1]} without its commit")
-        return json.loads(_get(spark, self._commit(newest))) if usable else None
+        return rows
 
     def bucket_of(self, buckets: int | None = None) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(buckets or self.buckets)).cast("int")
 
     def n_buckets(self, spark: SparkSession, before: int | None = None) -> int:
-        commit = self._last(spark, before)
-        return commit["buckets"] if commit else self.buckets
+        commit = self._newest(spark, before)
+        return commit[0]["buckets"] if commit else self.buckets
 
     def touched(self, df: DataFrame, before: int | None = None) -> list[int]:
         """Buckets that hold keys of ``df``: at most as many numbers as there are buckets."""
@@ -108,13 +99,13 @@ class KeyedTable:
         self, spark: SparkSession, before: int | None = None, only: Sequence[int] | None = None
     ) -> DataFrame:
         """The table after the newest batch, or after the newest one earlier than ``before``; ``only`` some buckets."""
-        commit = self._last(spark, before)
-        places = commit["places"] if commit else {}
-        wanted = places if only is None else {str(b): places[str(b)] for b in only if str(b) in places}
-        folders = [f"{self._data(p['batch'])}/bucket={b}" for b, p in sorted(wanted.items()) if p["rows"]]
+        folders = [
+            f"{self._data(r['written'])}/bucket={r['bucket']}" for r in self._newest(spark, before)
+            if r["rows"] and (only is None or r["bucket"] in only)
+        ]
         if not folders:
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*folders)
+        return spark.read.schema(self.schema).parquet(*sorted(folders))
 
     def write(self, df: DataFrame, batch: int, only: Sequence[int] | None = None) -> int:
         """Store the new content of the buckets (all, or ``only`` some), commit, and return the table's row count."""
@@ -125,37 +116,57 @@ class KeyedTable:
                 f"{self.path} holds batch {newer[-1]}, which is ahead of batch {batch}: "
                 "the stream's checkpoint does not belong to this table"
             )
-        commit = self._last(spark, batch) or {"buckets": self.buckets, "places": {}}
-        buckets = range(commit["buckets"]) if only is None else only
-        places = {b: p for b, p in commit["places"].items() if int(b) not in set(buckets)}
-        if len(buckets):
-            rows = conform(df, self.schema).withColumn("bucket", self.bucket_of(commit["buckets"]))
+        commit = self._newest(spark, batch)
+        buckets = commit[0]["buckets"] if commit else self.buckets
+        rewritten = set(range(buckets) if only is None else only)
+        places = [(r["bucket"], r["written"], r["rows"]) for r in commit if r["bucket"] not in {*rewritten, -1}]
+        if rewritten:
+            rows = conform(df, self.schema).withColumn("bucket", self.bucket_of(buckets))
             rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
                 "bucket"
             ).parquet(self._data(batch))
             if any(n.startswith("bucket=") for n in _names(spark, self._data(batch))):
                 stored = spark.read.parquet(self._data(batch)).groupBy("bucket").count().collect()
-                places |= {str(r["bucket"]): {"batch": batch, "rows": r["count"]} for r in stored}
-        commit = {"batch": batch, "buckets": commit["buckets"], "places": places}
-        _put(spark, self._commit(batch), json.dumps(commit, sort_keys=True))
-        return sum(p["rows"] for p in places.values())
+                places += [(r["bucket"], batch, r["count"]) for r in stored]
+        # One small file, which Spark's committer renames into its place as the last step.
+        spark.createDataFrame(
+            [(buckets, *place) for place in [(-1, batch, 0), *places]], _COMMIT.removesuffix(", batch bigint")
+        ).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{self.path}/commits/batch={batch:012d}"
+        )
+        return sum(rows for *_, rows in places)
 
     def expire(self, spark: SparkSession, keep: int = 2) -> list[int]:
         """Drop all but the newest ``keep`` commits (two at least, for a replay) and the data none of them names."""
         committed = self.batches(spark)
         old, kept = committed[: -max(keep, 2)], committed[-max(keep, 2):]
         for batch in old:
-            fs, where = _fs_path(spark, self._commit(batch))
-            fs.delete(where, False)
-        needed = {p["batch"] for b in kept for p in json.loads(_get(spark, self._commit(b)))["places"].values()}
+            _drop(spark, f"{self.path}/commits/batch={batch:012d}")
+        needed = {r["written"] for r in self._commits(spark).select("written").distinct().collect()}
         for name in _names(spark, f"{self.path}/data"):
             batch = int(name[len("batch="):]) if name.startswith("batch=") else None
             if batch is not None and batch not in needed and kept and batch < kept[-1]:
-                fs, where = _fs_path(spark, self._data(batch))
-                fs.delete(where, True)
+                _drop(spark, f"{self.path}/data/{name}")
         return old
 
 
+class BatchTable:
+    """Rows by the batch that brought them, one folder per batch, which a replay replaces."""
+
+    def __init__(self, path: str, columns: str):
+        self.path = path.rstrip("/")
+        self.columns = columns
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All rows with their ``batch``."""
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], f"{self.columns}, batch bigint")
+        return spark.read.schema(f"{self.columns}, batch bigint").parquet(self.path)
+
+    def write(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch={batch:012d}")
+
+
 class AppendTable:
     """A table that batches only add to, partitioned by date if it holds many rows per date.
 
