@@ -303,3 +303,30 @@ def places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.concat(F.lit("SW"), (s % 20 + 1).cast("string"), F.lit(" 1AA")).alias("postcode"),
     )
     return points, centroids
+
+
+def globe(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers and suppliers at places all over the globe, many at the date line and the poles."""
+    c, s = F.col("c_custkey"), F.col("s_suppkey")
+    longitude = F.when(c % 4 == 0, F.lit(179.5) + (c * 17 % 101) / F.lit(100.0)).otherwise((c * 97 % 3607) / F.lit(10.0) - 180)
+    latitude = F.when(c % 7 == 0, F.lit(88.1) + (c * 13 % 181) / F.lit(100.0)).otherwise((c * 61 % 1777) / F.lit(10.0) - 88)
+    points = table(spark, sf_dir, "customer").select(
+        c.alias("prop_id"), F.when(c % 50 != 0, latitude).alias("latitude"), longitude.alias("longitude")
+    )
+    sites = table(spark, sf_dir, "supplier").select(
+        s.alias("site_id"), ((s * 811 % 17903) / F.lit(100.0) - 89.3).alias("latitude"),
+        ((s * 1237 % 36013) / F.lit(100.0) - 180.3).alias("longitude"),
+    )
+    return points, sites
+
+
+def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate pages, four in five of them broken: open cells, rows or tables, or a nested table in each row."""
+    html, kind = F.col("html"), F.col("o_orderkey") % 5
+    nested = "<td><table><tr><td>02 Feb 20</td><td>9</td></tr></table></td></tr>"
+    broken = (
+        F.when(kind == 1, F.regexp_replace(html, "</td>", "")).when(kind == 2, F.replace(html, F.lit("</tr>"), F.lit(nested)))
+        .when(kind == 3, F.regexp_replace(html, "</t[dr]>", "")).when(kind == 4, F.regexp_replace(html, "</table>", ""))
+        .otherwise(html)
+    )
+    return rate_pages(spark, sf_dir).withColumn("html", broken)

@@ -117,10 +117,10 @@ _CTES = {
     SELECT q.prop_id, address, postcode, latitude, longitude, area_code, price, date
     FROM prices p JOIN props q ON p.prop_id = q.prop_id
     WHERE date = (SELECT max(date) FROM prices) AND area_code IN ({_LISTED})""",
-    "fact_1": _fact("prices_1", "props_1"),
-    "current_1": f"""
-    SELECT q.prop_id, area_code, price FROM prices_1 p JOIN props_1 q ON p.prop_id = q.prop_id
-    WHERE date = (SELECT max(date) FROM prices_1) AND area_code IN ({_LISTED})""",
+    "merged_fact": _fact("merged_prices", "merged_props"),
+    "merged_current": f"""
+    SELECT q.prop_id, area_code, price FROM merged_prices p JOIN merged_props q ON p.prop_id = q.prop_id
+    WHERE date = (SELECT max(date) FROM merged_prices) AND area_code IN ({_LISTED})""",
     "dim": f"SELECT * FROM (VALUES {_DIM}) AS v(area_code, district)",
     "summary": """
     SELECT f.area_code, district, avg_price, median_price, num_properties
@@ -150,6 +150,15 @@ _CTES = {
     SELECT * FROM prices_2 s
     WHERE NOT EXISTS (SELECT 1 FROM prices_1 t WHERE t.prop_id = s.prop_id AND t.date = s.date)""",
     "merged_props": _merge(),
+    "globe_points": """
+    SELECT c_custkey AS prop_id,
+           CASE WHEN c_custkey % 50 <> 0 THEN CASE WHEN c_custkey % 7 = 0 THEN 88.1::DOUBLE + (c_custkey * 13 % 181) / 100.0::DOUBLE
+             ELSE (c_custkey * 61 % 1777) / 10.0::DOUBLE - 88 END END AS latitude,
+           CASE WHEN c_custkey % 4 = 0 THEN 179.5::DOUBLE + (c_custkey * 17 % 101) / 100.0::DOUBLE
+             ELSE (c_custkey * 97 % 3607) / 10.0::DOUBLE - 180 END AS longitude FROM customer""",
+    "globe_sites": """
+    SELECT s_suppkey AS site_id, (s_suppkey * 811 % 17903) / 100.0::DOUBLE - 89.3::DOUBLE AS latitude,
+           (s_suppkey * 1237 % 36013) / 100.0::DOUBLE - 180.3::DOUBLE AS longitude FROM supplier""",
     "points": """
     SELECT c_custkey AS prop_id,
            CASE WHEN c_custkey % 50 <> 0 THEN CAST(51.3 AS DOUBLE) + (c_custkey * 37 % 1000) / CAST(2500 AS DOUBLE)
@@ -265,7 +274,7 @@ def _rulesets(props: str, prices: str, index: str, current: str, fact: str) -> d
 
 
 _RULES = _rulesets("props", "prices", "index_rows", "current_rows", "fact")
-_FIRST_RULES = _rulesets("props_1", "prices_1", "index_rows", "current_1", "fact_1")
+_MERGED_RULES = _rulesets("merged_props", "merged_prices", "index_rows", "merged_current", "merged_fact")
 
 _RAW_RULES = [
     ("RowCount > 0", _count("raw"), ">", 0),
@@ -370,7 +379,26 @@ _TEXTS = {
         SELECT prop_id, postcode, last_seen FROM props_2
         WHERE NOT EXISTS (SELECT 1 FROM props_1 t WHERE t.prop_id = props_2.prop_id AND t.postcode IS NOT NULL)""",
     "request_batches": """
-        SELECT count(*) AS num_rows, CAST(0 AS BIGINT) AS too_large, true AS few_part_filled FROM points""",
+        SELECT c_custkey AS prop_id, CAST(c_nationkey % 4 AS INTEGER) AS bucket,
+               CAST((row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) - 1) // 100 AS INTEGER) AS batch_no
+        FROM customer""",
+    "nearest_site_great_circle": """
+        SELECT prop_id, site_id, round(distance, 3) AS distance FROM (
+          SELECT p.prop_id, site_id, distance,
+                 row_number() OVER (PARTITION BY p.prop_id ORDER BY distance, site_id) AS turn
+          FROM globe_points p LEFT JOIN (
+            SELECT p.prop_id, s.site_id, 2 * 6371.0088::DOUBLE * asin(least(1, sqrt(
+                     pow(sin(radians(s.latitude - p.latitude) / 2), 2)
+                     + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2)
+                   ))) AS distance
+            FROM globe_points p, globe_sites s WHERE p.latitude IS NOT NULL) d ON p.prop_id = d.prop_id)
+        WHERE turn = 1""",
+    "ingest_postcode_gate": """
+        SELECT 'named' AS "case", 'passed' AS verdict, 'SW1 1AA' AS postcode, count(*) AS num_rows
+        FROM customer, range(0, 10) AS r(i)
+        WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND (c_custkey % 2 = 0 OR (i < 9 AND c_custkey % 3 = 0))
+          AND (i <> 4 OR c_custkey % 3 = 0)
+        UNION ALL SELECT 'blank', 'refused', '', 0""",
     "postcode_for_new_properties": """
         SELECT p.prop_id, coalesce(p.postcode, b.postcode) AS postcode,
                split_part(coalesce(p.postcode, b.postcode), ' ', 1) AS area_code
@@ -433,10 +461,12 @@ _TEXTS = {
                (o_orderkey + i) % 1000 / CAST(100 AS DOUBLE) AS rate, '2024-01-01' AS loaded_at
         FROM orders, range(0, 3) AS r(i) WHERE (o_orderkey + i) % 4 <> 0 AND o_orderkey % 50 <> 0""",
     **{f"quality_{table}": _rules(table, rules) for table, rules in _RULES.items()},
+    "quality_from_batches": _rules(
+        "raw_listings", [*_RAW_RULES[:-1], ("share over 100 pounds < 0.05", *_RAW_RULES[-1][1:])]),
     "quality_raw_listings": _rules("raw_listings", _RAW_RULES),
     "end_to_end_quality":
         'SELECT "table", rule, round(metric, 9) AS metric, threshold, passed FROM ('
-        + " UNION ALL ".join(_rules(table, rules) for table, rules in _FIRST_RULES.items()) + ")",
+        + " UNION ALL ".join(_rules(table, rules) for table, rules in _MERGED_RULES.items()) + ")",
     "expectations_on_properties": """
         SELECT 'postcode_present' AS "check", count(*) FILTER (WHERE postcode IS NULL) AS violations,
                count(*) AS num_rows FROM props
@@ -487,7 +517,7 @@ _TEXTS = {
         SELECT count(*) AS num_rows, count(*) AS previewed, min({'a': prop_id, 'b': date, 'c': price}).a AS prop_id,
                min({'a': prop_id, 'b': date, 'c': price}).b AS date FROM raw""",
     "catalog_table_of_prices": "SELECT * FROM prices",
-    "end_to_end_large_ids": "SELECT prop_id + 3000000000 AS prop_id, area_code, price FROM current_1",
+    "end_to_end_large_ids": "SELECT prop_id + 3000000000 AS prop_id, area_code, price FROM merged_current",
     "legacy_expectation_counts": """
         SELECT 'silver_properties' AS "table", 'postcode_present' AS "check",
                count(*) FILTER (WHERE postcode IS NULL) AS violations, count(*) AS num_rows FROM props
@@ -554,6 +584,9 @@ _TEXTS = {
         )
         SELECT "case", (v - ((v % s) + s) % s)::DOUBLE / 1e10 AS bin_start, (v - ((v % s) + s) % s + s)::DOUBLE / 1e10 AS bin_end,
                count(*) AS num_rows FROM cases JOIN chosen USING ("case") GROUP BY ALL)""",
+    "broken_table_share": """
+        SELECT count(*) AS num_pages, count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 50 <> 0) AS num_irregular,
+               round(count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 50 <> 0) / count(*)::DOUBLE, 9) AS share FROM orders""",
     "date_layouts_of_sources": """
         SELECT source, CASE WHEN source < 4 THEN 'd/M/yyyy' WHEN source < 7 THEN 'M/d/yyyy' WHEN source = 7 THEN 'yyyyMMdd'
                  WHEN source = 8 THEN 'd/M/yyyy' WHEN source = 9 THEN 'd-M-yyyy' END AS layout,
@@ -592,4 +625,6 @@ def _complete_text(text: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({_CTES[n]})" for n in needed) + "\n" + text
 
 
+_TEXTS["broken_table_rates"] = _TEXTS["html_table_rates"]
+
 ORACLE = {name: _complete_text(text) for name, text in _TEXTS.items()}

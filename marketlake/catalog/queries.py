@@ -14,19 +14,23 @@ from marketlake.catalog import inputs
 from marketlake.functions import area_code, layouts, partition_path, postcode_from_geocode
 from marketlake.operators import changes, enrich, filters, quality, sketches
 from marketlake.operators.dedupe import dedupe_latest
+from marketlake.operators.greatcircle import nearest_great_circle
 from marketlake.operators.medians import grouped_stats, value_counts
 from marketlake.operators.nearest import nearest_join
+from marketlake.operators.quality import QualityFailure
+from marketlake.operators.quality_state import QualityState
 from marketlake.plans import gold, ingest, pipeline, serving, silver
 from marketlake.schemas import AREA_CODES, SILVER, reference_schema, struct_of
 from marketlake.session import scratch_path
 from marketlake.sinks.writers import RunLog, create_table, preview, replace_table, write_landing
 from marketlake.sources import pages as page_source
+from marketlake.sources.broken_tables import extract_any_table, irregular_share
 from marketlake.sources.landing import read_landing, read_table
 from marketlake.sources.series import shape_close_series
 from marketlake.sources.static import area_dim
 from marketlake.streaming.landing import stream_dedupe, stream_latest, stream_to_state
 from marketlake.streaming.silver import apply_changes, insert_prices
-from marketlake.streaming.state import AppendTable, KeyedTable
+from marketlake.streaming.state import AppendTable, KeyedTable, path_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -396,13 +400,18 @@ def needs_postcode(spark, sf):
 
 @register
 def request_batches(spark, sf):
-    """Customers in request batches of at most 100: all are in one, none is too large, few are part-filled."""
-    points, _ = inputs.places(spark, sf)
-    batches = enrich.batch_rows(points, 100, "prop_id", buckets=4)
-    sizes = batches.groupBy("bucket", "batch_no").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(
-        F.sum("n").alias("num_rows"), F.count_if(F.col("n") > 100).alias("too_large"),
-        (F.count_if(F.col("n") < 100) <= 4).alias("few_part_filled"),
+    """Customers in request batches of at most 100 within their nation's quarter, each with its batch."""
+    customers = inputs.table(spark, sf, "customer").select(F.col("c_custkey").alias("prop_id"), "c_nationkey")
+    quarter = F.pmod("c_nationkey", F.lit(4)).cast("int")
+    return enrich.batch_rows(customers, 100, "prop_id", buckets=4, bucket=quarter).select("prop_id", "bucket", "batch_no")
+
+
+@register
+def nearest_site_great_circle(spark, sf):
+    """Customers all over the globe with the nearest supplier, across the date line and around the poles."""
+    points, sites = inputs.globe(spark, sf)
+    return nearest_great_circle(points, sites, "site_id").select(
+        "prop_id", "site_id", F.round("distance", 3).alias("distance")
     )
 
 
@@ -509,6 +518,17 @@ def html_table_rates(spark, sf):
     return page_source.extract_html_table(inputs.rate_pages(spark, sf), ["o_orderkey"], F.lit("2024-01-01").cast("date"))
 
 
+@register
+def broken_table_rates(spark, sf):
+    """The rates of pages whose tables are nested or not closed, too."""
+    return extract_any_table(inputs.broken_pages(spark, sf), ["o_orderkey"], F.lit("2024-01-01").cast("date"))
+
+
+@register
+def broken_table_share(spark, sf):
+    return irregular_share(inputs.broken_pages(spark, sf)).withColumn("share", F.round("share", 9))
+
+
 @register
 def date_layouts_of_sources(spark, sf):
     """What the date cells of each customer group can have been written in, and how many of them are read."""
@@ -589,6 +609,21 @@ def quality_raw_listings(spark, sf):
     )
 
 
+@register
+def quality_from_batches(spark, sf):
+    """The same rules from the states of three batches, each of which read its own rows only."""
+    rules = [
+        quality.row_count(">", 0), quality.is_unique("prop_id"), quality.is_unique("event_id"),
+        quality.completeness("postcode", ">=", 0.95), quality.values_between("price", 100, 50000, inclusive=True),
+        quality.share_of("share over 100 pounds", F.col("price") > 10000, "<", 0.05),
+    ]
+    state = QualityState(scratch_path(spark, "rules"), rules, buckets=4)
+    rows = inputs.raw_listings(spark, sf)
+    for batch in range(3):
+        state.add(rows.where(F.pmod("event_id", F.lit(3)) == batch), batch)
+    return state.verdicts(spark, "raw_listings").withColumn("metric", F.round("metric", 9))
+
+
 @register
 def expectations_on_properties(spark, sf):
     checks = {name: F.expr(text) for name, text in silver.LEGACY_EXPECTATIONS.items()}
@@ -755,6 +790,26 @@ def ingest_gate_verdicts(spark, sf):
     return ingest.page_verdicts(listings, ["page_id"]).withColumn("rate", F.round("rate", 9))
 
 
+@register
+def ingest_postcode_gate(spark, sf):
+    """Rows landed by postcode where the gate on missing postcodes passes; where it fails, nothing lands."""
+    pages, day = inputs.gate_pages(spark, sf), date(2024, 2, 1)
+    scraped = F.lit("2024-02-01T12:00:00").cast("timestamp_ntz")
+    found = []
+    for name, near in (("named", "SW1 1AA"), ("blank", "")):
+        root = scratch_path(spark, f"gate-{name}")
+        sites = spark.createDataFrame([(near, 51.5, -0.1), ("SW9 1AA", 52.0, 0.3)], "postcode string, latitude double, longitude double")
+        verdict = "passed"
+        try:
+            ingest.run_ingest(pages, ["page_id"], root, day, scraped, centroids=sites, on_bad_page="drop")
+            landed = read_landing(spark, root, "properties").groupBy("postcode").agg(F.count(F.lit(1)).alias("num_rows"))
+        except QualityFailure:
+            verdict = "refused" if not path_exists(spark, f"{root}/properties") else "landed in spite of the gate"
+            landed = spark.range(1).select(F.lit("").alias("postcode"), F.lit(0).cast("bigint").alias("num_rows"))
+        found.append(landed.select(F.lit(name).alias("case"), F.lit(verdict).alias("verdict"), "postcode", "num_rows"))
+    return found[0].unionByName(found[1])
+
+
 @register
 def landing_preview(spark, sf):
     """The dry run's row count and sample, as a row beside the count of all rows."""
@@ -779,10 +834,11 @@ def catalog_table_of_prices(spark, sf):
 def end_to_end_large_ids(spark, sf):
     """Ids beyond 32 bits from landing to gold."""
     house = _house(spark, "ids")
-    rows = inputs.batch_properties(spark, sf, True).withColumn("prop_id", F.col("prop_id") + 3_000_000_000)
-    for dataset in BOTH:
-        write_landing(rows, house.landing, dataset, date(2024, 2, 1))
-    pipeline.run_silver(spark, house, RunLog(spark))
+    for first, run_date in ((True, date(2024, 2, 1)), (False, date(2024, 2, 8))):
+        rows = inputs.batch_properties(spark, sf, first).withColumn("prop_id", F.col("prop_id") + 3_000_000_000)
+        for dataset in BOTH:
+            write_landing(rows, house.landing, dataset, run_date)
+        pipeline.run_silver(spark, house, RunLog(spark))
     pipeline.run_gold(spark, house, RunLog(spark))
     return spark.read.parquet(f"{house.gold}/gold_current_properties").select("prop_id", "area_code", "price")
 
@@ -856,9 +912,8 @@ def stream_latest_per_key(spark, sf):
 
 @register
 def end_to_end_quality(spark, sf):
-    """One delivery of each dataset through silver, gold and all rulesets."""
-    house = _house(spark, "quality")
-    _deliver(spark, sf, house, True)
+    """Two deliveries through silver, gold and all rulesets."""
+    house = _two_runs(spark, sf, "quality")
     index = inputs.raw_index(spark, sf)
     write_landing(index, house.landing, "spy_prices", date(2024, 2, 1), on_empty="fail")
     verdicts, _ = pipeline.run_all(spark, house)

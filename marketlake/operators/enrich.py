@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,13 +14,14 @@ def needs_enrichment(incoming: DataFrame, target: DataFrame, keys: Sequence[str]
     return incoming.join(known, list(keys), "left_anti").select(*incoming.columns)
 
 
-def batch_rows(df: DataFrame, size: int, key: str, buckets: int) -> DataFrame:
+def batch_rows(df: DataFrame, size: int, key: str, buckets: int, bucket: Column | None = None) -> DataFrame:
     """Number the rows into request batches of at most ``size``: adds ``bucket`` and ``batch_no``.
 
     Rows are numbered inside hash buckets of the unique ``key``, so no task orders all rows.
-    Choose ``buckets`` with the data, for instance one per million rows.
+    Choose ``buckets`` with the data, for instance one per million rows. ``bucket`` may give a
+    row's bucket itself, such as the region that a request must stay in.
     """
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int") if bucket is None else bucket
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
     return (
         df.withColumn("bucket", bucket)

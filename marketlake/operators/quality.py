@@ -24,7 +24,11 @@ def violates(predicate: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """A metric over the table and the bound it must keep. A NULL metric fails."""
+    """A metric over the table and the bound it must keep. A NULL metric fails.
+
+    ``hits`` is a count that adds up over parts of the table: the metric itself, or, with ``is_share``, what the metric
+    divides by the number of rows.
+    """
 
     name: str
     metric: Column | None
@@ -32,20 +36,29 @@ class Rule:
     threshold: float
     key: str | None = field(default=None)
     sql: str | None = field(default=None)
+    hits: Column | None = field(default=None)
+    is_share: bool = field(default=False)
+
+
+def _counting(name: str, hits: Column, op: str, n: float) -> Rule:
+    return Rule(name, hits, op, n, hits=hits)
+
+
+def _share(name: str, hits: Column, op: str, share: float) -> Rule:
+    return Rule(name, F.try_divide(hits, F.count(F.lit(1))), op, share, hits=hits, is_share=True)
 
 
 def row_count(op: str, n: float) -> Rule:
-    return Rule(f"RowCount {op} {n:g}", F.count(F.lit(1)), op, n)
+    return _counting(f"RowCount {op} {n:g}", F.count(F.lit(1)), op, n)
 
 
 def is_complete(column: str) -> Rule:
     """No NULLs; the metric counts them."""
-    return Rule(f"IsComplete {column}", F.count_if(F.col(column).isNull()), "<=", 0)
+    return _counting(f"IsComplete {column}", F.count_if(F.col(column).isNull()), "<=", 0)
 
 
 def completeness(column: str, op: str, share: float) -> Rule:
-    metric = F.try_divide(F.count(column), F.count(F.lit(1)))
-    return Rule(f"Completeness {column} {op} {share:g}", metric, op, share)
+    return _share(f"Completeness {column} {op} {share:g}", F.count(column), op, share)
 
 
 def is_unique(column: str) -> Rule:
@@ -57,18 +70,17 @@ def values_between(column: str, low: float, high: float, inclusive: bool = False
     """All values inside the range (open by default); the metric counts the others and NULLs."""
     value = F.col(column)
     inside = value.between(low, high) if inclusive else (value > low) & (value < high)
-    return Rule(f"ColumnValues {column} between {low:g} and {high:g}", F.count_if(violates(inside)), "<=", 0)
+    return _counting(f"ColumnValues {column} between {low:g} and {high:g}", F.count_if(violates(inside)), "<=", 0)
 
 
 def values_compare(column: str, op: str, bound: float) -> Rule:
     good = _COMPARE[op](F.col(column), F.lit(bound))
-    return Rule(f"ColumnValues {column} {op} {bound:g}", F.count_if(violates(good)), "<=", 0)
+    return _counting(f"ColumnValues {column} {op} {bound:g}", F.count_if(violates(good)), "<=", 0)
 
 
 def share_of(name: str, predicate: Column, op: str, share: float) -> Rule:
     """Share of rows for which the predicate is true."""
-    metric = F.try_divide(F.count_if(predicate), F.count(F.lit(1)))
-    return Rule(f"{name} {op} {share:g}", metric, op, share)
+    return _share(f"{name} {op} {share:g}", F.count_if(predicate), op, share)
 
 
 def custom_sql(name: str, query: str, op: str, threshold: float) -> Rule:
@@ -76,6 +88,18 @@ def custom_sql(name: str, query: str, op: str, threshold: float) -> Rule:
     return Rule(name, None, op, threshold, sql=query)
 
 
+def verdict_row(table: str, rule: Rule, metric: Column) -> Column:
+    value = metric.cast("double")
+    passed = F.coalesce(_COMPARE[rule.op](value, F.lit(float(rule.threshold))), F.lit(False))
+    return F.struct(
+        F.lit(table).alias("table"),
+        F.lit(rule.name).alias("rule"),
+        value.alias("metric"),
+        F.lit(float(rule.threshold)).alias("threshold"),
+        passed.alias("passed"),
+    )
+
+
 def run_rules(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     """(table, rule, metric, threshold, passed), one row per rule.
 
@@ -83,23 +107,11 @@ def run_rules(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     first, so neither many values nor one very frequent value lands in a single task.
     """
     spark = df.sparkSession
-
-    def verdict(rule: Rule, metric: Column) -> Column:
-        value = metric.cast("double")
-        passed = F.coalesce(_COMPARE[rule.op](value, F.lit(float(rule.threshold))), F.lit(False))
-        return F.struct(
-            F.lit(table).alias("table"),
-            F.lit(rule.name).alias("rule"),
-            value.alias("metric"),
-            F.lit(float(rule.threshold)).alias("threshold"),
-            passed.alias("passed"),
-        )
-
     frames = []
     plain = [r for r in rules if r.metric is not None]
     if plain:
         row = df.agg(*[r.metric.alias(f"m{i}") for i, r in enumerate(plain)])
-        verdicts = F.array(*[verdict(r, F.col(f"m{i}")) for i, r in enumerate(plain)])
+        verdicts = F.array(*[verdict_row(table, r, F.col(f"m{i}")) for i, r in enumerate(plain)])
         frames.append(row.select(F.inline(verdicts)))
     for rule in rules:
         if rule.key is not None:
@@ -109,7 +121,7 @@ def run_rules(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
             row = spark.sql(rule.sql, primary=df).toDF("m")
         else:
             continue
-        frames.append(row.select(F.inline(F.array(verdict(rule, F.col("m"))))))
+        frames.append(row.select(F.inline(F.array(verdict_row(table, rule, F.col("m"))))))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)

@@ -175,6 +175,11 @@ def extract_html_table(
     cut = cut.select(*keys, "position", F.inline(F.array(F.struct(_cells(F.col("_row")).alias("_cells")))))
     first, second = (_cell_text(F.get("_cells", F.lit(i))) for i in (0, 1))
     texts = cut.select(*keys, "position", F.inline(F.array(F.struct(first.alias("_day"), second.alias("_number")))))
+    return typed_cells(texts, keys, loaded_at, value_name)
+
+
+def typed_cells(texts: DataFrame, keys: Sequence[str], loaded_at: Column, value_name: str = "rate") -> DataFrame:
+    """Rows of texts (keys, position, ``_day``, ``_number``) that hold a date and a number."""
     typed = texts.select(*keys, "position", F.inline(F.array(F.struct(
         flexible_date(F.col("_day")).alias("_date"), number_of(F.col("_number")).alias(value_name)
     ))))
