@@ -3,10 +3,10 @@
 Only the histogram of piece lengths decides how pieces go together, and it has at most as many entries as a sequence
 has tokens. Its configuration linear program (which combinations of lengths fill a sequence, and how many sequences use
 each) is solved by multiplicative weights on the driver: lengths that are covered least weigh most, and a knapsack
-dynamic program prices the best configurations. It is solved once; its configurations of least waste are used as often as
-the solution says, rounded down, and all other pieces go best-fit, with the shortest tenth, which is held back for that.
-Where few pieces share a length, best fit does most of the packing. Pieces then take the slots of their length by rank; ranks come from salted groups, so that a
-length which a third of all pieces share is never one group.
+dynamic program prices the best configurations. Its configurations of least waste are used as often as the solution says,
+rounded, and what they leave is solved again while that places whole configurations; the last pieces go best-fit, with the
+shortest tenth, which is held back to close gaps. Pieces then take the slots of their length by rank; ranks come from salted
+groups, so that a length which a third of all pieces share is never one group.
 """
 
 from __future__ import annotations
@@ -258,40 +258,59 @@ def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]
     return [group for groups in open_.values() for group in groups]
 
 
-def _rounded(counts: dict[int, int], capacity: int, tolerance: float) -> list[tuple[Pattern, int]]:
-    """Whole uses of the solution's configurations, and best fit for what they leave.
+def _rounded(
+    counts: dict[int, int], capacity: int, tolerance: float
+) -> tuple[list[tuple[Pattern, int]], list[tuple[Pattern, int]]]:
+    """Sequences from the program, and best fit for what they leave.
 
-    The shortest pieces are held back from the program: best fit closes gaps with them.
+    The configurations of least waste are used as often as the solution says, rounded down, and once more where at least
+    half a use is left over and their pieces are; the rest is solved again as long as that places a fiftieth of it. The
+    shortest pieces are held back meanwhile: best fit closes the last gaps with them.
     """
-    left, short, out = dict(counts), {}, []
+    left, short, out = dict(counts), {}, {}
     for length in sorted(counts):
         if length > capacity // 8 or sum(short.values()) >= HELD_BACK * sum(counts.values()):
             break
         short[length] = left.pop(length)
-    uses = solve_configurations(left, capacity, tolerance=tolerance) if left else {}
-    waste = {p: capacity - sum(n * k for n, k in p) for p in uses}
-    least = min(waste.values(), default=0)
-    for pattern in sorted((p for p in uses if waste[p] == least), key=lambda p: -uses[p]):
-        times = min([int(uses[pattern]), *(left[n] // k for n, k in pattern)])
-        if times:
-            out.append((pattern, times))
-            for n, k in pattern:
-                left[n] -= k * times
-    return out + _best_fit({n: k for n, k in (left | short).items() if k}, capacity)
+    while left:
+        uses = solve_configurations(left, capacity, tolerance=tolerance)
+        waste = {p: capacity - sum(n * k for n, k in p) for p in uses}
+        least, placed = min(waste.values()), 0
+        best = sorted((p for p in uses if waste[p] == least), key=lambda p: -uses[p])
+        for times in (lambda p: int(uses[p]), lambda p: int(uses[p] % 1 >= 0.5)):
+            for pattern in best:
+                many = min([times(pattern), *(left[n] // k for n, k in pattern)])
+                if many:
+                    out[pattern] = out.get(pattern, 0) + many
+                    placed += many
+                    for n, k in pattern:
+                        left[n] -= k * many
+        left = {n: k for n, k in left.items() if k}
+        if placed < max(1, sum(n * k for n, k in left.items()) / capacity / 50):
+            break
+    return list(out.items()), _best_fit({n: k for n, k in (left | short).items() if k}, capacity)
 
 
 def configurations(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """(configuration, number of sequences) that hold every piece of the histogram exactly once.
 
-    Configurations that waste least are rounded down; best fit packs what they leave. Of the solutions at two
+    Those of the program first, then those of best fit for what they leave, see ``_rounded``. Of the solutions at two
     tolerances the one with fewer sequences is taken.
     """
     whole = [(((capacity, 1),), counts[capacity])] if counts.get(capacity) else []
     left = {n: k for n, k in counts.items() if k and n < capacity}
-    solved = [_rounded(left, capacity, tolerance) for tolerance in TOLERANCES] if left else [[]]
+    solved = [sum(_rounded(left, capacity, tolerance), []) for tolerance in TOLERANCES] if left else [[]]
     return whole + min(solved, key=lambda groups: sum(times for _, times in groups))
 
 
+def program_share(counts: dict[int, int], capacity: int = CAPACITY) -> float:
+    """Share of the sequences of pieces shorter than the capacity that come from the program, not from best fit."""
+    left = {n: k for n, k in counts.items() if k and n < capacity}
+    solved = [tuple(sum(t for _, t in part) for part in _rounded(left, capacity, x)) for x in TOLERANCES] if left else [(0, 0)]
+    program, rest = min(solved, key=sum)
+    return program / max(1, program + rest)
+
+
 class Slots:
     """Where the pieces of each length go, by their rank among those of that length."""
 

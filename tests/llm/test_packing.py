@@ -117,3 +117,14 @@ def test_multiplicative_weights_reach_the_known_optimum():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs, **FILES).count() == 0
+
+
+def test_most_sequences_come_from_the_program():
+    rng = np.random.default_rng(8)
+    for n in (1000, 10000):
+        lengths = np.clip(rng.lognormal(5.8, 0.7, n).astype(int), 5, 1023)
+        counts = {int(k): int(c) for k, c in zip(*np.unique(lengths, return_counts=True))}
+        total = sum(t for _, t in packing.configurations(counts))
+        bound = -(-int(lengths.sum()) // 1024)
+        assert bound <= total <= bound * 1.01 + 1 and packing.program_share(counts) > 0.4
+    assert packing.program_share({}) == 0 == packing.program_share({1024: 7})
