@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,54 +49,66 @@ def rolling(data: bytes) -> np.ndarray:
     return out
 
 
-def _signature(data: bytes, hashes: np.ndarray, block: int) -> str:
+def _signature(data: bytes, hashes: np.ndarray, block: int) -> tuple[str, bool]:
+    """The signature at a block size, and whether it has a digit for every chunk."""
     ends = (np.flatnonzero(hashes % np.uint32(block) == block - 1) + 1).tolist()
-    if len(ends) >= CHUNKS:
-        ends = [*ends[: CHUNKS - 1], len(data)]  # the last chunk is the rest
     if not ends or ends[-1] < len(data):
         ends.append(len(data))
-    return "".join([_DIGITS[zlib.crc32(data[a:b]) & 63] for a, b in zip([0, *ends], ends)]) if data else ""
+    whole = len(ends) <= CHUNKS
+    if not whole:
+        ends = [*ends[: CHUNKS - 1], len(data)]  # the last chunk is the rest
+    return "".join([_DIGITS[zlib.crc32(data[a:b]) & 63] for a, b in zip([0, *ends], ends)]) if data else "", whole
 
 
 def fingerprint(text: str) -> str:
-    """block size:signature:signature at twice the block size, of a whole text.
+    """block size:signature:signature at twice the block size:..., of a whole text.
 
-    The block size (3 times a power of two) follows from the length, so that 32 to 64 chunks are to be expected, and is
-    halved once if there are no more than 32. Texts of about the same length then have neighbouring sizes, whatever
-    their chunks are. A signature has at most 64 digits; its last chunk is the rest of the text.
+    The first block size (3 times a power of two) follows from the length, so that 32 to 64 chunks are to be expected, and
+    is halved once if there are no more than 32. Texts of about the same length then have neighbouring sizes, whatever
+    their chunks are. Sizes double until two signatures have a digit for every chunk; of ordinary texts these are the
+    first two. A signature has at most 64 digits; where a text has more chunks its last digit stands for the rest.
     """
     data = text.encode("utf-8", "surrogatepass")
     hashes = rolling(data)
     block = SMALLEST
     while block * CHUNKS < len(data):
         block *= 2
-    first, second = (_signature(data, hashes, b) for b in (block, 2 * block))
-    if block > SMALLEST and len(first) <= CHUNKS // 2:
-        block, first, second = block // 2, _signature(data, hashes, block // 2), first
-    return f"{block}:{first}:{second}"
+    if block > SMALLEST and len(_signature(data, hashes, block)[0]) <= CHUNKS // 2:
+        block //= 2
+    parts, size, whole = [str(block)], block, 0
+    while whole < 2:
+        signature, complete = _signature(data, hashes, size)
+        parts.append(signature)
+        whole, size = whole + complete, 2 * size
+    return ":".join(parts)
 
 
 def likeness(a: str | Column, b: str | Column) -> Column:
     """0 to 1 of two fingerprints' columns; 1 if they are equal, 0 if no block size is in both.
 
     One minus the edit distance of signatures of the same block size over the longer one's length, the best of them.
+    Signatures that stand for whole texts on both sides count, others only where there are none.
     """
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
-    parts = [[F.split(x, ":", -1)[i] for i in range(3)] for x in (a, b)]
-    sizes = [p[0].cast("long") for p in parts]
-
-    def like(x: Column, y: Column) -> Column:
-        longer = F.greatest(F.length(x), F.length(y))
-        return F.when(longer > 0, 1 - F.levenshtein(x, y) / longer).otherwise(F.lit(1.0))
-
-    (_, a1, a2), (_, b1, b2) = parts
-    return (
-        F.when(a == b, F.lit(1.0))
-        .when(sizes[0] == sizes[1], F.greatest(like(a1, b1), like(a2, b2)))
-        .when(sizes[0] == 2 * sizes[1], like(a1, b2))
-        .when(2 * sizes[0] == sizes[1], like(a2, b1))
-        .otherwise(F.lit(0.0))
-    )
+    parts = F.struct(F.split(a, ":", -1).alias("a"), F.split(b, ":", -1).alias("b"))
+
+    def of(p: Column) -> Column:
+        (x, n), (y, m) = ((p[side], F.size(p[side]) - 1) for side in ("a", "b"))
+        # Place i of the one is place i - ahead of the other; place 0 holds the block size.
+        ahead = F.round(F.log2(y[0].cast("double") / x[0].cast("double"))).cast("int")
+        first, last = F.greatest(F.lit(1), 1 + ahead), F.least(n, m + ahead)
+        whole = F.greatest(first, n - 1, m - 1 + ahead)
+
+        def like(i: Column) -> Column:
+            one, other = F.get(x, i), F.get(y, i - ahead)
+            longer = F.greatest(F.length(one), F.length(other))
+            return F.when(longer > 0, 1 - F.levenshtein(one, other) / longer).otherwise(F.lit(1.0))
+
+        begin = F.when(whole <= last, whole).otherwise(first)
+        return F.when(first > last, F.lit(0.0)).otherwise(F.array_max(F.transform(F.sequence(begin, last), like)))
+
+    both = F.transform(F.array(parts), of)[0]
+    return F.when(a == b, F.lit(1.0)).otherwise(both)
 
 
 def edited(text: str, following: str) -> str:
@@ -107,7 +120,7 @@ def edited(text: str, following: str) -> str:
 _ROW = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint"]
 _SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "next_fingerprint string, place string, text string, tie long"
+    "next_fingerprint string, place string, text string, tie long, part int"
 )
 
 
@@ -120,7 +133,8 @@ def _finished(doc_id, text: str, own: str, following: str, next_print: str) -> t
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with their successors; of a partition's first and last row also the texts, to be joined to others."""
     columns = [field.split()[0] for field in _SCHEMA.split(", ")]
-    types = [pa.int64(), pa.int64(), *[pa.string()] * 4, pa.string(), pa.string(), pa.int64()]
+    types = [pa.int64(), pa.int64(), *[pa.string()] * 4, pa.string(), pa.string(), pa.int64(), pa.int32()]
+    part = TaskContext.get().partitionId()
     last = None  # id, tie, text, fingerprint
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -134,33 +148,37 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text.as_py() or ""
             row = (doc_id.as_py(), tie.as_py(), text, fingerprint(text))
             if last is None:
-                rows.append((row[0], None, None, row[3], None, None, "head", text, row[1]))
+                rows.append((row[0], None, None, row[3], None, None, "head", text, row[1], part))
             else:
-                rows.append((*_finished(last[0], last[2], last[3], text, row[3]), None, None, None))
+                rows.append((*_finished(last[0], last[2], last[3], text, row[3]), None, None, None, None))
             last = row
         if rows:
             yield batch_of(rows)
     if last is not None:
-        yield batch_of([(last[0], None, None, last[3], None, None, "tail", last[2], last[1])])
+        yield batch_of([(last[0], None, None, last[3], None, None, "tail", last[2], last[1], part)])
 
 
 def _join_ends(ends: DataFrame) -> DataFrame:
     """The last rows of partitions with the first row of the next one, or of the first one after the last.
 
-    There are two rows for each partition. Only ids are put in order together; texts are joined to them.
+    There are two rows for each partition. Only their ids and partition numbers are put in order together; texts are
+    joined to them by these numbers.
     """
-    order = Window.orderBy("kind_id", "doc_id", "tie", "turn")
-    ordered = ends.withColumn("turn", F.when(F.col("place") == "head", 0).otherwise(1)).withColumn(
-        "kind_id", F.col("doc_id").isNotNull()  # rows without an id come first
-    ).withColumn("number", F.row_number().over(order))
-    heads = ordered.where("turn = 0")
-    first = F.min(F.when(F.col("turn") == 0, F.col("number"))).over(Window.partitionBy())
-    following = F.lead("number").over(order)
-    tails = ordered.withColumn("following", F.coalesce(following, first)).where("turn = 1")
-    return tails.alias("t").join(heads.alias("h"), F.col("t.following") == F.col("h.number")).select(
-        "t.doc_id", "t.text", "t.fingerprint", F.col("h.text").alias("next_text"),
-        F.col("h.fingerprint").alias("next_fingerprint"),
+    order = Window.orderBy("has_id", "doc_id", "tie", "turn", "part")
+    names = ends.select(
+        F.col("doc_id").isNotNull().alias("has_id"), "doc_id", "tie",  # rows without an id come first
+        F.when(F.col("place") == "head", 0).otherwise(1).alias("turn"), "part",
+    )
+    first = F.first(F.when(F.col("turn") == 0, F.col("part")), ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    next_part = F.coalesce(F.lead("part").over(order), first).alias("next_part")
+    following = names.select("turn", "part", next_part).where("turn = 1").drop("turn")
+    tails = ends.where("place = 'tail'").select("doc_id", "text", "fingerprint", "part")
+    heads = ends.where("place = 'head'").select(
+        F.col("part").alias("next_part"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint")
     )
+    return tails.join(following, "part").join(heads, "next_part").drop("part", "next_part")
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

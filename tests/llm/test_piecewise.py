@@ -32,10 +32,14 @@ def distance(a, b):
 def slow_likeness(a, b):
     if a == b:
         return 1.0
-    (n, a1, a2), (m, b1, b2) = a.split(":"), b.split(":")
+    prints = []
+    for text in (a, b):
+        block, *signatures = text.split(":")
+        prints.append([(int(block) << i, s, i >= len(signatures) - 2) for i, s in enumerate(signatures)])
     like = lambda x, y: 1 - distance(x, y) / max(len(x), len(y)) if x or y else 1.0
-    pairs = {1: [(a1, b1), (a2, b2)], 2: [(a1, b2)], 0.5: [(a2, b1)]}.get(int(n) / int(m), [])
-    return max((like(*p) for p in pairs), default=0.0)
+    pairs = [(x, y, v and w) for n, x, v in prints[0] for m, y, w in prints[1] if n == m]
+    whole = [p for p in pairs if p[2]]
+    return max((like(x, y) for x, y, _ in whole or pairs), default=0.0)
 
 
 def slow(rows):
@@ -102,6 +106,43 @@ def test_edits_stay_near_and_others_do_not():
     assert sum(near) / len(near) > 0.65 and max(far) < 0.35 and min(near) > 0.4
 
 
+def phrases(seed, repeats, rng=random):
+    """A phrase repeated with small changes: triggers that the phrase holds come far more often than its length implies."""
+    rng = random.Random(seed)
+    phrase = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(9))
+    return " ".join(phrase + rng.choice(["", "", f" {rng.randrange(10**6)}"]) for _ in range(repeats))
+
+
+def test_the_end_of_a_repetitive_text_counts():
+    """An edit of the last quarter shows, however many chunks come before it."""
+    met = 0
+    for seed in range(60):
+        text, other = phrases(seed, 350), phrases(seed + 1000, 350)
+        own = piecewise.fingerprint(text)
+        met += own.count(":") > 2
+        changed = piecewise.fingerprint(piecewise.edited(text, other))
+        assert slow_likeness(own, changed) < 0.95
+        block, *signatures = own.split(":")
+        data = text.encode()
+        hashes = piecewise.rolling(data)
+        for i in (-2, -1):  # these have a digit for each chunk
+            size = int(block) << (len(signatures) + i)
+            triggers = int((hashes % size == size - 1).sum())
+            assert len(signatures[i]) in (triggers, triggers + 1)
+    assert met >= 5
+
+
+def test_no_text_passes_a_single_partition(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts(30))], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = piecewise.with_successors(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    parts = plan.split("Exchange SinglePartition")[1:]
+    assert parts and all("text#" not in p.split("Scan parquet")[0] for p in parts)
+
+
 def test_query_keeps_every_document(spark):
     rows = queries.op6_document_fingerprints(spark, "/root/testdata/sf0.001").collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
