@@ -28,6 +28,13 @@ RECORD = (
     "http_status int, block string"
 )
 
+MAX_BODY = 64 << 20  # bytes that a compressed body may inflate to; more is cut and reported in the metadata record
+MAX_BLOCK = 256 << 20  # bytes of a record's block; larger records are rejects
+MAX_FILE = 1 << 30  # bytes of a file that is read as one value; larger files are rejects
+_PIECE = 1 << 16  # bytes of a file that are decompressed at once
+_MAX_HEAD = 1 << 20  # bytes of a record's headers
+_MAGIC = b"\x1f\x8b\x08"
+
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^<>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)([^<>]*)>|<[!?/][^<>]*>")
@@ -88,16 +95,20 @@ def _unchunked(body: bytes) -> bytes:
     return b"".join(parts) if any(parts) and at >= len(body) else body
 
 
-def _inflated(body: bytes, wbits: int) -> bytes | None:
-    """All members of a compressed body up to its end or a damaged place; None if it is not compressed so."""
-    out, ended, unzip = [], False, zlib.decompressobj(wbits)
+def _inflated(body: bytes, wbits: int, limit: int) -> bytes | None:
+    """All members of a compressed body up to its end, a damaged place or one byte over the limit; None if it is not
+    compressed so."""
+    out, ended, unzip, room = [], False, zlib.decompressobj(wbits), limit + 1
     for at in range(0, len(body), 512):  # in pieces, since a damaged one gives nothing
         piece = body[at : at + 512]
         while piece:
             try:
-                out.append(unzip.decompress(piece))
+                out.append(unzip.decompress(piece, room))
             except zlib.error:
                 return b"".join(out) if ended or any(out) else None
+            room -= len(out[-1])
+            if not room:
+                return b"".join(out)
             piece = unzip.unused_data
             if unzip.eof:
                 ended, unzip = True, zlib.decompressobj(wbits)
@@ -106,19 +117,19 @@ def _inflated(body: bytes, wbits: int) -> bytes | None:
     return b"".join(out) if ended or any(out) else None
 
 
-def content(headers: list[tuple[str, str]], body: bytes) -> bytes | None:
+def content(headers: list[tuple[str, str]], body: bytes, limit: int = MAX_BODY) -> bytes | None:
     """The body without its transfer and content codings, or None if one of them can't be undone.
 
-    A body that is not coded as its headers say, as archives that store decoded bodies have them, is taken as it is.
+    What a coding may inflate to is bounded: of more than ``limit`` bytes the first ``limit`` + 1 come back. A body that is not coded as its headers say, as archives that store decoded bodies have them, is taken as it is.
     """
     for coding in reversed(_values(headers, "content-encoding") + _values(headers, "transfer-encoding")):
         if coding == "chunked":
             body = _unchunked(body)
         elif coding in ("gzip", "x-gzip"):
-            body = _inflated(body, 31) or b"" if body.startswith(b"\x1f\x8b") else body
+            body = _inflated(body, 31, limit) or b"" if body.startswith(b"\x1f\x8b") else body
         elif coding == "deflate":  # with or without the frame that it should have
-            plain = _inflated(body, 15)
-            plain = _inflated(body, -15) if plain is None else plain
+            plain = _inflated(body, 15, limit)
+            plain = _inflated(body, -15, limit) if plain is None else plain
             body = body if plain is None else plain
         elif coding != "identity" and _BINARY.search(body[:1024]):
             return None
@@ -183,6 +194,9 @@ def derive_one(source_id: str, target: str | None, date: str | None, headers: di
     block_digest = own.get("warc-block-digest") or digest(block)
     payload_digest = own.get("warc-payload-digest") or digest(body)
     plain = content(http, body)
+    codings = _values(http, "content-encoding") + _values(http, "transfer-encoding")
+    cut = plain is not None and len(plain) == MAX_BODY + 1 and bool({"gzip", "x-gzip", "deflate"} & set(codings))
+    plain = plain[:MAX_BODY] if cut else plain
     kind = None if plain is None else text_kind(http, plain)
     title, language, links, text = "", "", [], None
     if kind == "markup":
@@ -194,6 +208,7 @@ def derive_one(source_id: str, target: str | None, date: str | None, headers: di
     fields += [(f"source-{k.lower()}", v) for k, v in sorted(headers.items()) if v is not None]
     fields += [("http-status", str(status))] if status is not None else []
     fields += [(f"http-{k.lower()}", v) for k, v in http]
+    fields += [("body-cut-at", str(MAX_BODY))] if cut else []
     fields += [("title", title)] if title else []
     fields += [("language", language)] if language else []
     fields += [("outlink", link) for link in links]
@@ -296,41 +311,156 @@ def members(records: DataFrame) -> DataFrame:
     ))
 
 
-def parse_file(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of every record of a WARC file, plain or gzipped member by member."""
-    if content[:2] == b"\x1f\x8b":
-        plain = []
-        while content:
-            unzip = zlib.decompressobj(31)
-            plain.append(unzip.decompress(content) + unzip.flush())
-            content = unzip.unused_data
-        content = b"".join(plain)
-    at = 0
-    while (start := content.find(b"WARC/", at)) >= 0:
-        end = content.find(b"\r\n\r\n", start)
-        if end < 0:
+class _Plain:
+    """A file's bytes, decompressed piece by piece as they are asked for."""
+
+    def __init__(self, content: bytes):
+        self.content, self.at, self.buffer, self.damage = memoryview(content), 0, bytearray(), None
+        self.unzip = zlib.decompressobj(31) if bytes(self.content[:3]) == _MAGIC else None
+
+    def more(self) -> bool:
+        """Add a piece to the buffer; False at the file's end or where it is damaged."""
+        if self.damage or self.at >= len(self.content):
+            return False
+        piece = bytes(self.content[self.at : self.at + _PIECE])
+        if self.unzip is None:
+            self.buffer += piece
+            self.at += len(piece)
+            return True
+        if self.unzip.eof:  # the next member, padding, or something else
+            if not piece.strip(b"\0"):
+                self.at += len(piece)
+                return self.more()
+            if not piece.startswith(_MAGIC[: len(piece)]):
+                self.damage = "bytes after the last member"
+                return False
+            self.unzip = zlib.decompressobj(31)
+        try:
+            out = self.unzip.decompress(piece, 16 * _PIECE)
+        except zlib.error:
+            self.damage = "damaged member"
+            return False
+        self.at += len(piece) - len(self.unzip.unused_data) - len(self.unzip.unconsumed_tail)
+        self.buffer += out
+        if self.at >= len(self.content) and not self.unzip.eof:
+            self.damage = "cut member"
+        return True
+
+    def resume(self) -> None:
+        """Go on at the next member after a damaged place, without what the damaged one gave."""
+        rest = bytes(self.content[self.at + 1 :])
+        found = rest.find(_MAGIC)
+        self.at = len(self.content) if found < 0 else self.at + 1 + found
+        self.buffer.clear()
+        self.unzip, self.damage = zlib.decompressobj(31), None
+
+
+def parse_records(content: bytes, max_block: int = MAX_BLOCK) -> Iterator[tuple[str | None, dict[str, str], bytes]]:
+    """(reason, headers, block) of every record of a WARC file, plain or gzipped, one after the other.
+
+    The reason is None for good records, else why a place gives none: ``bad length``, ``too large``, ``no end of headers``,
+    ``cut record``, or how the compression is damaged. Reading goes on behind it: at the next record, or at the next
+    member of a compressed file. Zero padding is no damage. Memory holds the file, one record and a piece.
+    """
+    source = _Plain(content)
+    buffer = source.buffer
+
+    def fill(size: int) -> bool:
+        while len(buffer) < size:
+            if not source.more():
+                return False
+        return True
+
+    while True:
+        start = buffer.find(b"WARC/")
+        if start < 0:
+            del buffer[:-4]
+            if source.more():
+                continue
+            if source.damage:
+                yield source.damage, {}, b""
+                source.resume()
+                continue
             return
-        lines = content[start:end].decode("utf-8", "replace").split("\r\n")[1:]
+        del buffer[:start]
+        end = buffer.find(b"\r\n\r\n")
+        while end < 0 and len(buffer) < _MAX_HEAD and source.more():
+            end = buffer.find(b"\r\n\r\n")
+        if end < 0:
+            reason = source.damage or "no end of headers"
+            yield reason, {}, b""
+            if source.damage:
+                source.resume()
+            del buffer[:5]
+            continue
+        lines = buffer[:end].decode("utf-8", "replace").split("\r\n")[1:]
         headers = {k.strip(): v.strip() for k, colon, v in (line.partition(":") for line in lines) if colon}
-        length = int(next((v for k, v in headers.items() if k.lower() == "content-length"), "0"))
-        yield headers, content[end + 4 : end + 4 + length]
-        at = end + 4 + length
+        length = next((v for k, v in headers.items() if k.lower() == "content-length"), "0")
+        del buffer[: end + 4]
+        if not re.fullmatch(r"[0-9]{1,18}", length):
+            yield "bad length", headers, b""
+            continue
+        left = int(length)
+        if left > max_block:
+            yield "too large", headers, b""
+            while left and (buffer or source.more()):
+                gone = min(left, len(buffer))
+                del buffer[:gone]
+                left -= gone
+        elif fill(left):
+            yield None, headers, bytes(buffer[:left])
+            del buffer[:left]
+        else:
+            yield source.damage or "cut record", headers, b""
+            if source.damage:
+                source.resume()
+            buffer.clear()
 
 
-def read_responses(files: DataFrame) -> DataFrame:
-    """Response records of WARC files (``content`` as the binaryFile source gives it), one file at a time in a task."""
+def parse_file(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of every good record of a WARC file."""
+    return ((headers, block) for reason, headers, block in parse_records(content) if reason is None)
+
+
+_READ = (
+    "path string, reason string, record_id string, target_uri string, warc_date string, headers map<string,string>, block binary"
+)
+
+
+def read_archive(files: DataFrame, max_file: int = MAX_FILE) -> DataFrame:
+    """Responses and rejects of WARC files, as the binaryFile source gives them (path, length, content).
+
+    Response records have no ``reason``; a reject has one, its path and what headers it has, but no block. Files of more
+    than ``max_file`` bytes are rejects as a whole, whose content is not read. A damaged file gives all records that
+    can be read, and never ends the job.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [field.split()[0] for field in _READ.split(", ")]
         for pdf in batches:
-            for content in pdf["content"]:
-                for headers, block in parse_file(bytes(content)):
+            for path, content in zip(pdf["path"], pdf["content"]):
+                for reason, headers, block in parse_records(bytes(content)):
                     known = {k.lower(): v for k, v in headers.items()}
-                    if known.get("warc-type") == "response":
-                        yield pd.DataFrame([{
-                            "record_id": known.get("warc-record-id"), "target_uri": known.get("warc-target-uri"),
-                            "warc_date": known.get("warc-date"), "headers": headers, "block": block,
-                        }])
-
-    return files.select("content").mapInPandas(
-        run, "record_id string, target_uri string, warc_date string, headers map<string,string>, block binary"
+                    if reason is not None or known.get("warc-type") == "response":
+                        yield pd.DataFrame([(
+                            path, reason, known.get("warc-record-id"), known.get("warc-target-uri"), known.get("warc-date"),
+                            headers, block if reason is None else None,
+                        )], columns=names)
+
+    whole = files.where(F.col("length") <= max_file).select("path", "content").mapInPandas(run, _READ)
+    large = files.where(F.col("length") > max_file).select(
+        "path", F.lit("file too large").alias("reason"), *[F.lit(None).cast("string").alias(c) for c in (
+            "record_id", "target_uri", "warc_date")], F.lit(None).cast("map<string,string>").alias("headers"),
+        F.lit(None).cast("binary").alias("block"),
     )
+    return whole.union(large)
+
+
+def read_responses(files: DataFrame) -> DataFrame:
+    """Response records of WARC files, see :func:`read_archive`."""
+    return read_archive(files).where("reason IS NULL").drop("path", "reason")
+
+
+def reject_counts(archive: DataFrame) -> DataFrame:
+    """(path, reason, n) of what :func:`read_archive` could not read."""
+    return archive.where("reason IS NOT NULL").groupBy("path", "reason").agg(F.count("*").alias("n"))

@@ -184,3 +184,64 @@ def test_chunks_that_are_cut_or_no_chunks():
     assert warc._unchunked(chunked(b"a" * 99)[:40]) == b"a" * 32
     for body in (b"", b"plain", b"add\nplain text that is longer than its first word" * 99, b"12\r\n"):
         assert warc._unchunked(body) == body
+
+
+def record_of(name, block, length=None):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{name}>\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def read_all(content, **options):
+    out = [(reason, h.get("WARC-Record-ID", "").strip("<>"), b) for reason, h, b in warc.parse_records(content, **options)]
+    return [(name, b) for reason, name, b in out if reason is None], [reason for reason, *_ in out if reason is not None]
+
+
+def test_damaged_files_give_all_good_records_and_counted_rejects():
+    blocks = [(str(i), (f"body {i} " * (i * 40 + 1)).encode()) for i in range(6)]
+    members = [gzip.compress(record_of(n, b)) for n, b in blocks]
+    whole = b"".join(record_of(n, b) for n, b in blocks)
+    assert read_all(b"".join(members)) == (blocks, []) == read_all(whole) == read_all(gzip.compress(whole))
+    assert read_all(b"".join(members) + b"\0" * 3000) == (blocks, [])
+    assert read_all(b"".join(members) + b"trailing") == (blocks, ["bytes after the last member"])
+    broken = bytearray(members[2])
+    broken[len(broken) // 2] ^= 0xFF
+    broken[len(broken) // 2 + 1] ^= 0xFF
+    good, bad = read_all(b"".join(members[:2]) + bytes(broken) + b"".join(members[3:]))
+    assert good == blocks[:2] + blocks[3:] and bad
+    good, bad = read_all(b"".join(members)[:-20])
+    assert good == blocks[:-1] and bad == ["cut member"]
+    assert read_all(whole[:-20]) == (blocks[:-1], ["cut record"])
+    odd = record_of("a", b"first") + record_of("x", b"odd", "many") + record_of("y", b"odd", "-3") + record_of("b", b"last")
+    assert read_all(odd) == ([("a", b"first"), ("b", b"last")], ["bad length"] * 2)
+    large = record_of("a", b"first") + record_of("x", b"z" * 300000) + record_of("b", b"last")
+    for content in (large, gzip.compress(large)):
+        assert read_all(content, max_block=1000) == ([("a", b"first"), ("b", b"last")], ["too large"])
+    assert read_all(b"") == read_all(b"no archive") == read_all(b"\x1f\x8b") == ([], [])
+    assert read_all(b"WARC/1.1\r\nWARC-Type: response") == ([], ["no end of headers"])
+    assert read_all(record_of("x", b"", 10**17)) == ([], ["too large"])
+
+
+def test_a_folder_of_good_and_damaged_files(spark, tmp_path):
+    good = gzip.compress(record_of("good", b"HTTP/1.1 200 OK\r\n\r\nhello"))
+    (tmp_path / "a.warc.gz").write_bytes(good * 3)
+    (tmp_path / "b.warc.gz").write_bytes(good + b"\x1f\x8b\x08garbage" + good)
+    (tmp_path / "c.warc").write_bytes(record_of("x", b"12", "none") + record_of("y", b"HTTP/1.1 200 OK\r\n\r\n"))
+    (tmp_path / "d.warc.gz").write_bytes(good * 200)
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    archive = warc.read_archive(files, max_file=10_000)
+    counts = {(r.path.rsplit("/", 1)[1], r.reason): r.n for r in warc.reject_counts(archive).collect()}
+    assert counts == {("b.warc.gz", "damaged member"): 1, ("c.warc", "bad length"): 1, ("d.warc.gz", "file too large"): 1}
+    assert archive.where("reason IS NULL").count() == 3 + 2 + 1
+    assert warc.derivatives(warc.read_responses(files)).where("warc_type = 'metadata'").count() == 3 + 2 + 1 + 200
+
+
+def test_a_coding_may_inflate_to_a_bound_only(monkeypatch):
+    monkeypatch.setattr(warc, "MAX_BODY", 1000)
+    monkeypatch.setattr(warc.content, "__defaults__", (1000,))
+    bomb = gzip.compress(b"a" * 10_000_000)
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\nContent-Encoding: gzip\r\n\r\n" + bomb
+    metadata, conversion = warc.derive_one("<x>", None, None, {}, block)
+    assert "body-cut-at: 1000\r\n" in metadata[-1] and conversion[-1] == "a" * 1000
+    small = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\nContent-Encoding: gzip\r\n\r\n" + gzip.compress(b"b" * 1000)
+    metadata, conversion = warc.derive_one("<x>", None, None, {}, small)
+    assert "body-cut-at" not in metadata[-1] and conversion[-1] == "b" * 1000
