@@ -1,13 +1,15 @@
 """Nearest neighbours by largest inner product, by several shifted Hilbert orderings of projected vectors.
 
 Every ordering projects the vectors to a few random directions (drawn with the covariance of a bounded sample), shifts
-and quantises them, and range-partitions all vectors by their place on a Hilbert curve. Sorted partitions are cut into
+and quantises them, and range-partitions their ids by their place on a Hilbert curve. Sorted partitions are cut into
 blocks. A query goes to its own block and to the neighbouring ones within a window. Strips of blocks as long as a window
 are swept in order, each block scoring the queries whose windows it lies in, and a query leaves a strip with its best
-entries only. The windows of all orderings merge, and the best by the exact measure stay.
+entries only. The windows of all orderings merge, and the best by the exact measure stay. Vectors are read when strips
+are built; until then orderings hold ids and keys.
 
-The window is the smallest one that finds ``TARGET`` of the true neighbours of a bounded sample of queries, which are
-found by brute force over all vectors. Vectors without structure need wide windows; clustered ones need narrow ones.
+The number of orderings and the window are those that scan least and find ``TARGET`` of the true neighbours of a bounded
+sample of queries, which are found by brute force over all vectors. Vectors without structure need wide windows, and the
+work is then queries times rows like any exact search; clustered ones need narrow ones.
 
 Equal vectors are one entry of the index. A result needs at most as many of them as it has ranks, and takes those of
 the smallest ids, so that a vector which a third of all rows share costs no more than any other.
@@ -20,15 +22,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.llm.common import stored
 
-ORDERINGS = 8
+ORDERINGS = 8  # at most; as many are used as scan the fewest blocks
+LEAST_ORDERINGS = 2
 DIRECTIONS = 6
 CELL_BITS = 8
-BLOCK = 1024
+BLOCK = 1024  # entries of a block; of small tables fewer, so that a window can be a small part
+SMALLEST_BLOCK, BLOCKS_OF_SMALL = 16, 64
 ACTIVE_QUERIES = 50_000  # queries that a task holds at once
 SAMPLE_VECTORS = 5000  # bound of the sample that directions and cells are fitted on
 SAMPLE_QUERIES = 200  # bound of the queries that the window is fitted on
@@ -100,9 +106,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): one row per id with a finite vector that is not zero, all of the most frequent length.
 
+    Vectors keep their type (float, else double); sums are in double precision.
+
     Of rows that share an id, the one with the smallest vector counts. Rows without an id take no part.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v")).where(
+    kind = vectors.schema["embedding"].dataType.elementType
+    stored_as = "array<float>" if isinstance(kind, T.FloatType) else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(stored_as).alias("v")).where(
         "vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0"
         " AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')) AND exists(v, x -> x <> 0)"
     )
@@ -119,61 +129,47 @@ def _keyed(orderings: Orderings):
             if batch.num_rows:
                 for number, keys in enumerate(orderings.keys(_matrix(batch.column(1)))):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), number, dtype=np.int32)), pa.array(keys), *batch.columns],
-                        names=["ordering", "key", "entry", "v", "asks"],
+                        [pa.array(np.full(len(keys), number, dtype=np.int32)), pa.array(keys), batch.column(0)],
+                        names=["ordering", "key", "entry"],
                     )
 
     return run
 
 
-def _blocks(size: int):
-    """Sorted rows cut into blocks of one ordering each."""
+def _seated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries sorted along the orderings, with their place among those of their ordering in this partition."""
+    part, last, count = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        number = batch.column(0).to_numpy()
+        begins = np.concatenate([[number[0] != last], number[1:] != number[:-1]])
+        at = np.arange(len(number))
+        origin = np.maximum.accumulate(np.where(begins, at, 0))
+        seat = at - origin + np.where(np.cumsum(begins) == 0, count, 0)
+        last, count = number[-1], int(seat[-1]) + 1
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(np.full(len(number), part, dtype=np.int32)), pa.array(seat)],
+            names=["ordering", "entry", "part", "seat"],
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
 
-        def cut(table: pa.Table, whole: bool) -> Iterator[tuple[pa.Table, pa.Table]]:
-            number = table.column("ordering").to_numpy()
-            bounds = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
-            for a, b in zip(bounds, bounds[1:]):
-                last = b == len(number) and not whole
-                for at in range(a, b, size):
-                    if last and b - at < size:
-                        yield None, table.slice(at)
-                    else:
-                        yield table.slice(at, min(size, b - at)), None
-
-        def emit(table: pa.Table) -> pa.RecordBatch:
-            values = np.concatenate([_matrix(c) for c in table.column("v").chunks if len(c)])
-            one = lambda name: table.column(name)[0].as_py()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([one("ordering")], pa.int32()), pa.array([one("key")], pa.int64()),
-                 pa.array([one("entry")], pa.int64()),
-                 pa.array([table.column("entry").to_numpy().astype(np.int64).tobytes()]),
-                 pa.array([np.asarray(table.column("asks").to_numpy(), dtype=bool).tobytes()]),
-                 pa.array([values.tobytes()])],
-                names=["ordering", "key", "entry", "entries", "asks", "vs"],
-            )
+def numbered(entries: DataFrame, orderings: Orderings, block: int) -> DataFrame:
+    """(entry, ordering, number): the block of ``block`` neighbours that each entry is in, along each ordering.
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            rest = None
-            if len(table) < size and table.column("ordering")[0] == table.column("ordering")[len(table) - 1]:
-                rest = table.combine_chunks()
-                continue
-            for block, left in cut(table, whole=False):
-                if block is None:
-                    rest = left
-                else:
-                    yield emit(block)
-        if rest is not None:
-            for block, _ in cut(rest, whole=True):
-                yield emit(block)
-
-    return run
+    Only keys are sorted and stored, no vectors. Blocks are numbered from 0 by the counts of the partitions, of which
+    there is a row for each ordering in it.
+    """
+    keyed = entries.select("entry", "v").mapInArrow(_keyed(orderings), "ordering int, key long, entry long")
+    seated = stored(
+        keyed.repartitionByRange("ordering", "key", "entry").sortWithinPartitions("ordering", "key", "entry")
+        .mapInArrow(_seated, "ordering int, entry long, part int, seat long"), "seats",
+    )
+    counts = seated.groupBy("ordering", "part").agg(F.count("*").alias("n"))
+    before = counts.select("ordering", "part", (F.sum("n").over(Window.partitionBy("ordering").orderBy("part")) - F.col("n")).alias("before"))
+    return seated.join(before, ["ordering", "part"]).select(
+        "entry", "ordering", F.floor((F.col("before") + F.col("seat")) / block).cast("int").alias("number")
+    )
 
 
 def _best(entries: np.ndarray, vectors: np.ndarray, query: np.ndarray, scores: np.ndarray, keep: int):
@@ -235,39 +231,43 @@ _STRIP = "ordering int, strip int, part int, at int, kind int, id long, till int
 _STRIP_ORDER = ["ordering", "strip", "part", "at", "kind", "id"]
 
 
-def _strips(window: int, parts: int):
-    """Blocks as rows of strips as long as a window, and their queries in each strip that their window reaches.
+def _strips(window: int, parts: int, width: str):
+    """Entries as rows of the strips that their blocks are in, and as queries of each strip that their window reaches.
 
-    A query stands before the first block of its window; the parts of a strip share its queries.
+    A strip is as long as a window. A query stands before the first block of its window; the parts of a strip share its
+    queries.
     """
     length = 2 * window + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ordering, number, ids, asks, vs in zip(*(batch.column(i) for i in range(5))):
-                number, ids = number.as_py(), np.frombuffer(ids.as_py(), dtype=np.int64)
-                pick = np.flatnonzero(np.frombuffer(asks.as_py(), dtype=bool))
-                size = len(vs.as_py()) // len(ids)
-                values = np.array([vs.as_py()[i * size : (i + 1) * size] for i in range(len(ids))], dtype=object)
-                rows = [(number // length, part, number, 1, ids, 0, values) for part in range(parts)]
-                low, high = max(number - window, 0), number + window
-                for strip in range(low // length, high // length + 1):
-                    begin, end = max(low, strip * length), min(high, (strip + 1) * length - 1)
-                    for part in range(parts):
-                        own = pick[ids[pick] % parts == part]
-                        rows.append((strip, part, begin, 0, ids[own], end, values[own]))
-                for strip, part, at, kind, named, till, held in rows:
-                    n = len(named)
-                    fixed = [pa.array(np.full(n, x, dtype=np.int32)) for x in (ordering.as_py(), strip, part, at, kind)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*fixed, pa.array(named), pa.array(np.full(n, till, dtype=np.int32)), pa.array(held, pa.binary())],
-                        names=[*_STRIP_ORDER, "till", "v"],
-                    )
+            if not batch.num_rows:
+                continue
+            ids, asks = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            values = pa.array([v.tobytes() for v in _matrix(batch.column(1)).astype(width)], pa.binary())
+            places = batch.column(3)
+            row = np.repeat(np.arange(len(ids)), np.diff(places.offsets.to_numpy()))
+            seats = places.flatten()
+            ordering, number = (seats.field(k).to_numpy().astype(np.int64) for k in ("ordering", "number"))
+            out = [(row, ordering, number // length, np.full(len(row), part), number, 1, np.zeros(len(row))) for part in range(parts)]
+            pick = np.flatnonzero(asks[row])
+            low, high = np.maximum(number[pick] - window, 0), number[pick] + window
+            for strip, take in ((low // length, slice(None)), (high // length, high // length != low // length)):
+                begin = np.maximum(low, strip * length)
+                end = np.minimum(high, (strip + 1) * length - 1)
+                chosen = pick[take]
+                out.append((row[chosen], ordering[chosen], strip[take], ids[row[chosen]] % parts, begin[take], 0, end[take]))
+            for of, *columns, kind, till in out:
+                numbers = [*columns, np.full(len(of), kind)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c.astype(np.int32)) for c in numbers), pa.array(ids[of]), pa.array(till.astype(np.int32)),
+                     values.take(pa.array(of))], names=[*_STRIP_ORDER, "till", "v"],
+                )
 
     return run
 
 
-def _sweep(keep: int):
+def _sweep(keep: int, width: str):
     """Sorted strips swept block by block: a query leaves with its best entries when its window ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +277,7 @@ def _sweep(keep: int):
                 continue
             keys = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
             ids, till = batch.column(5).to_numpy(), batch.column(6).to_numpy()
-            vectors = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.float64).reshape(len(ids), -1)
+            vectors = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=width).reshape(len(ids), -1).astype(np.float64)
             bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(ids)]
             for a, b in zip(bounds, bounds[1:]):
                 *here, at, kind = keys[a].tolist()
@@ -328,31 +328,40 @@ def _sample(entries: DataFrame, bound: int, total: int) -> DataFrame:
     return entries.where(F.pmod(F.xxhash64("entry"), F.lit(scale)) < int(scale * min(1.0, bound / max(1, total))) + 1)
 
 
-def fit_window(entries: DataFrame, blocks: DataFrame, keep: int, asked: int, target: float = TARGET) -> int:
-    """Smallest number of neighbouring blocks on each side that finds ``target`` of a sample's true neighbours.
+def fit_window(
+    entries: DataFrame, places: DataFrame, keep: int, asked: int, target: float = TARGET, least: int = LEAST_ORDERINGS
+) -> tuple[int, int]:
+    """How many orderings, and how many neighbouring blocks on each side, find ``target`` of a sample's true neighbours.
 
-    The sample is drawn from the ``asked`` entries that ask. A query's own entry, which is always found, doesn't count.
+    Of the pairs that do, the one that scans the fewest blocks. The sample is drawn from the ``asked`` entries that ask. A
+    query's own entry, which is always found, doesn't count.
     """
     asks = entries.where("asks").select("entry", "v")
     asking = _sample(asks, SAMPLE_QUERIES, asked).limit(2 * SAMPLE_QUERIES).collect()
     if not asking:  # the hash may miss them all
         asking = asks.limit(SAMPLE_QUERIES).collect()
     if not asking:
-        return 0
+        return least, 0
     ids = np.array([r["entry"] for r in asking], dtype=np.int64)
-    found = brute_force(entries, ids, np.array([r["v"] for r in asking]), keep + 1).where("query <> entry")
+    found = brute_force(entries, ids, np.array([r["v"] for r in asking], dtype=np.float64), keep + 1).where("query <> entry")
     truth = _top(found, "query", "entry", keep).select("query", "entry").collect()
     if not truth:
-        return 0
+        return least, 0
     # Bounded: the sample's queries and their neighbours.
     named = entries.sparkSession.createDataFrame(
         [(int(e),) for e in {x for pair in truth for x in pair}], "entry long"
     )
-    places = blocks.select("ordering", "number", F.explode("members").alias("entry")).join(F.broadcast(named), "entry")
-    at: dict[tuple[int, int], int] = {(r["ordering"], r["entry"]): r["number"] for r in places.collect()}
-    orderings = {o for o, _ in at}
-    apart = sorted(min(abs(at[o, q] - at[o, e]) for o in orderings) for q, e in truth)
-    return apart[min(len(apart) - 1, int(np.ceil(target * len(apart))) - 1)]
+    at: dict[int, dict[int, int]] = {}
+    for r in places.join(F.broadcast(named), "entry").collect():
+        at.setdefault(r["entry"], {})[r["ordering"]] = r["number"]
+    count = len(next(iter(at.values())))
+    apart = np.array([[abs(at[q][o] - at[e][o]) for o in range(count)] for q, e in truth])
+    best = []
+    for orderings in range(min(least, count), count + 1):
+        nearest = np.sort(apart[:, :orderings].min(axis=1))
+        window = int(nearest[min(len(nearest) - 1, int(np.ceil(target * len(nearest))) - 1)])
+        best.append((orderings * (2 * window + 1), orderings, window))
+    return min(best)[1:]
 
 
 def search(vectors: DataFrame, every: int = 20, keep: int = 20, target: float = TARGET, block: int = BLOCK) -> DataFrame:
@@ -376,37 +385,23 @@ def search(vectors: DataFrame, every: int = 20, keep: int = 20, target: float =
         sample = np.array([r["v"] for r in entries.limit(1).collect()])
     orderings = Orderings(sample)
 
-    keyed = stored(
-        entries.select("entry", "v", "asks").mapInArrow(
-            _keyed(orderings), "ordering int, key long, entry long, v array<double>, asks boolean"
-        ), "keyed",
-    )
-    cut = stored(
-        keyed.repartitionByRange("ordering", "key", "entry").sortWithinPartitions("ordering", "key", "entry").mapInArrow(
-            _blocks(block), "ordering int, key long, entry long, entries binary, asks binary, vs binary"
-        ), "blocks",
-    )
-    # Blocks are numbered from 1 along each ordering; a row here stands for ``block`` vectors.
-    numbered = cut.select("ordering", "key", "entry").withColumn(
-        "number", F.row_number().over(Window.partitionBy("ordering").orderBy("key", "entry"))
-    )
-    numbered = stored(cut.join(numbered, ["ordering", "key", "entry"]).drop("key", "entry"), "numbered")
-
-    @F.pandas_udf("array<long>")
-    def members(packed: pd.Series) -> pd.Series:
-        return packed.map(lambda b: np.frombuffer(b, dtype=np.int64))
-
+    size = max(SMALLEST_BLOCK, min(block, total // BLOCKS_OF_SMALL))
+    places = stored(numbered(entries, orderings, size), "places")
     asked = entries.where("asks").count()
-    window = fit_window(
-        entries, numbered.select("ordering", "number", members("entries").alias("members")), keep, asked, target
-    )
+    used, window = fit_window(entries, places, keep, asked, target)
 
     # Queries that a window holds at once; parts of a strip bound them for a task.
-    asked_at_once = asked * (2 * window + 1) // max(1, -(-total // block))
+    asked_at_once = asked * (2 * window + 1) // max(1, -(-total // size))
     parts = max(1, -(-asked_at_once // ACTIVE_QUERIES))
-    strips = numbered.select("ordering", "number", "entries", "asks", "vs").mapInArrow(_strips(window, parts), _STRIP)
+    seats = places.where(F.col("ordering") < used).groupBy("entry").agg(
+        F.collect_list(F.struct("ordering", "number")).alias("places")
+    )
+    width = "<f4" if entries.schema["v"].dataType.elementType == T.FloatType() else "<f8"
+    strips = entries.select("entry", "v", "asks").join(seats, "entry").select("entry", "v", "asks", "places").mapInArrow(
+        _strips(window, parts, width), _STRIP
+    )
     pairs = strips.repartition("ordering", "strip", "part").sortWithinPartitions(*_STRIP_ORDER).mapInArrow(
-        _sweep(keep + 1), "query long, entry long, score double"
+        _sweep(keep + 1, width), "query long, entry long, score double"
     )
     best = stored(_top(pairs, "query", "entry", keep + 1), "best")
 

@@ -44,26 +44,32 @@ def test_the_curve_visits_neighbours(dims, bits):
     assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
 
 
-@pytest.mark.parametrize("batch", [1, 3, 50])
-def test_blocks_hold_each_row_once_in_order(batch):
-    rows = [(o, k, 10 * k + o) for o in range(3) for k in range([7, 1, 12][o])]
-    parts = [rows[i : i + batch] for i in range(0, len(rows), batch)]
-    batches = [
-        pa.RecordBatch.from_arrays(
-            [pa.array([o for o, _, _ in p], pa.int32()), pa.array([k for _, k, _ in p]), pa.array([e for *_, e in p]),
-             pa.array([[float(e), 1.0] for *_, e in p]), pa.array([e % 2 == 0 for *_, e in p])],
-            names=["ordering", "key", "entry", "v", "asks"],
-        ) for p in parts
-    ]
-    seen = []
-    for out in ann._blocks(4)(iter(batches)):
-        r = out.to_pylist()[0]
-        ids = np.frombuffer(r["entries"], dtype=np.int64)
-        vectors = np.frombuffer(r["vs"], dtype=np.float64).reshape(-1, 2)
-        assert len(ids) <= 4 and ids[0] == r["entry"] and (vectors[:, 0] == ids).all()
-        assert (np.frombuffer(r["asks"], dtype=bool) == (ids % 2 == 0)).all()
-        seen += [(r["ordering"], e // 10, e) for e in ids.tolist()]
-    assert seen == rows
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_blocks_are_neighbours_of_one_ordering(spark, partitions):
+    rng = np.random.default_rng(6)
+    values = rng.normal(size=(333, 5))
+    entries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "entry long, v array<double>")
+    orderings = ann.Orderings(values, count=3)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.ordering, r.entry): r.number for r in ann.numbered(entries.repartition(4), orderings, 10).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for ordering, keys in enumerate(orderings.keys(values)):
+        for place, entry in enumerate(np.lexsort((np.arange(333), keys)).tolist()):
+            assert got[(ordering, entry)] == place // 10
+    assert len(got) == 3 * 333
+
+
+def test_no_vector_is_stored_by_ordering(spark, monkeypatch):
+    """What the orderings store has a few numbers for each entry; its vector comes to the strips alone."""
+    seen, stored = {}, ann.stored
+    monkeypatch.setattr(ann, "stored", lambda df, name: seen.setdefault(name, df.columns) and stored(df, name))
+    rows = [(i, np.random.default_rng(i).normal(size=4).tolist()) for i in range(200)]
+    ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).count()
+    assert [name for name, columns in seen.items() if "v" in columns] == ["vectors", "entries"]
 
 
 def test_recall_of_the_query(spark):
@@ -87,7 +93,8 @@ def test_narrow_windows_suffice_for_clusters(spark, monkeypatch):
     monkeypatch.setattr(ann, "fit_window", lambda *a: chosen.append(fit(*a)) or chosen[-1])
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert recall(fast(ann.search(df, block=32)), slow(rows)) >= 0.9
-    assert chosen[0] <= 20
+    orderings, window = chosen[0]
+    assert orderings * (2 * window + 1) * 32 < 2500  # fewer products than brute force
 
 
 def test_equal_vectors_ties_and_odd_rows(spark):
@@ -145,6 +152,10 @@ def test_own_entry_is_no_neighbour_that_counts(spark):
         [(0, [1.0, 0.0], True), (1, [0.9, 0.0], False), (2, [0.0, 1.0], False), (3, [0.0, 0.5], False)],
         "entry long, v array<double>, asks boolean",
     )
-    blocks = spark.createDataFrame([(0, 1, [0]), (0, 2, [2]), (0, 3, [3]), (0, 4, [1])],
-                                   "ordering int, number int, members array<long>")
-    assert ann.fit_window(entries, blocks, 1, 1, target=0.5) == 3
+    one = [(0, 0, 1), (2, 0, 2), (3, 0, 3), (1, 0, 4)]
+    places = spark.createDataFrame(one, "entry long, ordering int, number int")
+    assert ann.fit_window(entries, places, 1, 1, target=0.5) == (1, 3)
+    # A second ordering that has them together is worth its blocks; a third one that does, too, is not.
+    more = [(e, o, n) for o in (1, 2) for e, n in ((0, 5), (1, 5), (2, 1), (3, 9))]
+    places = spark.createDataFrame(one + more, "entry long, ordering int, number int")
+    assert ann.fit_window(entries, places, 1, 1, target=0.5) == (2, 0)
