@@ -8,13 +8,13 @@ the documents left, with its place in a sequence.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import linededup, mixing, packing, quality, queries, simhash
-from marketlake.llm.common import find_library, stored
+from marketlake.llm.common import drop_folder, find_library, finished
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -72,8 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``. Each one's output goes when the next one has read it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES:
-        docs = stored(function(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs, folder = finished(spark, partial(function, spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        if before is not None:
+            drop_folder(spark, before)
+        before = folder
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,9 @@ TEXT_KEY = "__llm_text_key"
 
 _EDGE = "low long, high long"
 
+# Folders that the calls of ``finished`` on their way have stored so far, the innermost one last.
+_MADE: list[list[str]] = []
+
 
 def find_library(spark: SparkSession) -> None:
     """Let Python workers on machines that have this library in the same place import it, wherever the driver was started.
@@ -32,10 +36,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Lost executors cost a re-read instead of the work before, and every later use sees the same rows.
     """
     path = scratch_path(df.sparkSession, name)
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> tuple[DataFrame, str]:
+    """What ``make`` gives, stored, and its folder; tables that were stored on the way are deleted then.
+
+    They stay if the job fails, as its next attempt makes its own.
+    """
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        out = stored(make(), name)
+    finally:
+        _MADE.pop()
+    for path in made[:-1]:
+        drop_folder(spark, path)
+    return out, made[-1]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def text_key(text: str | Column = "text") -> Column:
     """64 bits of a text; with the document's id it tells rows apart that share an id."""
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))

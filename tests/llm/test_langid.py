@@ -146,3 +146,21 @@ def test_a_column_of_very_many_values_is_bounded(spark):
     rows = [(i, f"word {i}", f"value {i}") for i in range(500)] + [(1000 + i, "alpha beta", "a") for i in range(50)]
     model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_langs=5)
     assert len(model.langs) == 5 and model.langs[0] == "a" and model.weights.shape[1] == 5
+
+
+def test_predictions_of_the_query_equal_a_plain_version(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.train(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
+    for r in docs.collect()[:60]:
+        counts = slow_counts(r.text or "")
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        x = {f: (1 + np.log(n)) * model.idf[f] for f, n in counts.items()}
+        size = max(np.sqrt(sum(v * v for v in x.values())), 1e-12)
+        logits = [sum(v / size * float(model.weights[f][k]) for f, v in x.items()) + model.bias[k] for k in range(len(model.langs))]
+        powers = [np.exp((z - max(logits)) / model.temperature) for z in logits]
+        best = int(np.argmax(powers))
+        assert got[r.doc_id][0] == model.langs[best] and abs(got[r.doc_id][1] - powers[best] / sum(powers)) < 1e-4

@@ -1,11 +1,13 @@
 """The stages in a row against brute-force versions of each."""
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 from marketlake.llm import queries
 from marketlake.llm.common import stored
 from marketlake.llm.packing import Tokens
+from marketlake.session import shared_dir
 from pyspark.sql import functions as F
 from test_linededup import slow as slow_lines
 from test_mixing import slow as slow_mix
@@ -60,18 +62,9 @@ def test_run_gives_the_last_stage(spark):
     assert out.count() > 100
 
 
-def test_documents_that_are_odd(spark):
-    rows = [(1, None, None, None, None), (1, "", "en", "src0", 0), (None, "a b c", "en", "src1", 5),
-            (2, "word " * 50000, "en", "src0", 9), (3, "word", "en", "src2", 4), (3, "word", "en", "src2", 4)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    docs = docs.withColumn("piece", F.lit("clash")).withColumn("score", F.lit(1))
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stored(stage(spark, docs, SF), "test-stage")
-    assert docs.count() > 0
-
-
-def test_empty_documents(spark):
-    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stored(stage(spark, docs, SF), "test-stage")
-    assert docs.count() == 0
+def test_run_leaves_its_result_only(spark):
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    out = corpus_pipeline.run(spark, SF)
+    left = [p.name for p in set(shared.iterdir()) - before]
+    assert len(left) == 1 and left[0].startswith("stage-best-fit-packing") and out.count() > 100

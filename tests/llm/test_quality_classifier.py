@@ -83,3 +83,36 @@ def test_nothing_to_learn_from(spark, none):
     model = quality.train(docs, labels)
     assert model is None
     assert [r.score for r in quality.classify(docs, model).collect()] == ([] if none == "docs" else [0.5])
+
+
+def plain_score(model, text):
+    """A whole text by loops over its passages, as the formulas of gated attention say."""
+    data = (text or "").encode()
+    rows = [quality.encode_passages([data[at : at + quality.PASSAGE_BYTES]])[0][0].astype(float)
+            for at in range(0, max(1, len(data)), quality.PASSAGE_BYTES)]
+    p, hidden, raw = model.p, [], []
+    for row in rows:
+        x = [(row[i] - model.mean[i]) / model.scale[i] for i in range(len(row))]
+        h = [np.tanh(sum(x[i] * p["encode"][i][j] for i in range(len(x))) + p["encode0"][j]) for j in range(len(p["encode0"]))]
+        e = 0.0
+        for k in range(len(p["attend"])):
+            v = np.tanh(sum(h[j] * p["value"][j][k] for j in range(len(h))) + p["value0"][k])
+            g = 1 / (1 + np.exp(-(sum(h[j] * p["gate"][j][k] for j in range(len(h))) + p["gate0"][k])))
+            e += v * g * p["attend"][k]
+        hidden.append(h)
+        raw.append(e)
+    total = sum(np.exp(e) for e in raw)
+    z = [sum(np.exp(e) / total * h[j] for e, h in zip(raw, hidden)) for j in range(len(hidden[0]))]
+    return 1 / (1 + np.exp(-(sum(z[j] * p["out"][j] for j in range(len(z))) + p["out0"][0])))
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    short = sorted(d for d, t in texts.items() if len((t or "").encode()) < 4000)[:60]
+    scores = {r.doc_id: r.score for r in quality.classify(docs, model).collect()}
+    for d in short:
+        assert scores[d] == pytest.approx(plain_score(model, texts[d]), abs=1e-5)
+    assert any(len((texts[d] or "").encode()) > 2 * quality.PASSAGE_BYTES for d in short)
