@@ -24,8 +24,7 @@ def script_body(html: Column, script_id: str = DATA_SCRIPT_ID) -> Column:
     wanted = rf"script(?=\s)(?:(?!\s+id\s*=){attribute})*+\s+id\s*=\s*{value}[^>]*(>.*?)</script"
     # One pass: what is read over gives an empty piece, the body sought one that begins with its tag's end.
     pieces = F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{wanted}|!--.*?-->|script\b.*?</script)"), F.lit(1))
-    body = F.substring(F.get(F.filter(pieces, lambda p: p != ""), F.lit(0)), 2, (1 << 31) - 1)
-    return F.when(F.contains(html, F.lit(script_id)), body)
+    return F.substring(F.get(F.filter(pieces, lambda p: p != ""), F.lit(0)), 2, (1 << 31) - 1)
 
 
 def extract_embedded_json(
