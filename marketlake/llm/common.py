@@ -55,6 +55,8 @@ def finished(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> t
         _MADE.pop()
     for path in made[:-1]:
         drop_folder(spark, path)
+    if _MADE:
+        _MADE[-1].append(made[-1])
     return out, made[-1]
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import TEXT_KEY, stored, text_key
+from marketlake.llm.common import TEXT_KEY, finished, stored, text_key
 
 WORDS = 20
 ANCHOR = 8
@@ -209,11 +209,15 @@ def repeated_windows(docs: DataFrame, words: int = WORDS, anchor: int = ANCHOR)
         raise ValueError("the anchor must be shorter than the window, by less than 63 words")
     texts = _texts(docs)
     order = ["anchor", "run", *_ROW]
-    runs = texts.mapInArrow(_find_runs(words, anchor), _RUN)
-    marks = stored(
-        runs.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_settle, f"kind byte, anchor long, doc_id long, {TEXT_KEY} long, place long"), "run-marks",
-    )
+
+    def settled() -> DataFrame:
+        # Stored, since range partitioning reads its input twice; gone once the marks are there.
+        runs = stored(texts.mapInArrow(_find_runs(words, anchor), _RUN), "runs")
+        return runs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+            _settle, f"kind byte, anchor long, doc_id long, {TEXT_KEY} long, place long"
+        )
+
+    marks, _ = finished(docs.sparkSession, settled, "run-marks")
     held = marks.where(F.col("kind") == _OPEN).groupBy("doc_id", TEXT_KEY).agg(
         F.collect_list(F.struct("anchor", "place")).alias("runs")
     )
