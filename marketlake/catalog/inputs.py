@@ -230,7 +230,8 @@ def gate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(f"<script data-id='{DATA_SCRIPT_ID}'>1</script>"),
         F.when(key % 13 == 0, F.concat(F.lit("<!--"), script, F.lit("-->"))).otherwise(script),
     )
-    return table(spark, sf_dir, "customer").select(key.alias("page_id"), html.alias("html"))
+    customers = in_parts(spark, table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    return customers.select(key.alias("page_id"), html.alias("html"))
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
