@@ -259,7 +259,7 @@ def rate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("<tr><td align='right'>"), date, F.lit("</td><td>&nbsp;<b>"), rate,
                         F.lit("</b></td></tr>\n"))
 
-    rows = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), row), "")
+    rows = F.concat(*[F.coalesce(row(F.lit(i)), F.lit("")) for i in range(3)])  # a row without its day is left out
     html = F.concat(
         F.lit("<html><body><table class='x'>\n<tr><th>Date</th><th>Rate</th></tr>\n"), rows,
         F.lit("</table><table><tr><td>01 Jan 20</td><td>1</td></tr></table></body></html>"),

@@ -53,10 +53,12 @@ def flexible_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMAT
 
     def parse(pattern: str) -> Column:
         plain = F.substring(text, 1, 10) if pattern == "yyyy-MM-dd" else F.replace(text, F.lit(","), F.lit(""))
-        day = F.try_to_date(plain, pattern)
-        if "yyyy" in pattern:
-            return day
-        return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
+        if "yyyy" not in pattern:
+            # The century goes into the text: a day that is looked at before it is shifted would be parsed twice.
+            century = F.when(F.right(text, F.lit(2)) >= "69", "19").otherwise("20")
+            plain = F.concat(F.left(text, F.length(text) - 2), century, F.right(text, F.lit(2)))
+            pattern = pattern.replace("yy", "yyyy")
+        return F.try_to_date(plain, pattern)
 
     cases = F
     for shape, pattern in formats:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,40 +112,58 @@ def page_indices(results: DataFrame, keys: Sequence[str]) -> DataFrame:
     return paged.select(*keys, "total", F.filter("_read", lambda i: i > 0).alias("indices"), status.alias("status"))
 
 
-def _cell_text(cell: Column) -> Column:
-    """Text of a table cell: tags gone, the usual entities decoded, white space at the ends cut.
+# Text of a table cell, in steps: tags gone, the usual entities decoded, white space at the ends cut. Each step reads its
+# input several times, so callers hand it the stored result of the step before, never an expression. Patterns run only on
+# cells that hold what they replace.
+def _untagged(cell: Column) -> Column:
+    return F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, r"(?s)<[^>]*>", "")).otherwise(cell)
 
-    Patterns run only on cells that hold what they replace.
-    """
-    text = F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, r"(?s)<[^>]*>", "")).otherwise(cell)
+
+def _decoded(text: Column) -> Column:
     plain = text
     for entity, char in (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         plain = F.replace(plain, F.lit(entity), F.lit(char))
-    text = F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
-    odd = text.rlike("[^\\S ]| |  ")
-    return F.trim(F.when(odd, F.regexp_replace(text, "[\\s ]+", " ")).otherwise(text))
+    return F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
+
+
+def _trimmed(text: Column) -> Column:
+    odd = reduce(or_, [F.contains(text, F.lit(c)) for c in ("\u00a0", "  ", "\n", "\t", "\r", "\x0b", "\f")])
+    return F.trim(F.when(odd, F.regexp_replace(text, "[\\s\u00a0]+", " ")).otherwise(text))
+
+
+_TEXT_STEPS = (_untagged, _decoded, _trimmed)
 
 
 def number_of(text: Column) -> Column:
     """The number in a cell, with or without thousands marks; NULL if it is none."""
     marked = F.contains(text, F.lit(",")) & text.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d*)?$")
-    return F.when(marked, F.replace(text, F.lit(","), F.lit(""))).otherwise(text).try_cast("double")
+    plain = F.when(marked, F.replace(text, F.lit(","), F.lit(""))).otherwise(text)
+    # A failed cast costs an exception, so only what may be a number is tried: digits, an infinity or a NaN.
+    return F.when(text.rlike("(?i)[0-9]|inf|nan"), plain.try_cast("double"))
+
+
+def _inside(tag: str) -> str:
+    """Pattern of an element's start tag, its content up to the first end tag (group 1) and that end tag.
+
+    The content is taken in runs between tags, which costs far less than trying for the end at every character.
+    """
+    end = rf"/{tag}\s*>"
+    return rf"(?i)<{tag}\b[^>]*>((?:[^<]++|<(?!{end}))*+)<{end}"
 
 
 def _rows(html_col: str) -> Column:
     """The first table's rows as HTML."""
-    table = F.regexp_extract(html_col, r"(?is)<table\b[^>]*>(.*?)</table\s*>", 1)
-    return F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    return F.regexp_extract_all(F.regexp_extract(html_col, _inside("table"), 1), F.lit(_inside("tr")), F.lit(1))
 
 
 def _cells(row: Column) -> Column:
-    return F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
+    return F.regexp_extract_all(row, F.lit(_inside("t[dh]")), F.lit(1))
 
 
 def _table_rows(html_col: str, value_name: str) -> Column:
     """The first table's rows as structs of position, day and value."""
     def cells(row: Column) -> Column:
-        return F.transform(F.slice(_cells(row), 1, 2), _cell_text)
+        return reduce(F.transform, _TEXT_STEPS, F.slice(_cells(row), 1, 2))
 
     def typed(cell: Column, position: Column) -> Column:
         return F.struct(
@@ -172,8 +192,10 @@ def extract_html_table(
     # what comes after it reads the step's results and does not work them out again.
     cut = pages.select(*keys, F.posexplode(_rows(html_col)).alias("position", "_row"))
     cut = cut.select(*keys, "position", F.inline(F.array(F.struct(_cells(F.col("_row")).alias("_cells")))))
-    first, second = (_cell_text(F.get("_cells", F.lit(i))) for i in (0, 1))
-    texts = cut.select(*keys, "position", F.inline(F.array(F.struct(first.alias("_day"), second.alias("_number")))))
+    texts = cut.select(*keys, "position", F.get("_cells", F.lit(0)).alias("_day"), F.get("_cells", F.lit(1)).alias("_number"))
+    for step in _TEXT_STEPS:
+        both = F.struct(*[step(F.col(c)).alias(c) for c in ("_day", "_number")])
+        texts = texts.select(*keys, "position", F.inline(F.array(both)))
     return typed_cells(texts, keys, loaded_at, value_name)
 
 
@@ -189,7 +211,9 @@ def typed_cells(texts: DataFrame, keys: Sequence[str], loaded_at: Column, value_
 
 def skipped_rows(pages: DataFrame, keys: Sequence[str], html_col: str = "html") -> DataFrame:
     """Per page: how many table rows there are, how many have no date and how many a date but no number."""
-    return pages.select(*keys, F.coalesce(_table_rows(html_col, "value"), F.array()).alias("_rows")).select(
+    # The rows are worked out once, as a step of their own (see extract_html_table), and then counted three times.
+    rows = F.coalesce(_table_rows(html_col, "value"), F.array())
+    return pages.select(*keys, F.inline(F.array(F.struct(rows.alias("_rows"))))).select(
         *keys, F.size("_rows").alias("num_rows"),
         F.size(F.filter("_rows", lambda r: r["day"].isNull())).alias("no_date"),
         F.size(F.filter("_rows", lambda r: r["day"].isNotNull() & r["value"].isNull())).alias("no_number"),
