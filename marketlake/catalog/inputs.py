@@ -50,7 +50,7 @@ def price_of(value: Column) -> Column:
 
 
 def in_parts(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
-    """Rows by their key in as many parts as the session shuffles in, as pages come in many files."""
+    """Rows by their key in as many parts as the session shuffles in, as large tables come in many files."""
     return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
@@ -121,11 +121,15 @@ def large_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with a number that runs through the whole range of 64 bits."""
+    """Line items with a number that runs through the whole range of 64 bits.
+
+    They are dealt out in parts: a task that counts its own rows first holds all its values, of which nearly all differ.
+    """
     item = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
     place = (item * F.lit(1_234_567_890_123_457).cast("decimal(16,0)")) % F.lit(2**63 - 1).cast("decimal(19,0)")
     sign = F.when(F.col("l_linenumber") % 2 == 0, -1).otherwise(1)
-    return table(spark, sf_dir, "lineitem").select("l_returnflag", (place.cast("bigint") * sign).alias("value"))
+    items = in_parts(spark, table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_orderkey")
+    return items.select("l_returnflag", (place.cast("bigint") * sign).alias("value"))
 
 
 def date_cells(spark: SparkSession, sf_dir: str) -> DataFrame:

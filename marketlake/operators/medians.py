@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bins of neighbouring values, the finest first: a window sees at most 2**22 bins of a group of 32-bit values, and at most
-# 2**20, 2**21 and 2**15 bins one after the other of 64-bit ones.
+# 2**16 bins of 64-bit ones, then twice 2**16 of one or two opened bins, level by level.
 _BITS = (10,)
-_WIDE_BITS = (10, 24, 44)
+_WIDE_BITS = (16, 32, 48)
 _NO_BIN = -(2**60)  # below the bin of any 64-bit value
 # The ranks of the two middle values.
 _LOW, _HIGH = "(_total + 1) div 2", "_total div 2 + 1"
@@ -48,7 +48,7 @@ def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The middle is found by descent: rows are added up to bins of neighbouring values, bins to wider bins, and from the
     widest down only the one or two bins that hold the middle are opened. So a window sees a bounded number of bins
-    (see above) or 2,048 distinct values, however many rows or values a group has and however they are spread.
+    (see above) or of distinct values (2,048 of 32 bits, 2**17 of 64), however many rows or values a group has and however they are spread.
     """
     # Keys as one struct and a bin of their own for NULL values: neither is ever NULL, so the
     # joins below are plain ones and add no filter that would tell their two inputs apart.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import layouts
 from marketlake.operators import changes, sketches
-from marketlake.operators.medians import grouped_stats, value_counts
+from marketlake.operators.medians import _WIDE_BITS, grouped_stats, value_counts
 from marketlake.plans import gold, pipeline, serving
 from marketlake.schemas import struct_of
 from marketlake.session import scratch_path
@@ -179,6 +179,12 @@ def test_no_window_sees_all_bins_of_a_wide_group(spark):
     assert text.count("_bin2") > 0 and text.count("Window") >= 4
 
 
+def test_windows_over_wide_values_see_few_bins():
+    """No level of the descent holds more than 2**17 bins of a group: the widest has 2**16, one or two are opened at a time."""
+    opened = [above - below for below, above in zip((0, *_WIDE_BITS), _WIDE_BITS)]
+    assert 64 - _WIDE_BITS[-1] <= 16 and max(opened) <= 16
+
+
 def test_sketches_merge_to_close_medians(spark):
     rng = random.Random(3)
     rows = [(m, rng.choice("ab"), int(rng.lognormvariate(7, 1))) for m in range(12) for _ in range(1500)]
