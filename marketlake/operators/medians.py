@@ -59,7 +59,10 @@ def grouped_stats(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     # partition's share of a hot group is a few of its bins.
     binned = counts.select(
         group.alias("_k"), F.expr(f"coalesce(shiftright(bigint(value), {shifts[0]}), bigint({_NO_BIN})) AS _bin0"), "value", "n"
-    ).repartition("_k", "_bin0")
+    )
+    # Nearly all bins of 64-bit values may differ, so their parts are never merged to few: a task holds its part's bins.
+    width = [int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if wide else []
+    binned = binned.repartition(*width, "_k", "_bin0")
     levels = [binned.groupBy("_k", "_bin0").agg(
         F.expr("sum(n) AS _rows"), F.expr("sum(cast(value AS double) * n) AS _sum")
     )]

@@ -231,3 +231,10 @@ def test_commits_are_a_table_of_one_file_each(spark, tmp_path):
     assert [len(list(f.glob("*.parquet"))) for f in folders] == [1, 1]
     (Path(tmp_path) / "t" / "commits" / "batch=000000000002").mkdir()  # a commit that was about to be written
     assert table.batches(spark) == [0, 1] and table.read(spark).count() == 20
+
+
+def test_parts_of_wide_bins_are_of_the_session_width(spark):
+    """Parts of 64-bit bins are dealt out by number, which AQE doesn't merge to a few large ones."""
+    plan = grouped_stats(value_counts(spark.range(9).select(F.col("id").alias("v")), [], "v"), [])._jdf.queryExecution()
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    assert "REPARTITION_BY_NUM" in plan.executedPlan().toString() and f", {width})" in plan.executedPlan().toString()
